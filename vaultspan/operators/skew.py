@@ -1,0 +1,54 @@
+"""Joining facts to a dimension when one key may hold a large share of the facts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType
+
+# Bytes a broadcast side may take, judged from its counted rows and its columns.
+BROADCAST_BYTES = 128 * 1024 * 1024
+# A key is hot when it holds more than 1/HOT_SHARE of the rows: at most HOT_SHARE keys can.
+HOT_SHARE = 64
+# Parts a hot key is split into.
+HOT_PARTS = 64
+
+
+def _width(kind: DataType) -> int:
+    return 48 if isinstance(kind, StringType) else 16
+
+
+def broadcast_rows(df: DataFrame, budget: int = BROADCAST_BYTES) -> int:
+    """Rows of this schema that fit into the broadcast budget."""
+    return budget // sum(_width(f.dataType) for f in df.schema.fields)
+
+
+def hot_keys(facts: DataFrame, key: str) -> list:
+    """Keys holding more than 1/HOT_SHARE of the rows, counted with map-side combine."""
+    counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    total = facts.count()
+    heavy = counts.filter(F.col("_rows") * HOT_SHARE > total).select(key).collect()  # < HOT_SHARE rows
+    return [row[0] for row in heavy]
+
+
+def join_dimension(
+    facts: DataFrame, dimension: DataFrame, key: str, how: str = "inner", budget: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Equi-join facts with a dimension that is unique on ``key``.
+
+    The dimension is counted. If it fits the budget it is broadcast and the
+    facts stay where they are. Otherwise both sides are shuffled, and the hot
+    keys are dealt over ``HOT_PARTS`` parts with their dimension row repeated
+    in each; all other keys join as usual, so the result is the same.
+    """
+    if dimension.count() <= broadcast_rows(dimension, budget):
+        return facts.join(F.broadcast(dimension), key, how)
+    hot = hot_keys(facts, key)
+    if not hot:
+        return facts.join(dimension, key, how)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    part = F.pmod(F.xxhash64(*facts.columns), F.lit(HOT_PARTS)).cast("int")
+    dealt = facts.withColumn("_part", F.when(is_hot, part).otherwise(0))
+    parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = dimension.withColumn("_part", F.explode(parts))
+    return dealt.join(repeated, [key, "_part"], how).drop("_part")
