@@ -6,6 +6,8 @@ the amounts are defined; see the README section on decimal arithmetic.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,6 +52,11 @@ def fx_direct(amount: Column | str, rate: Column | str) -> Column:
 
 
 def fx_pivot(amount: Column | str, rate: Column | str, pivot_rate: Column | str) -> Column:
-    """Native amount in another currency, by way of the reference currency."""
+    """Native amount in another currency, by way of the reference currency.
+
+    The quotient is a double. It is scaled and then rounded half away from
+    zero, which settles ties the way the amounts are defined; a direct cast to
+    decimal would round the printed digits instead.
+    """
     quotient = exact_product(amount, rate).cast("double") / _col(pivot_rate).cast("double")
-    return quotient.cast(MONEY)
+    return (F.round(quotient * 10**MONEY.scale).cast("decimal(19,0)") * F.lit(Decimal("0.0001"))).cast(MONEY)

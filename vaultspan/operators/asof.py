@@ -34,14 +34,14 @@ def build_asof_index(rates: DataFrame, key: str, day: str, value: str) -> AsOfIn
     are clamped to that month. Equal (key, day) rows share their interval, so a
     duplicate rate yields a duplicate match.
     """
-    facts = rates.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.approx_count_distinct(key, 0.01).alias("keys"),
-        F.min(day).alias("lo"),
-        F.max(day).alias("hi"),
+    per_key = rates.groupBy(key).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(day).alias("lo"), F.max(day).alias("hi")
+    )
+    size = per_key.agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("keys"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
     ).first()
-    months = (facts["hi"] - facts["lo"]).days // _DAYS_PER_MONTH + 2 if facts["lo"] else 0
-    last_month = facts["hi"].replace(day=1) if facts["hi"] else None
+    months = (size["hi"] - size["lo"]).days // _DAYS_PER_MONTH + 2 if size["lo"] else 0
+    last_month = size["hi"].replace(day=1) if size["hi"] else None
     later = Window.partitionBy("_key").orderBy("_number").rangeBetween(1, Window.unboundedFollowing)
     closed = (
         rates.select(F.col(key).alias("_key"), F.col(day).alias("_from"), F.col(value).alias("_value"))
@@ -55,8 +55,7 @@ def build_asof_index(rates: DataFrame, key: str, day: str, value: str) -> AsOfIn
     return AsOfIndex(
         intervals=closed.withColumn("_month", F.explode(touched)),
         last_month=last_month,
-        # every value once, plus every key in every month (2 x the estimate for its error)
-        rows_at_most=facts["rows"] + 2 * facts["keys"] * months,
+        rows_at_most=(size["rows"] or 0) + size["keys"] * months,  # every value, plus every key in every month
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,20 @@ from pyspark.sql import functions as F
 from vaultspan.functions import date_number
 
 
+@dataclass(frozen=True)
+class Calendar:
+    """Calendar dates with their first and last one, which bound the size of any expansion."""
+
+    days: DataFrame
+    first: date | None
+    last: date | None
+
+    @classmethod
+    def of(cls, days: DataFrame) -> Calendar:
+        span = days.agg(F.min("dt_fct").alias("first"), F.max("dt_fct").alias("last")).first()
+        return cls(days, span["first"], span["last"])
+
+
 def month_end_calendar(spark: SparkSession, start: date, as_of: date) -> DataFrame:
     """Last day of every month from ``start`` up to the one before ``as_of``, then ``as_of``."""
     first, current = F.trunc(F.lit(start), "MM"), F.trunc(F.lit(as_of), "MM")
@@ -23,6 +38,6 @@ def month_end_calendar(spark: SparkSession, start: date, as_of: date) -> DataFra
     )
 
 
-def year_starts(calendar: DataFrame) -> DataFrame:
+def year_starts(calendar: Calendar) -> DataFrame:
     """First calendar date of each year."""
-    return calendar.groupBy(F.year("dt_fct").alias("year")).agg(F.min("dt_fct").alias("year_start"))
+    return calendar.days.groupBy(F.year("dt_fct").alias("year")).agg(F.min("dt_fct").alias("year_start"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vaultspan.operators.calendar import Calendar
+
 HISTORY_COLUMNS = ("scd_id", "updated_at", "valid_from", "valid_to")
 
 
@@ -83,26 +85,24 @@ def history_from_changelog(changes: DataFrame, key: str, updated_at: str) -> Dat
     )
 
 
-def on_calendar(history: DataFrame, calendar: DataFrame, created: str) -> DataFrame:
+def on_calendar(history: DataFrame, calendar: Calendar, created: str) -> DataFrame:
     """One row per calendar date on which a version is in force.
 
     A version covers [max(created, date(valid_from)), date(valid_to)). Instead
     of pairing every version with every date, a version is exploded into the
     months of its own window and met with the calendar on the month, so the
-    work grows with the rows produced. The calendar is generated from two
-    dates, which bounds its broadcast.
+    work grows with the rows produced. The calendar has at most one row per
+    day between two known dates, which bounds its broadcast.
     """
-    span = calendar.agg(F.min("dt_fct").alias("lo"), F.max("dt_fct").alias("hi")).first()
-    if span["lo"] is None:
-        return history.withColumn("dt_fct", F.lit(None).cast("date")).limit(0)
-    begin = F.greatest(F.to_date("valid_from"), F.col(created), F.lit(span["lo"]))
-    end = F.least(F.coalesce(F.date_sub(F.to_date("valid_to"), 1), F.lit(span["hi"])), F.lit(span["hi"]))
+    first, last = F.lit(calendar.first).cast("date"), F.lit(calendar.last).cast("date")
+    begin = F.greatest(F.to_date("valid_from"), F.col(created), first)
+    end = F.least(F.coalesce(F.date_sub(F.to_date("valid_to"), 1), last), last)
     in_force = history.withColumns({"_begin": begin, "_end": end}).filter(
         # greatest() skips NULLs, so a missing creation date is ruled out here
         F.col(created).isNotNull() & F.col("valid_from").isNotNull() & (F.col("_begin") <= F.col("_end"))
     )
     months = F.sequence(F.trunc("_begin", "MM"), F.trunc("_end", "MM"), F.expr("interval 1 month"))
-    dates = calendar.select("dt_fct", F.trunc("dt_fct", "MM").alias("_month"))
+    dates = calendar.days.select("dt_fct", F.trunc("dt_fct", "MM").alias("_month"))
     return (
         in_force.withColumn("_month", F.explode(months))
         .join(F.broadcast(dates), "_month")

@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultspan.functions import ytd_variation_abs, ytd_variation_pct
-from vaultspan.operators.calendar import year_starts
+from vaultspan.operators.calendar import Calendar, year_starts
 
 
 def with_ytd_start(
     daily: DataFrame,
     keys: Sequence[str],
     amount: str,
-    calendar: DataFrame,
+    calendar: Calendar,
     day: str = "dt_fct",
 ) -> DataFrame:
     """Add ``<amount>_ytd_start``, ``_ytd_variation_pct`` and ``_ytd_variation_abs``.

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vaultspan.functions import fx_direct, fx_pivot, rate_or_one
 from vaultspan.operators.asof import AsOfIndex, asof_lookup, build_asof_index
+from vaultspan.operators.calendar import Calendar
 from vaultspan.operators.incremental import unseen
 from vaultspan.operators.scd2 import on_calendar
 from vaultspan.operators.skew import join_dimension
@@ -15,39 +16,49 @@ from vaultspan.sources.schemas import FLOWS, HORIZONS, STOCKS
 VERSION_COLUMNS = ("dt_cre", "dt_clo", "ts_stg", "updated_at", "valid_from", "valid_to")
 
 
-def with_label(
-    df: DataFrame, lookup: DataFrame, name: str, code: str, fall_back: bool, into: str | None = None
+def with_labels(
+    df: DataFrame, lookups: dict[str, DataFrame], coded: dict[str, tuple[str, str]], fall_back: bool
 ) -> DataFrame:
-    """Left join ``lb_<name>`` of a lookup on ``code``; the code stands in for a missing label.
+    """Left join labels: ``coded`` maps a new label column to (lookup, code column of ``df``).
 
-    No broadcast hint: Catalyst broadcasts the lookup when its size allows.
+    With ``fall_back`` the code stands in for a missing label. There is no
+    broadcast hint: Catalyst broadcasts a lookup when its size allows.
     """
-    label = into or f"lb_{name}"
-    labels = lookup.select(F.col(f"cd_{name}").alias("_code"), F.col(f"lb_{name}").alias("_label"))
-    found = F.coalesce("_label", code) if fall_back else F.col("_label")
-    joined = df.join(labels, F.col(code) == F.col("_code"), "left")
-    return joined.withColumn(label, found).drop("_code", "_label")
+    joined, labels = df, []
+    for into, (name, code) in coded.items():
+        lookup = lookups[name].select(F.col(f"cd_{name}").alias(f"_code_{into}"), F.col(f"lb_{name}").alias(f"_{into}"))
+        joined = joined.join(lookup, F.col(code) == F.col(f"_code_{into}"), "left")
+        labels.append((F.coalesce(f"_{into}", code) if fall_back else F.col(f"_{into}")).alias(into))
+    return joined.select(*df.columns, *labels)
 
 
-def int_cli(history: DataFrame, calendar: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
+def int_cli(history: DataFrame, calendar: Calendar, lookups: dict[str, DataFrame]) -> DataFrame:
     """Clients per calendar date. Labels are joined per version, before the dates multiply them."""
-    labelled = with_label(history, lookups["cli_cat"], "cli_cat", "cd_cli_cat", True)
-    labelled = with_label(labelled, lookups["cty"], "cty", "cd_cty_dom", True, "lb_cty_dom")
-    labelled = with_label(labelled, lookups["mng"], "mng", "cd_mng_rel", True, "lb_mng_rel")
+    coded = {
+        "lb_cli_cat": ("cli_cat", "cd_cli_cat"),
+        "lb_cty_dom": ("cty", "cd_cty_dom"),
+        "lb_mng_rel": ("mng", "cd_mng_rel"),
+    }
+    labelled = with_labels(history, lookups, coded, fall_back=True)
     return on_calendar(labelled, calendar, "dt_cre").select(
         "dt_fct", "cd_cli", "lb_cli", "lb_cli_alt", "cd_cli_cat", "lb_cli_cat", "cd_ccy", "cd_cty_dom", "lb_cty_dom",
         "cd_cty_nat", "cd_mng_rel", "lb_mng_rel", *VERSION_COLUMNS,
     )
 
 
-def int_ptf(history: DataFrame, calendar: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
-    """Portfolios per calendar date. The manager's group is reached through the manager."""
-    groups = lookups["mng"].select(F.col("cd_mng").alias("_mng"), "cd_mng_grp")
-    labelled = history.join(groups, F.col("cd_mng") == F.col("_mng"), "left").drop("_mng")
-    for name in ("ccy", "prf", "mng", "mng_grp"):
-        labelled = with_label(labelled, lookups[name], name, f"cd_{name}", True)
-    for name in ("mng_ext", "agn", "ent", "buu"):
-        labelled = with_label(labelled, lookups[name], name, f"cd_{name}", False)
+def int_ptf(history: DataFrame, calendar: Calendar, lookups: dict[str, DataFrame]) -> DataFrame:
+    """Portfolios per calendar date. The manager brings the manager's group along."""
+    managers = with_labels(
+        lookups["mng"].select("cd_mng", "lb_mng", "cd_mng_grp"), lookups, {"lb_mng_grp": ("mng_grp", "cd_mng_grp")}, True
+    )
+    own = managers.select(F.col("cd_mng").alias("_mng"), "lb_mng", "cd_mng_grp", "lb_mng_grp")
+    managed = history.join(own, F.col("cd_mng") == F.col("_mng"), "left").withColumn(
+        "lb_mng", F.coalesce("lb_mng", "cd_mng")
+    )
+    labelled = with_labels(managed, lookups, {f"lb_{n}": (n, f"cd_{n}") for n in ("ccy", "prf")}, fall_back=True)
+    labelled = with_labels(
+        labelled, lookups, {f"lb_{n}": (n, f"cd_{n}") for n in ("mng_ext", "agn", "ent", "buu")}, fall_back=False
+    )
     pairs = [f"{side}_{name}" for name in ("ccy", "prf", "mng", "mng_grp", "mng_ext", "agn", "ent", "buu")
              for side in ("cd", "lb")]
     return on_calendar(labelled, calendar, "dt_cre").select(
@@ -57,7 +68,7 @@ def int_ptf(history: DataFrame, calendar: DataFrame, lookups: dict[str, DataFram
 
 def int_ins(instruments: DataFrame, groups: DataFrame) -> DataFrame:
     """Instruments with the label of their group."""
-    labelled = with_label(instruments, groups, "ins_grp", "cd_ins_grp", True)
+    labelled = with_labels(instruments, {"ins_grp": groups}, {"lb_ins_grp": ("ins_grp", "cd_ins_grp")}, fall_back=True)
     return labelled.select("id_stg_ins", "cd_ins", "lb_ins", "cd_ins_grp", "lb_ins_grp")
 
 

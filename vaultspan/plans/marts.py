@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultspan.functions import safe_divide, stamp, ytd_variation_abs, ytd_variation_pct
+from vaultspan.operators.calendar import Calendar
 from vaultspan.operators.skew import join_dimension
 from vaultspan.operators.ytd import with_ytd_start
 from vaultspan.plans.intermediate import portfolio_amounts
@@ -56,7 +57,7 @@ def mart_aum_ytd(
     positions: DataFrame,
     cli: DataFrame,
     ptf: DataFrame,
-    calendar: DataFrame,
+    calendar: Calendar,
     as_of: date,
     year: int | None = None,
     loaded_at: datetime | None = None,
@@ -156,7 +157,7 @@ def mart_rm_performance(
     positions: DataFrame,
     cli: DataFrame,
     ptf: DataFrame,
-    calendar: DataFrame,
+    calendar: Calendar,
     as_of: date,
     year: int | None = None,
     loaded_at: datetime | None = None,

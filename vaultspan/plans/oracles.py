@@ -498,8 +498,7 @@ def oracle_sql() -> dict[str, str]:
             "from int_fct_ast) where abs(v - e) > 0.01",
         ),
         "dq_fx_pivot": _select(
-            ["cd_fct_ast", "v as mt_ast_ptf", "cast(e as decimal(24,6)) as expected_mt_ast_ptf",
-             "cast(abs(v - e) as decimal(24,6)) as ecart"],
+            ["cd_fct_ast", "v as mt_ast_ptf", "e as expected_mt_ast_ptf", "abs(v - e) as ecart"],
             "from (select cd_fct_ast, if(xrt_rate_pos > 1, mt_ast, mt_ast_ptf) as v, "
             "mt_ast * xrt_rate_pos / xrt_rate_ptf as e from int_fct_ast) where abs(v - e) > 0.01",
         ),

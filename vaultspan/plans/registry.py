@@ -31,6 +31,7 @@ from vaultspan.session import ensure_checkpoint_dir
 from vaultspan.sources.files import read_extract, write_extract
 from vaultspan.sources.schemas import ALL_TABLES, DIMENSIONS, FACTS, RATES
 from vaultspan.sources.star import AS_OF, EARLIER_RUN, RUN, Star
+from vaultspan.types import ID
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -162,16 +163,17 @@ def scd2_from_changelog(star: Star) -> DataFrame:
 
 
 def scd2_calendar(star: Star) -> DataFrame:
-    dated = on_calendar(star.history("ptf"), star.calendar(), "dt_cre")
+    dated = on_calendar(star.history("ptf"), star.calendar, "dt_cre")
     return dated.select("cd_ptf", "dt_fct", "cd_prf", "lb_ptf_alt", "valid_from")
 
 
 def int_cli(star: Star) -> DataFrame:
-    return intermediate.int_cli(star.history("cli"), star.calendar(), star.lookups())
+    return intermediate.int_cli(star.history("cli"), star.calendar, star.lookups("cli_cat", "cty", "mng"))
 
 
 def int_ptf(star: Star) -> DataFrame:
-    return intermediate.int_ptf(star.history("ptf"), star.calendar(), star.lookups())
+    lookups = star.lookups("ccy", "prf", "mng", "mng_grp", "mng_ext", "agn", "ent", "buu")
+    return intermediate.int_ptf(star.history("ptf"), star.calendar, lookups)
 
 
 def int_ins(star: Star) -> DataFrame:
@@ -183,7 +185,11 @@ def int_ins(star: Star) -> DataFrame:
 
 
 def _unnumbered(star: Star, name: str) -> DataFrame:
-    return star.raw(name).withColumn(FACTS[name].id_column, F.lit(None).cast("decimal(15,0)"))
+    return star.raw(name).withColumn(ALL_TABLES[name].id_column, F.lit(None).cast(ID))
+
+
+def _instruments(star: Star) -> DataFrame:
+    return intermediate.int_ins(_unnumbered(star, "ins"), star.raw("ins_grp"))
 
 
 INT_FACTS = {
@@ -239,18 +245,15 @@ def fx_pivot_conversion(star: Star) -> DataFrame:
 
 
 def mart_aum_ytd(star: Star, year: int | None = None) -> DataFrame:
-    return marts.mart_aum_ytd(converted(star, "fct_ast"), int_cli(star), int_ptf(star), star.calendar(), AS_OF, year)
+    return marts.mart_aum_ytd(converted(star, "fct_ast"), int_cli(star), int_ptf(star), star.calendar, AS_OF, year)
 
 
 def mart_client_exposure(star: Star) -> DataFrame:
-    instruments = intermediate.with_label(star.raw("ins"), star.raw("ins_grp"), "ins_grp", "cd_ins_grp", True)
-    exposure = marts.mart_client_exposure(converted(star, "fct_ast"), int_cli(star), int_ptf(star), instruments)
-    return exposure
+    return marts.mart_client_exposure(converted(star, "fct_ast"), int_cli(star), int_ptf(star), _instruments(star))
 
 
 def mart_portfolio_performance(star: Star) -> DataFrame:
-    instruments = intermediate.with_label(star.raw("ins"), star.raw("ins_grp"), "ins_grp", "cd_ins_grp", True)
-    return marts.mart_portfolio_performance(converted(star, "fct_ast"), int_ptf(star), instruments)
+    return marts.mart_portfolio_performance(converted(star, "fct_ast"), int_ptf(star), _instruments(star))
 
 
 def mart_ptf_detail(star: Star) -> DataFrame:
@@ -258,7 +261,7 @@ def mart_ptf_detail(star: Star) -> DataFrame:
 
 
 def mart_rm_performance(star: Star) -> DataFrame:
-    return marts.mart_rm_performance(converted(star, "fct_ast"), int_cli(star), int_ptf(star), star.calendar(), AS_OF)
+    return marts.mart_rm_performance(converted(star, "fct_ast"), int_cli(star), int_ptf(star), star.calendar, AS_OF)
 
 
 # Expressions
@@ -280,7 +283,7 @@ def ytd_variation(star: Star) -> DataFrame:
 
 def ytd_start_lookup(star: Star) -> DataFrame:
     daily = star.raw("fct_ptf").select("cd_ptf", "dt_fct", "mt_net")
-    return with_ytd_start(daily, ["cd_ptf"], "mt_net", star.calendar())
+    return with_ytd_start(daily, ["cd_ptf"], "mt_net", star.calendar)
 
 
 # Checks, each on data that breaks it
@@ -321,16 +324,13 @@ def _forgotten_conversion(star: Star, column: str) -> DataFrame:
 
 
 def _gaps(rows: DataFrame, column: str) -> DataFrame:
-    return rows.select(
-        "cd_fct_ast", column,
-        F.col(f"expected_{column}").cast("decimal(24,6)").alias(f"expected_{column}"),
-        F.col("ecart").cast("decimal(24,6)").alias("ecart"),
-    )
+    return rows.select("cd_fct_ast", column, f"expected_{column}", "ecart")
 
 
 def dq_fx_direct(star: Star) -> DataFrame:
     wrong = _forgotten_conversion(star, "mt_ast_ref")
-    return _gaps(quality.misconverted_rows(wrong, "mt_ast_ref", "mt_ast", "xrt_rate_pos"), "mt_ast_ref")
+    gaps = _gaps(quality.misconverted_rows(wrong, "mt_ast_ref", "mt_ast", "xrt_rate_pos"), "mt_ast_ref")
+    return gaps.withColumns({c: F.col(c).cast("decimal(24,6)") for c in ("expected_mt_ast_ref", "ecart")})
 
 
 def dq_fx_pivot(star: Star) -> DataFrame:

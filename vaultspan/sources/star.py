@@ -15,12 +15,28 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vaultspan.functions import stamp
-from vaultspan.operators.calendar import month_end_calendar
+from vaultspan.operators.calendar import Calendar, month_end_calendar
 from vaultspan.operators.scd2 import history_from_changelog
+from vaultspan.operators.skew import join_dimension
 from vaultspan.plans.staging import Run
 from vaultspan.sources.schemas import ALL_TABLES
 from vaultspan.types import DDL
 
+# The given tables.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 # Fixed values of the mapping.
 CURRENCIES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 UNITS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
@@ -54,15 +70,19 @@ class Star:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
+        self._read: dict[str, DataFrame] = {}
+        self._raw: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
     def raw(self, name: str) -> DataFrame:
         """One raw table, in the column order and types of its schema."""
-        spec = ALL_TABLES[name]
-        rows = getattr(self, f"_{name}")()
-        return rows.select(*(F.col(c).cast(DDL[k]).alias(c) for c, k in spec.columns.items()))
+        if name not in self._raw:
+            self._raw[name] = getattr(self, f"_{name}")().to(ALL_TABLES[name].schema)
+        return self._raw[name]
 
     def in_use(self, name: str) -> DataFrame:
         """A small code table, cut down to the codes its users hold."""
@@ -73,6 +93,7 @@ class Star:
 
     # Code tables
 
+    @cached_property
     def _regions(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")
         return nation.join(region, nation.n_regionkey == region.r_regionkey)
@@ -88,7 +109,7 @@ class Star:
         )
 
     def _mng(self) -> DataFrame:
-        return self._regions().select(
+        return self._regions.select(
             _text("RM", F.col("n_nationkey")).alias("cd_mng"),
             _text("Manager ", F.col("n_name")).alias("lb_mng"),
             _text("GRP_", F.col("r_name")).alias("cd_mng_grp"),
@@ -174,7 +195,7 @@ class Star:
 
     @cached_property
     def _customers(self) -> DataFrame:
-        customer, regions = self.table("customer"), self._regions()
+        customer, regions = self.table("customer"), self._regions
         return customer.join(F.broadcast(regions), customer.c_nationkey == regions.n_nationkey)  # one row per nation
 
     def _prs(self) -> DataFrame:
@@ -255,12 +276,13 @@ class Star:
         """Line items with their customer and the currency of their supplier."""
         lines = self.table("lineitem")
         owners = self.table("orders").select("o_orderkey", "o_custkey")
-        regions = self._regions().select("n_nationkey", F.col("r_name").alias("line_ccy"))
+        regions = self._regions.select("n_nationkey", F.col("r_name").alias("line_ccy"))
         supplier = self.table("supplier")
         quoted = supplier.join(F.broadcast(regions), supplier.s_nationkey == regions.n_nationkey)
-        return lines.join(owners, lines.l_orderkey == owners.o_orderkey).join(
-            quoted.select("s_suppkey", "line_ccy"), F.col("l_suppkey") == F.col("s_suppkey")
-        ).withColumn("shipped", F.col("l_shipdate").cast("date"))
+        supplied = join_dimension(lines, quoted.select(F.col("s_suppkey").alias("l_suppkey"), "line_ccy"), "l_suppkey")
+        return supplied.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
+            "shipped", F.col("l_shipdate").cast("date")
+        )
 
     @staticmethod
     def _line_key(prefix: str) -> Column:
@@ -375,28 +397,28 @@ class Star:
         All are loaded first; the closed ones change in 1998, the oldest of
         them twice on the same day.
         """
-        rows = self.raw(name)
-        code = {"cli": "cd_cli_cat", "ptf": "cd_prf"}[name]
-        label = f"lb_{name}_alt"
-        closed = F.col("dt_clo").isNotNull()
-        first = rows.withColumn("ts_stg", stamp(FIRST_LOADED))
-        held = rows.filter(closed).withColumn("ts_stg", stamp(CHANGED)).withColumn(label, F.lit("under review"))
-        changed = (
-            rows.filter(closed & (F.col("dt_cre") < F.lit(CHANGED_TWICE_IF_CREATED_BEFORE)))
-            .withColumn("ts_stg", stamp(CHANGED_AGAIN))
-            .withColumn(code, F.lit("FURNITURE"))
-        )
-        return [first, held, changed]
+        return [self.changelog(name).filter(F.col("ts_stg") == stamp(t)) for t in (FIRST_LOADED, CHANGED, CHANGED_AGAIN)]
 
     def changelog(self, name: str) -> DataFrame:
-        first, held, changed = self.loads(name)
-        return first.unionByName(held).unionByName(changed)
+        """The rows of all loads."""
+        code, label = {"cli": "cd_cli_cat", "ptf": "cd_prf"}[name], f"lb_{name}_alt"
+        closed = F.col("dt_clo").isNotNull()
+        twice = closed & (F.col("dt_cre") < F.lit(CHANGED_TWICE_IF_CREATED_BEFORE))
+        first, late, later = stamp(FIRST_LOADED), stamp(CHANGED), stamp(CHANGED_AGAIN)
+        loaded = F.when(twice, F.array(first, late, later)).when(closed, F.array(first, late)).otherwise(F.array(first))
+        return self.raw(name).withColumn("ts_stg", F.explode(loaded)).withColumns(
+            {
+                label: F.when(F.col("ts_stg") == late, "under review").otherwise(F.col(label)),
+                code: F.when(F.col("ts_stg") == later, "FURNITURE").otherwise(F.col(code)),
+            }
+        )
 
     def history(self, name: str) -> DataFrame:
         return history_from_changelog(self.changelog(name), f"cd_{name}", "ts_stg")
 
-    def calendar(self) -> DataFrame:
-        return month_end_calendar(self.spark, CALENDAR_START, AS_OF)
+    @cached_property
+    def calendar(self) -> Calendar:
+        return Calendar(month_end_calendar(self.spark, CALENDAR_START, AS_OF), date(1995, 1, 31), AS_OF)
 
     def calendar_of_facts(self) -> DataFrame:
         """The calendar that spans the positions: from the first to the day after the last."""
@@ -405,6 +427,5 @@ class Star:
         ).first()
         return month_end_calendar(self.spark, span["lo"], span["hi"])
 
-    def lookups(self) -> dict[str, DataFrame]:
-        names = ("cli_cat", "cty", "mng", "mng_grp", "ccy", "prf", "mng_ext", "agn", "ent", "buu")
+    def lookups(self, *names: str) -> dict[str, DataFrame]:
         return {name: self.raw(name) for name in names}
