@@ -17,14 +17,15 @@ def upsert(existing: DataFrame | None, batch: DataFrame, key: str) -> DataFrame:
         return batch
     assert_same_columns(existing, batch, key)
     kept = existing.join(batch.select(key), key, "left_anti")
-    return kept.unionByName(batch)
+    return kept.select(*existing.columns).unionByName(batch)
 
 
 def unseen(existing: DataFrame | None, batch: DataFrame, key: str) -> DataFrame:
     """Rows of the batch whose key the target does not hold yet."""
     if existing is None:
         return batch
-    return batch.filter(F.col(key).isNotNull()).join(existing.select(key), key, "left_anti")
+    fresh = batch.filter(F.col(key).isNotNull()).join(existing.select(key), key, "left_anti")
+    return fresh.select(*batch.columns)
 
 
 def newer_than_target(existing: DataFrame | None, batch: DataFrame, day: str) -> DataFrame:

@@ -46,52 +46,32 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 class LoadedTable:
-    """A table kept as one Parquet folder per load, ``<path>/load=<run id>``.
+    """A table kept as one Parquet folder per load, ``<path>/load=<id>``.
 
-    A run only ever writes its own folder, so a retried run replaces its own
-    output and never touches data it reads. Run ids sort in time order.
+    A load only ever writes its own folder, so a retry replaces its own output
+    and never a file it reads. Which loads count is the caller's decision.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
         self.path = path
 
-    def _loads(self) -> DataFrame | None:
-        found = read_table(self.spark, self.path)
-        return None if found is None else found.withColumn(LOAD, F.col(LOAD).cast("string"))
-
-    def appended_before(self, run_id: str) -> DataFrame | None:
-        """All rows appended by earlier runs (insert-only tables)."""
-        loads = self._loads()
-        if loads is None:
-            return None
-        earlier = loads.filter(F.col(LOAD) < run_id)
-        return None if earlier.isEmpty() else earlier.drop(LOAD)
-
-    def version_before(self, run_id: str) -> DataFrame | None:
-        """The newest full version written before this run (upsert tables)."""
-        loads = self._loads()
-        if loads is None:
-            return None
-        newest = loads.filter(F.col(LOAD) < run_id).agg(F.max(LOAD).alias("newest")).first()["newest"]
-        return None if newest is None else loads.filter(F.col(LOAD) == newest).drop(LOAD)
+    def read(self, loads: Sequence[str]) -> DataFrame | None:
+        """The rows of the given loads, None when there are no loads."""
+        return self.spark.read.parquet(*(f"{self.path}/{LOAD}={load}" for load in loads)) if loads else None
 
-    def write(self, run_id: str, rows: DataFrame, month_of: str | None = None) -> DataFrame:
-        """Write this run's folder and read it back.
+    def write(self, load: str, rows: DataFrame, by: Sequence[str | Column] = ()) -> DataFrame:
+        """Write one load, clustered on ``by`` if given, and read it back."""
+        laid_out = clustered(rows, by) if by else rows
+        laid_out.write.mode("overwrite").parquet(f"{self.path}/{LOAD}={load}")
+        return self.read([load])
 
-        ``month_of`` names a date column; rows are grouped by its month so that
-        a later read for a period skips the other files.
-        """
-        folder = f"{self.path}/{LOAD}={run_id}"
-        if month_of:
-            rows = clustered(rows, [F.trunc(month_of, "MM")])
-        rows.write.mode("overwrite").parquet(folder)
-        return self.spark.read.schema(rows.schema).parquet(folder)
-
-    def appended_until(self, run_id: str) -> DataFrame | None:
-        """All rows appended by this run and earlier ones."""
-        loads = self._loads()
-        return None if loads is None else loads.filter(F.col(LOAD) <= run_id).drop(LOAD)
+    def loads(self) -> list[str]:
+        """All load ids in the folder, in order. Meant for small tables."""
+        found = read_table(self.spark, self.path)
+        if found is None:
+            return []
+        return sorted(row[0] for row in found.select(F.col(LOAD).cast("string")).distinct().collect())
 
 
 def clustered(df: DataFrame, by: Sequence[str | Column], partitions: int | None = None) -> DataFrame:
@@ -104,8 +84,3 @@ def clustered(df: DataFrame, by: Sequence[str | Column], partitions: int | None
     spread = F.xxhash64(*df.columns)
     target = [partitions] if partitions else []
     return df.repartitionByRange(*target, *columns, spread).sortWithinPartitions(*columns)
-
-
-def write_clustered(df: DataFrame, path: str, by: Sequence[str | Column]) -> None:
-    """Replace a mart, laid out in the order it is read in."""
-    clustered(df, by).write.mode("overwrite").parquet(path)
