@@ -11,7 +11,7 @@ from __future__ import annotations
 from datetime import date, datetime
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultspan.functions import stamp
@@ -38,6 +38,9 @@ TABLES = {
 }
 
 # Fixed values of the mapping.
+MONEY = DDL["money"]
+POSITION_TYPE = "if(l_linestatus = 'O', 'T', 'C')"
+LINE_KEY = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, shipped)"
 CURRENCIES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 UNITS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 FIRST_RATE_MONTH = date(1995, 6, 1)
@@ -52,18 +55,6 @@ CHANGED_AGAIN = datetime(1998, 2, 10, 18, 0, 0)
 CHANGED_TWICE_IF_CREATED_BEFORE = date(1995, 1, 1)
 
 
-def _text(*parts: Column | str) -> Column:
-    return F.concat(*(p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts))
-
-
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*(F.lit(v) for v in values)), index.cast("int") + 1)
-
-
-def _money(column: Column | str) -> Column:
-    return (F.col(column) if isinstance(column, str) else column).cast(DDL["money"])
-
-
 class Star:
     """Raw banking tables over one folder of star-schema Parquet files."""
 
@@ -91,6 +82,11 @@ class Star:
         held = self.raw(user).select(F.col(column).alias(f"cd_{name}")).distinct()
         return self.raw(name).join(held, f"cd_{name}", "left_semi")
 
+    def _spread(self, rows: DataFrame, key: str) -> DataFrame:
+        """Deal out a file that has fewer splits than there are cores; larger inputs stay as they are."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
+
     # Code tables
 
     @cached_property
@@ -98,98 +94,81 @@ class Star:
         nation, region = self.table("nation"), self.table("region")
         return nation.join(region, nation.n_regionkey == region.r_regionkey)
 
+    def _distinct(self, table: str, column: str) -> DataFrame:
+        return self.table(table).select(column).distinct()
+
     def _ccy(self) -> DataFrame:
-        return self.table("region").select(
-            F.col("r_name").alias("cd_ccy"), _text("Currency ", F.col("r_name")).alias("lb_ccy")
-        )
+        return self.table("region").selectExpr("r_name as cd_ccy", "concat('Currency ', r_name) as lb_ccy")
 
     def _cty(self) -> DataFrame:
-        return self.table("nation").select(
-            F.col("n_name").alias("cd_cty"), _text("Country ", F.col("n_nationkey")).alias("lb_cty")
-        )
+        return self.table("nation").selectExpr("n_name as cd_cty", "concat('Country ', n_nationkey) as lb_cty")
 
     def _mng(self) -> DataFrame:
-        return self._regions.select(
-            _text("RM", F.col("n_nationkey")).alias("cd_mng"),
-            _text("Manager ", F.col("n_name")).alias("lb_mng"),
-            _text("GRP_", F.col("r_name")).alias("cd_mng_grp"),
+        return self._regions.selectExpr(
+            "concat('RM', n_nationkey) as cd_mng",
+            "concat('Manager ', n_name) as lb_mng",
+            "concat('GRP_', r_name) as cd_mng_grp",
         )
 
     def _mng_grp(self) -> DataFrame:
-        return self.table("region").filter(F.col("r_name") != "AFRICA").select(
-            _text("GRP_", F.col("r_name")).alias("cd_mng_grp"), _text("Team ", F.col("r_name")).alias("lb_mng_grp")
+        return self.table("region").filter("r_name <> 'AFRICA'").selectExpr(
+            "concat('GRP_', r_name) as cd_mng_grp", "concat('Team ', r_name) as lb_mng_grp"
         )
 
     def _mng_ext(self) -> DataFrame:
-        return self.table("supplier").select(
-            _text("EXT", F.col("s_suppkey")).alias("cd_mng_ext"), F.col("s_name").alias("lb_mng_ext")
-        )
+        return self.table("supplier").selectExpr("concat('EXT', s_suppkey) as cd_mng_ext", "s_name as lb_mng_ext")
 
     def _agn(self) -> DataFrame:
-        return self.table("orders").select("o_orderpriority").distinct().select(
-            _text("AG", F.substring("o_orderpriority", 1, 1)).alias("cd_agn"), F.col("o_orderpriority").alias("lb_agn")
+        return self._distinct("orders", "o_orderpriority").selectExpr(
+            "concat('AG', left(o_orderpriority, 1)) as cd_agn", "o_orderpriority as lb_agn"
         )
 
     def _ent(self) -> DataFrame:
-        return self.table("part").select(F.col("p_brand").alias("cd_ent")).distinct().withColumn(
-            "lb_ent", _text("Entity ", F.col("cd_ent"))
-        )
+        return self._distinct("part", "p_brand").selectExpr("p_brand as cd_ent", "concat('Entity ', p_brand) as lb_ent")
 
     def _buu(self) -> DataFrame:
-        return self.table("part").select(F.col("p_type").alias("cd_buu")).distinct().withColumn(
-            "lb_buu", _text("Unit ", F.col("cd_buu"))
-        )
-
-    def _segments(self, name: str, left_out: str, title: str) -> DataFrame:
-        segments = self.table("customer").select(F.col("c_mktsegment").alias(f"cd_{name}")).distinct()
-        return segments.filter(F.col(f"cd_{name}") != left_out).withColumn(
-            f"lb_{name}", _text(title, F.col(f"cd_{name}"))
-        )
+        return self._distinct("part", "p_type").selectExpr("p_type as cd_buu", "concat('Unit ', p_type) as lb_buu")
 
     def _cli_cat(self) -> DataFrame:
-        return self._segments("cli_cat", "MACHINERY", "Segment ")
+        return self._distinct("customer", "c_mktsegment").filter("c_mktsegment <> 'MACHINERY'").selectExpr(
+            "c_mktsegment as cd_cli_cat", "concat('Segment ', c_mktsegment) as lb_cli_cat"
+        )
 
     def _prf(self) -> DataFrame:
-        return self._segments("prf", "HOUSEHOLD", "Profile ")
+        return self._distinct("customer", "c_mktsegment").filter("c_mktsegment <> 'HOUSEHOLD'").selectExpr(
+            "c_mktsegment as cd_prf", "concat('Profile ', c_mktsegment) as lb_prf"
+        )
 
     def _ope_typ(self) -> DataFrame:
-        status = F.col("cd_ope_typ")
-        return self.table("orders").select(F.col("o_orderstatus").alias("cd_ope_typ")).distinct().select(
-            status,
-            _text("Operation ", status).alias("lb_ope_typ"),
-            F.when(status == "F", "Y").otherwise("N").alias("yn_nnm"),
-            F.when(status == "O", "Y").otherwise("N").alias("yn_int"),
-            F.when(status == "P", "Y").otherwise("N").alias("yn_loa"),
+        flags = {"yn_nnm": "F", "yn_int": "O", "yn_loa": "P"}
+        return self._distinct("orders", "o_orderstatus").selectExpr(
+            "o_orderstatus as cd_ope_typ",
+            "concat('Operation ', o_orderstatus) as lb_ope_typ",
+            *(f"if(o_orderstatus = '{status}', 'Y', 'N') as {flag}" for flag, status in flags.items()),
         )
 
     def _pos_typ(self) -> DataFrame:
-        return self.table("lineitem").select("l_linestatus").distinct().select(
-            self._position_type().alias("cd_pos_typ"), _text("Status ", F.col("l_linestatus")).alias("lb_pos_typ")
+        return self._distinct("lineitem", "l_linestatus").selectExpr(
+            f"{POSITION_TYPE} as cd_pos_typ", "concat('Status ', l_linestatus) as lb_pos_typ"
         )
 
-    @staticmethod
-    def _position_type() -> Column:
-        return F.when(F.col("l_linestatus") == "O", "T").otherwise("C")
-
     def _ast(self) -> DataFrame:
-        return self.table("part").select(
-            _text("A", F.col("p_partkey")).alias("cd_ast"),
-            F.col("p_name").alias("lb_ast"),
-            _text(F.col("p_brand"), " ", F.col("p_type")).alias("tt_ast"),
-            F.when(F.col("p_size") <= 45, _text("R", F.col("p_size"))).alias("cd_rat"),
+        return self.table("part").selectExpr(
+            "concat('A', p_partkey) as cd_ast",
+            "p_name as lb_ast",
+            "concat(p_brand, ' ', p_type) as tt_ast",
+            "if(p_size <= 45, concat('R', p_size), null) as cd_rat",
         )
 
     def _ins(self) -> DataFrame:
-        return self.table("part").select(
-            _text("I", F.col("p_partkey")).alias("cd_ins"),
-            F.col("p_name").alias("lb_ins"),
-            F.col("p_type").alias("cd_ins_grp"),
+        return self.table("part").selectExpr(
+            "concat('I', p_partkey) as cd_ins", "p_name as lb_ins", "p_type as cd_ins_grp"
         )
 
     def _ins_grp(self) -> DataFrame:
-        return self.table("part").select(F.col("p_type").alias("cd_ins_grp")).distinct().filter(
-            F.col("cd_ins_grp") != "PROMO"
-        ).withColumn("lb_ins_grp", _text("Group ", F.col("cd_ins_grp")))
+        return self._distinct("part", "p_type").filter("p_type <> 'PROMO'").selectExpr(
+            "p_type as cd_ins_grp", "concat('Group ', p_type) as lb_ins_grp"
+        )
 
     # People, clients, portfolios
 
@@ -199,194 +178,182 @@ class Star:
         return customer.join(F.broadcast(regions), customer.c_nationkey == regions.n_nationkey)  # one row per nation
 
     def _prs(self) -> DataFrame:
-        key, natural = F.col("c_custkey"), F.col("c_acctbal") >= 0
-        return self._customers.select(
-            _text("PRS", key).alias("cd_prs"),
-            F.col("c_name").alias("lb_prs"),
-            F.when(natural, "Y").alias("yn_php"),
-            F.when(natural, F.date_add(F.lit(date(1940, 1, 1)), (key % 20000).cast("int"))).alias("dt_bth"),
-            F.when(F.col("c_acctbal") > 9000, F.lit(date(2000, 1, 1))).alias("dt_dth"),
-            F.when(natural, F.when(F.col("c_nationkey") < 12, "M").otherwise("F")).alias("cd_gnd"),
-            F.when(natural, "INDIVIDUAL").otherwise("COMPANY").alias("cd_prs_typ"),
-            F.col("n_name").alias("cd_cty_nat"),
-            F.when(natural, F.col("n_name")).alias("cd_cty_dom"),
+        natural = "c_acctbal >= 0"
+        return self._customers.selectExpr(
+            "concat('PRS', c_custkey) as cd_prs",
+            "c_name as lb_prs",
+            f"if({natural}, 'Y', null) as yn_php",
+            f"if({natural}, date_add(date '1940-01-01', int(c_custkey % 20000)), null) as dt_bth",
+            "if(c_acctbal > 9000, date '2000-01-01', null) as dt_dth",
+            f"if({natural}, if(c_nationkey < 12, 'M', 'F'), null) as cd_gnd",
+            f"if({natural}, 'INDIVIDUAL', 'COMPANY') as cd_prs_typ",
+            "n_name as cd_cty_nat",
+            f"if({natural}, n_name, null) as cd_cty_dom",
         )
 
     def _cli(self) -> DataFrame:
         """A client is the first of three neighbouring customers."""
         first = F.min(F.struct("c_custkey", "c_name", "c_nationkey", "n_name", "r_name", "c_mktsegment", "c_acctbal"))
         clients = self._customers.groupBy(F.expr("c_custkey div 3").alias("g")).agg(first.alias("c")).select("g", "c.*")
-        return clients.select(
-            _text("C", F.col("g")).alias("cd_cli"),
-            F.col("c_name").alias("lb_cli"),
-            F.upper("c_name").alias("lb_cli_alt"),
-            F.date_add(F.lit(date(1994, 1, 1)), (F.col("g") % 900).cast("int")).alias("dt_cre"),
-            F.when(F.col("c_acctbal") < 0, F.lit(date(2000, 6, 30))).alias("dt_clo"),
-            F.col("n_name").alias("cd_cty_dom"),
-            _text("NATION_", F.col("c_nationkey") + 1).alias("cd_cty_nat"),
-            _text("RM", F.col("c_nationkey")).alias("cd_mng_rel"),
-            F.col("c_mktsegment").alias("cd_cli_cat"),
-            F.col("r_name").alias("cd_ccy"),
+        return clients.selectExpr(
+            "concat('C', g) as cd_cli",
+            "c_name as lb_cli",
+            "upper(c_name) as lb_cli_alt",
+            "date_add(date '1994-01-01', int(g % 900)) as dt_cre",
+            "if(c_acctbal < 0, date '2000-06-30', null) as dt_clo",
+            "n_name as cd_cty_dom",
+            "concat('NATION_', c_nationkey + 1) as cd_cty_nat",
+            "concat('RM', c_nationkey) as cd_mng_rel",
+            "c_mktsegment as cd_cli_cat",
+            "r_name as cd_ccy",
         )
 
     def _ptf(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return self._customers.select(
-            _text("P", key).alias("cd_ptf"),
-            _text("Portfolio ", F.col("c_name")).alias("lb_ptf"),
-            _text(F.col("c_mktsegment"), " ", key).alias("lb_ptf_alt"),
-            F.date_add(F.lit(date(1994, 1, 1)), (key % 900).cast("int")).alias("dt_cre"),
-            F.when(F.col("c_acctbal") < 0, F.lit(date(2000, 6, 30))).alias("dt_clo"),
-            _text("C", F.expr("c_custkey div 3")).alias("cd_cli"),
-            F.col("r_name").alias("cd_ccy"),
-            F.col("c_mktsegment").alias("cd_prf"),
-            _text("RM", F.col("c_nationkey")).alias("cd_mng"),
-            F.when(key % 2 == 0, _text("EXT", key % 100)).alias("cd_mng_ext"),
-            F.when(key % 7 != 0, _text("AG", key % 5 + 1)).alias("cd_agn"),
-            _text("Brand#", key % 25 + 1).alias("cd_ent"),
-            _pick(UNITS, key % 6).alias("cd_buu"),
+        return self._customers.selectExpr(
+            "concat('P', c_custkey) as cd_ptf",
+            "concat('Portfolio ', c_name) as lb_ptf",
+            "concat(c_mktsegment, ' ', c_custkey) as lb_ptf_alt",
+            "date_add(date '1994-01-01', int(c_custkey % 900)) as dt_cre",
+            "if(c_acctbal < 0, date '2000-06-30', null) as dt_clo",
+            "concat('C', c_custkey div 3) as cd_cli",
+            "r_name as cd_ccy",
+            "c_mktsegment as cd_prf",
+            "concat('RM', c_nationkey) as cd_mng",
+            "if(c_custkey % 2 = 0, concat('EXT', c_custkey % 100), null) as cd_mng_ext",
+            "if(c_custkey % 7 <> 0, concat('AG', c_custkey % 5 + 1), null) as cd_agn",
+            "concat('Brand#', c_custkey % 25 + 1) as cd_ent",
+            f"element_at(array{UNITS}, int(c_custkey % 6) + 1) as cd_buu",
         )
 
     # Rates and facts
 
     def _fct_xrt(self) -> DataFrame:
         """A rate per currency and month end, by formula; one currency has none."""
-        months = F.sequence(F.lit(FIRST_RATE_MONTH), F.lit(LAST_RATE_MONTH), F.expr("interval 1 month"))
-        ends = F.explode(F.transform(months, F.last_day))
-        quoted = self.table("region").filter(F.col("r_name") != "MIDDLE EAST")
-        dated = quoted.select("r_regionkey", F.col("r_name").alias("cd_ccy"), ends.alias("dt_fct"))
-        number = F.year("dt_fct") * 12 + F.month("dt_fct")
-        moving = 50 + (number * 7 + F.col("r_regionkey") * 13) % 97
-        hundredths = F.when(F.col("cd_ccy") == "EUROPE", 100).otherwise(moving)
-        return dated.select(
-            _text(F.col("cd_ccy"), "_", F.date_format("dt_fct", "yyyyMMdd")).alias("cd_fct_xrt"),
+        months = f"sequence(date '{FIRST_RATE_MONTH}', date '{LAST_RATE_MONTH}', interval 1 month)"
+        quoted = self.table("region").filter("r_name <> 'MIDDLE EAST'")
+        dated = quoted.selectExpr(
+            "r_regionkey", "r_name as cd_ccy", f"explode(transform({months}, m -> last_day(m))) as dt_fct"
+        )
+        moving = "50 + ((year(dt_fct) * 12 + month(dt_fct)) * 7 + r_regionkey * 13) % 97"
+        return dated.selectExpr(
+            "concat(cd_ccy, '_', date_format(dt_fct, 'yyyyMMdd')) as cd_fct_xrt",
             "cd_ccy",
             "dt_fct",
-            F.lit(1).alias("rt_fac"),
-            (hundredths.cast("decimal(10,0)") * F.lit("0.01").cast("decimal(3,2)")).alias("rt_val"),
+            "1 as rt_fac",
+            f"cast(if(cd_ccy = 'EUROPE', 100, {moving}) as decimal(10,0)) * 0.01 as rt_val",
         )
 
     def rates_in_use(self) -> DataFrame:
         """The rates of the months in which operations were booked."""
-        booked = self.table("orders").select(F.last_day(F.col("o_orderdate").cast("date")).alias("dt_fct")).distinct()
+        booked = self.table("orders").selectExpr("last_day(date(o_orderdate)) as dt_fct").distinct()
         return self.raw("fct_xrt").join(booked, "dt_fct", "left_semi").select(*ALL_TABLES["fct_xrt"].columns)
 
     @cached_property
     def _lines(self) -> DataFrame:
         """Line items with their customer and the currency of their supplier."""
-        lines = self.table("lineitem")
+        lines = self._spread(self.table("lineitem"), "l_orderkey")
         owners = self.table("orders").select("o_orderkey", "o_custkey")
-        regions = self._regions.select("n_nationkey", F.col("r_name").alias("line_ccy"))
+        regions = self._regions.selectExpr("n_nationkey", "r_name as line_ccy")
         supplier = self.table("supplier")
-        quoted = supplier.join(F.broadcast(regions), supplier.s_nationkey == regions.n_nationkey)
-        supplied = join_dimension(lines, quoted.select(F.col("s_suppkey").alias("l_suppkey"), "line_ccy"), "l_suppkey")
-        return supplied.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
-            "shipped", F.col("l_shipdate").cast("date")
-        )
-
-    @staticmethod
-    def _line_key(prefix: str) -> Column:
-        parts = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("shipped").cast("string"))
-        return F.concat(F.lit(prefix), parts)
+        quoted = supplier.join(F.broadcast(regions), supplier.s_nationkey == regions.n_nationkey)  # one row per nation
+        supplied = join_dimension(lines, quoted.selectExpr("s_suppkey as l_suppkey", "line_ccy"), "l_suppkey")
+        owned = supplied.join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
+        return owned.withColumn("shipped", F.expr("date(l_shipdate)"))
 
     def _fct_ast(self) -> DataFrame:
-        price = _money("l_extendedprice")
-        return self._lines.select(
-            self._line_key("AST-").alias("cd_fct_ast"),
-            _text("POS-", F.col("o_custkey"), "-", F.col("l_partkey")).alias("cd_pos"),
-            self._position_type().alias("cd_pos_typ"),
-            _text("P", F.col("o_custkey")).alias("cd_ptf"),
-            F.last_day("shipped").alias("dt_fct"),
-            F.col("line_ccy").alias("cd_ccy"),
-            _text("I", F.col("l_partkey")).alias("cd_ins"),
-            _text("A", F.col("l_partkey")).alias("cd_ast"),
-            F.when(F.col("l_returnflag") != "N", _text("Line ", F.col("l_linenumber"))).alias("lb_fct_ast"),
-            F.col("l_quantity").alias("qt_ast"),
-            price.alias("mt_ast"),
-            (price * F.col("l_tax").cast("decimal(4,2)")).alias("mt_aci"),
-            F.col("l_discount").alias("rt_prm"),
-            F.col("l_tax").alias("rt_pam"),
-            (price * (F.col("l_discount").cast("decimal(4,2)") - F.col("l_tax").cast("decimal(4,2)"))).alias("mt_pnl"),
-            (F.col("l_discount").cast("decimal(4,2)") - F.col("l_tax").cast("decimal(4,2)")).alias("pc_twr"),
+        price = f"cast(l_extendedprice as {MONEY})"
+        spread = "(cast(l_discount as decimal(4,2)) - cast(l_tax as decimal(4,2)))"
+        return self._lines.selectExpr(
+            f"concat('AST-', {LINE_KEY}) as cd_fct_ast",
+            "concat('POS-', o_custkey, '-', l_partkey) as cd_pos",
+            f"{POSITION_TYPE} as cd_pos_typ",
+            "concat('P', o_custkey) as cd_ptf",
+            "last_day(shipped) as dt_fct",
+            "line_ccy as cd_ccy",
+            "concat('I', l_partkey) as cd_ins",
+            "concat('A', l_partkey) as cd_ast",
+            "if(l_returnflag <> 'N', concat('Line ', l_linenumber), null) as lb_fct_ast",
+            "l_quantity as qt_ast",
+            f"{price} as mt_ast",
+            f"{price} * cast(l_tax as decimal(4,2)) as mt_aci",
+            "l_discount as rt_prm",
+            "l_tax as rt_pam",
+            f"{price} * {spread} as mt_pnl",
+            f"{spread} as pc_twr",
         )
 
     def _fct_mvt(self) -> DataFrame:
         """Securities legs carry a share count, cash legs a signed amount."""
-        securities = F.col("l_linestatus") == "O"
-        size = F.when(securities, _money("l_quantity")).otherwise(_money("l_extendedprice"))
-        returned = F.col("l_returnflag") == "R"
-        return self._lines.select(
-            self._line_key("MVT-").alias("cd_fct_mvt"),
-            _text("POS-", F.col("o_custkey"), "-", F.col("l_partkey")).alias("cd_pos"),
-            _text("OPE-", F.col("l_orderkey")).alias("cd_fct_ope"),
-            F.when(returned, "Y").otherwise("N").alias("yn_ext"),
-            F.col("shipped").alias("dt_cta"),
-            F.when(securities, 1).otherwise(2).alias("id_obj_mvt_cat"),
-            F.col("l_returnflag").alias("cd_mvt_typ"),
-            _text("P", F.col("o_custkey")).alias("cd_ptf"),
-            F.when(securities, "SEC").otherwise("CSH").alias("cd_mvt_res"),
-            _text("A", F.col("l_partkey")).alias("cd_ast"),
-            _text("I", F.col("l_partkey")).alias("cd_ins"),
-            F.col("line_ccy").alias("cd_ccy_mvt"),
-            F.when(returned, -size).otherwise(size).alias("mt_mvt"),
+        size = f"cast(if(l_linestatus = 'O', l_quantity, l_extendedprice) as {MONEY})"
+        return self._lines.selectExpr(
+            f"concat('MVT-', {LINE_KEY}) as cd_fct_mvt",
+            "concat('POS-', o_custkey, '-', l_partkey) as cd_pos",
+            "concat('OPE-', l_orderkey) as cd_fct_ope",
+            "if(l_returnflag = 'R', 'Y', 'N') as yn_ext",
+            "shipped as dt_cta",
+            "if(l_linestatus = 'O', 1, 2) as id_obj_mvt_cat",
+            "l_returnflag as cd_mvt_typ",
+            "concat('P', o_custkey) as cd_ptf",
+            "if(l_linestatus = 'O', 'SEC', 'CSH') as cd_mvt_res",
+            "concat('A', l_partkey) as cd_ast",
+            "concat('I', l_partkey) as cd_ins",
+            "line_ccy as cd_ccy_mvt",
+            f"if(l_returnflag = 'R', -{size}, {size}) as mt_mvt",
         )
 
     def _fct_ope(self) -> DataFrame:
-        orders = self.table("orders").withColumn("day", F.col("o_orderdate").cast("date"))
-        key, urgent = F.col("o_orderkey"), F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-        return orders.select(
-            _text("OPE-", key).alias("cd_fct_ope"),
-            _text("TXN-", key).alias("cd_ope"),
-            F.lit(1).alias("nb_seq_ptc"),
-            _text("Order ", F.col("o_orderpriority")).alias("lb_fct_ope"),
-            F.when(urgent, _text("X", key)).alias("cd_fct_ope_ext"),
-            F.col("o_orderstatus").alias("cd_ope_typ"),
-            F.when(urgent, "D").otherwise("C").alias("cd_deb_crd"),
-            F.when(F.col("o_orderstatus") == "P", "Y").otherwise("N").alias("yn_pro"),
-            _text("POS-", F.col("o_custkey"), "-", key % 200).alias("cd_pos"),
-            _text("P", F.col("o_custkey")).alias("cd_ptf"),
-            _pick(CURRENCIES, key % 5).alias("cd_ccy_ope"),
-            _text("A", key % 200).alias("cd_ast"),
-            _text("I", key % 200).alias("cd_ins"),
-            F.col("day").alias("dt_cta"),
-            F.col("day").alias("dt_exe"),
-            F.date_add("day", 2).alias("dt_val"),
-            (key % 100 + 1).alias("qt_ope"),
-            _money("o_totalprice").alias("mt_ope"),
-            (_money("o_totalprice") * F.lit("0.99").cast("decimal(3,2)")).alias("mt_net"),
+        urgent, price = "o_orderpriority in ('1-URGENT', '2-HIGH')", f"cast(o_totalprice as {MONEY})"
+        return self.table("orders").selectExpr(
+            "concat('OPE-', o_orderkey) as cd_fct_ope",
+            "concat('TXN-', o_orderkey) as cd_ope",
+            "1 as nb_seq_ptc",
+            "concat('Order ', o_orderpriority) as lb_fct_ope",
+            f"if({urgent}, concat('X', o_orderkey), null) as cd_fct_ope_ext",
+            "o_orderstatus as cd_ope_typ",
+            f"if({urgent}, 'D', 'C') as cd_deb_crd",
+            "if(o_orderstatus = 'P', 'Y', 'N') as yn_pro",
+            "concat('POS-', o_custkey, '-', o_orderkey % 200) as cd_pos",
+            "concat('P', o_custkey) as cd_ptf",
+            f"element_at(array{CURRENCIES}, int(o_orderkey % 5) + 1) as cd_ccy_ope",
+            "concat('A', o_orderkey % 200) as cd_ast",
+            "concat('I', o_orderkey % 200) as cd_ins",
+            "date(o_orderdate) as dt_cta",
+            "date(o_orderdate) as dt_exe",
+            "date_add(date(o_orderdate), 2) as dt_val",
+            "o_orderkey % 100 + 1 as qt_ope",
+            f"{price} as mt_ope",
+            f"{price} * 0.99 as mt_net",
         )
 
     def _fct_ptf(self) -> DataFrame:
         """Order sums per customer and month; the running year is a window of at most twelve months."""
-        orders = self.table("orders").withColumn("day", F.col("o_orderdate").cast("date"))
-        price = _money("o_totalprice")
-        wanted = {
-            "mt_inc": F.col("o_orderstatus") == "F",
-            "mt_out": F.col("o_orderstatus") == "O",
-            "mt_nnm_inc": F.col("o_orderpriority") == "1-URGENT",
-            "mt_nnm_out": F.col("o_orderpriority") == "2-HIGH",
-            "mt_int_inc": F.col("o_orderpriority") == "3-MEDIUM",
-            "mt_int_out": F.col("o_orderpriority") == "5-LOW",
+        flows = {
+            "mt_inc": "o_orderstatus = 'F'",
+            "mt_out": "o_orderstatus = 'O'",
+            "mt_nnm_inc": "o_orderpriority = '1-URGENT'",
+            "mt_nnm_out": "o_orderpriority = '2-HIGH'",
+            "mt_int_inc": "o_orderpriority = '3-MEDIUM'",
+            "mt_int_out": "o_orderpriority = '5-LOW'",
         }
-        zero = F.lit(0).cast(DDL["money"])
-        last = F.col("day") == F.last_day("day")
-        sums = [F.sum(price).alias("total")]
-        for name, condition in wanted.items():
-            sums.append(F.sum(F.when(condition, price).otherwise(zero)).alias(f"{name}_mtd"))
-            sums.append(F.sum(F.when(condition & last, price).otherwise(zero)).alias(f"{name}_dtd"))
-        monthly = orders.groupBy("o_custkey", F.last_day("day").alias("dt_fct")).agg(*sums)
-        year = Window.partitionBy("o_custkey", F.year("dt_fct")).orderBy("dt_fct")
-        running = {f"{name}_ytd": F.sum(f"{name}_mtd").over(year) for name in wanted}
-        percent = {"mt_aci": "0.01", "mt_lia": "0.25", "mt_pnl": "0.05", "mt_pnc": "0.02"}
-        parts = {name: F.col("total") * F.lit(p).cast("decimal(3,2)") for name, p in percent.items()}
-        return monthly.withColumns(running).withColumns(
-            {
-                "cd_fct_ptf": _text("FCT-P", F.col("o_custkey"), "-", F.date_format("dt_fct", "yyyyMMdd")),
-                "cd_ptf": _text("P", F.col("o_custkey")),
-                "pc_ptf": (F.col("o_custkey") % 100).cast("decimal(10,0)") * F.lit("0.01").cast("decimal(3,2)"),
-                "mt_net": F.col("total"),
-                **parts,
-            }
+        priced = self.table("orders").selectExpr(
+            "o_custkey", "o_orderstatus", "o_orderpriority", "date(o_orderdate) as day",
+            "last_day(date(o_orderdate)) as dt_fct", f"cast(o_totalprice as {MONEY}) as price",
+        )
+        sums = ["sum(price) as total"]
+        for name, rule in flows.items():
+            sums.append(f"sum(if({rule}, price, 0)) as {name}_mtd")
+            sums.append(f"sum(if({rule} and day = dt_fct, price, 0)) as {name}_dtd")
+        monthly = priced.groupBy("o_custkey", "dt_fct").agg(*map(F.expr, sums))
+        to_date = "over (partition by o_custkey, year(dt_fct) order by dt_fct)"
+        return monthly.selectExpr(
+            "concat('FCT-P', o_custkey, '-', date_format(dt_fct, 'yyyyMMdd')) as cd_fct_ptf",
+            "concat('P', o_custkey) as cd_ptf",
+            "dt_fct",
+            "cast(o_custkey % 100 as decimal(10,0)) * 0.01 as pc_ptf",
+            "total as mt_net", "total * 0.01 as mt_aci", "total * 0.25 as mt_lia", "total * 0.05 as mt_pnl",
+            "total * 0.02 as mt_pnc",
+            *(f"sum({name}_mtd) {to_date} as {name}_ytd" for name in flows),
+            *(f"{name}_{horizon}" for name in flows for horizon in ("mtd", "dtd")),
         )
 
     # History and calendar
