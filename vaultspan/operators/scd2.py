@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,14 +88,11 @@ def history_from_changelog(changes: DataFrame, key: str, updated_at: str) -> Dat
     )
 
 
-def on_calendar(history: DataFrame, calendar: Calendar, created: str) -> DataFrame:
-    """One row per calendar date on which a version is in force.
+def _by_month(history: DataFrame, calendar: Calendar, created: str) -> DataFrame:
+    """Each version once per month it touches, with its window ``_begin`` .. ``_end`` inside the calendar.
 
-    A version covers [max(created, date(valid_from)), date(valid_to)). Instead
-    of pairing every version with every date, a version is exploded into the
-    months of its own window and met with the calendar on the month, so the
-    work grows with the rows produced. The calendar has at most one row per
-    day between two known dates, which bounds its broadcast.
+    A version covers [max(created, date(valid_from)), date(valid_to)). The
+    calendar's bounds keep the number of months finite for open versions.
     """
     first, last = F.lit(calendar.first).cast("date"), F.lit(calendar.last).cast("date")
     begin = F.greatest(F.to_date("valid_from"), F.col(created), first)
@@ -102,10 +102,54 @@ def on_calendar(history: DataFrame, calendar: Calendar, created: str) -> DataFra
         F.col(created).isNotNull() & F.col("valid_from").isNotNull() & (F.col("_begin") <= F.col("_end"))
     )
     months = F.sequence(F.trunc("_begin", "MM"), F.trunc("_end", "MM"), F.expr("interval 1 month"))
+    return in_force.withColumn("_month", F.explode(months))
+
+
+def on_calendar(history: DataFrame, calendar: Calendar, created: str) -> DataFrame:
+    """One row per calendar date on which a version is in force.
+
+    Instead of pairing every version with every date, the months of a version
+    meet the months of the calendar, so the work grows with the rows produced.
+    The calendar has at most one row per day between two known dates, which
+    bounds its broadcast.
+    """
     dates = calendar.days.select("dt_fct", F.trunc("dt_fct", "MM").alias("_month"))
     return (
-        in_force.withColumn("_month", F.explode(months))
+        _by_month(history, calendar, created)
         .join(F.broadcast(dates), "_month")
         .filter(F.col("dt_fct").between(F.col("_begin"), F.col("_end")))
         .drop("_month", "_begin", "_end")
     )
+
+
+@dataclass(frozen=True)
+class PointInTime:
+    """A dimension's versions, to be looked up by key and calendar date."""
+
+    versions: DataFrame
+    calendar: Calendar
+    key: str
+    created: str
+
+    def table(self) -> DataFrame:
+        """One row per key and calendar date."""
+        return on_calendar(self.versions, self.calendar, self.created)
+
+    def attach(self, rows: DataFrame, columns: Sequence[str | Column], how: str = "inner") -> DataFrame:
+        """Join ``columns`` of the version in force on the row's ``dt_fct``.
+
+        The same rows as an equi-join with ``table()``, without building it:
+        only the dates that occur in ``rows`` are looked up. The join is an
+        equality on (key, month), so a key meets at most a month of versions.
+        """
+        days = self.calendar.days.select(F.col("dt_fct").alias("_day"))
+        dated = rows.join(F.broadcast(days), F.col("dt_fct") == F.col("_day"), "left")  # one row per day
+        windows = _by_month(self.versions, self.calendar, self.created).select(
+            F.col(self.key).alias("_key"), "_month", "_begin", "_end", *columns
+        )
+        in_force = (
+            (F.col(self.key) == F.col("_key"))
+            & (F.trunc("_day", "MM") == F.col("_month"))
+            & F.col("_day").between(F.col("_begin"), F.col("_end"))
+        )
+        return dated.join(windows, in_force, how).drop("_day", "_key", "_month", "_begin", "_end")

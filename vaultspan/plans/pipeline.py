@@ -14,7 +14,7 @@ from vaultspan.operators.asof import AsOfIndex
 from vaultspan.operators.calendar import Calendar, month_end_calendar
 from vaultspan.operators.incremental import upsert
 from vaultspan.operators.quality import run_checks
-from vaultspan.operators.scd2 import roll_open_versions
+from vaultspan.operators.scd2 import PointInTime, roll_open_versions
 from vaultspan.plans import intermediate, marts
 from vaultspan.plans.checks import declared_checks
 from vaultspan.plans.staging import Run, stage_new_rows, stage_upsert
@@ -66,6 +66,7 @@ class Pipeline:
             raise ValueError(f"run {run.run_id} is older than finished runs {later}")
         self.earlier = [r for r in finished if r < run.run_id]
         self.tables: dict[str, DataFrame] = {}
+        self.dimensions: dict[str, PointInTime] = {}
 
     def stored(self, name: str) -> LoadedTable:
         return LoadedTable(self.spark, f"{self.root}/{name}")
@@ -128,8 +129,10 @@ class Pipeline:
         calendar = Calendar.of(self.tables["stg_set_cal"])
         lookups = {name: self.tables[f"stg_{name}"] for name in DIMENSIONS}
         self.tables["int_set_cal"] = intermediate.int_set_cal(calendar.days)
-        self.keep("int_cli", intermediate.int_cli(self.history("cli"), calendar, lookups), ["dt_fct", "cd_cli"])
-        self.keep("int_ptf", intermediate.int_ptf(self.history("ptf"), calendar, lookups), ["dt_fct", "cd_ptf"])
+        cli = self.dimensions["cli"] = intermediate.clients(self.history("cli"), calendar, lookups)
+        ptf = self.dimensions["ptf"] = intermediate.portfolios(self.history("ptf"), calendar, lookups)
+        self.keep("int_cli", intermediate.int_cli(cli), ["dt_fct", "cd_cli"])
+        self.keep("int_ptf", intermediate.int_ptf(ptf), ["dt_fct", "cd_ptf"])
         self.keep("int_ins", intermediate.int_ins(lookups["ins"], lookups["ins_grp"]))
         rates = intermediate.rate_index(self.tables["stg_fct_xrt"])
         for name, rows in fresh.items():
@@ -138,7 +141,8 @@ class Pipeline:
 
     def marts(self, calendar: Calendar) -> None:
         t, as_of, year, now = self.tables, self.settings.as_of, self.settings.aum_year, self.run.run_ts
-        positions, cli, ptf, ins = t["int_fct_ast"], t["int_cli"], t["int_ptf"], t["int_ins"]
+        positions, ins = t["int_fct_ast"], t["int_ins"]
+        cli, ptf = self.dimensions["cli"], self.dimensions["ptf"]
         built = {
             "mart_aum_ytd": marts.mart_aum_ytd(positions, cli, ptf, calendar, as_of, year, now),
             "mart_client_exposure": marts.mart_client_exposure(positions, cli, ptf, ins),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 from functools import partial
 from uuid import uuid4
@@ -22,7 +23,7 @@ from vaultspan.functions import (
 from vaultspan.operators import quality
 from vaultspan.operators.asof import asof_lookup
 from vaultspan.operators.incremental import insert_only, newer_than_target
-from vaultspan.operators.scd2 import on_calendar, snapshot
+from vaultspan.operators.scd2 import PointInTime, on_calendar, snapshot
 from vaultspan.operators.ytd import with_ytd_start
 from vaultspan.plans import intermediate, marts
 from vaultspan.plans.checks import declared_checks
@@ -167,13 +168,28 @@ def scd2_calendar(star: Star) -> DataFrame:
     return dated.select("cd_ptf", "dt_fct", "cd_prf", "lb_ptf_alt", "valid_from")
 
 
+def _stored(dimension: PointInTime) -> PointInTime:
+    """The labelled versions as a table of their own, the way a run keeps them between its layers."""
+    ensure_checkpoint_dir(dimension.versions.sparkSession)
+    return replace(dimension, versions=dimension.versions.checkpoint())
+
+
+def clients(star: Star) -> PointInTime:
+    lookups = star.lookups("cli_cat", "cty", "mng")
+    return _stored(intermediate.clients(star.history("cli"), star.calendar, lookups))
+
+
+def portfolios(star: Star) -> PointInTime:
+    lookups = star.lookups("ccy", "prf", "mng", "mng_grp", "mng_ext", "agn", "ent", "buu")
+    return _stored(intermediate.portfolios(star.history("ptf"), star.calendar, lookups))
+
+
 def int_cli(star: Star) -> DataFrame:
-    return intermediate.int_cli(star.history("cli"), star.calendar, star.lookups("cli_cat", "cty", "mng"))
+    return intermediate.int_cli(clients(star))
 
 
 def int_ptf(star: Star) -> DataFrame:
-    lookups = star.lookups("ccy", "prf", "mng", "mng_grp", "mng_ext", "agn", "ent", "buu")
-    return intermediate.int_ptf(star.history("ptf"), star.calendar, lookups)
+    return intermediate.int_ptf(portfolios(star))
 
 
 def int_ins(star: Star) -> DataFrame:
@@ -245,23 +261,23 @@ def fx_pivot_conversion(star: Star) -> DataFrame:
 
 
 def mart_aum_ytd(star: Star, year: int | None = None) -> DataFrame:
-    return marts.mart_aum_ytd(converted(star, "fct_ast"), int_cli(star), int_ptf(star), star.calendar, AS_OF, year)
+    return marts.mart_aum_ytd(converted(star, "fct_ast"), clients(star), portfolios(star), star.calendar, AS_OF, year)
 
 
 def mart_client_exposure(star: Star) -> DataFrame:
-    return marts.mart_client_exposure(converted(star, "fct_ast"), int_cli(star), int_ptf(star), _instruments(star))
+    return marts.mart_client_exposure(converted(star, "fct_ast"), clients(star), portfolios(star), _instruments(star))
 
 
 def mart_portfolio_performance(star: Star) -> DataFrame:
-    return marts.mart_portfolio_performance(converted(star, "fct_ast"), int_ptf(star), _instruments(star))
+    return marts.mart_portfolio_performance(converted(star, "fct_ast"), portfolios(star), _instruments(star))
 
 
 def mart_ptf_detail(star: Star) -> DataFrame:
-    return marts.mart_ptf_detail(converted(star, "fct_ptf"), int_ptf(star))
+    return marts.mart_ptf_detail(converted(star, "fct_ptf"), portfolios(star))
 
 
 def mart_rm_performance(star: Star) -> DataFrame:
-    return marts.mart_rm_performance(converted(star, "fct_ast"), int_cli(star), int_ptf(star), star.calendar, AS_OF)
+    return marts.mart_rm_performance(converted(star, "fct_ast"), clients(star), portfolios(star), star.calendar, AS_OF)
 
 
 # Expressions
