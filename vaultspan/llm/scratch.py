@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vaultspan.session import ensure_checkpoint_dir
@@ -63,12 +63,11 @@ def numbered(scratch: Scratch, rows: DataFrame, order: list[str], column: str) -
         "ranged",
     )
     part, place = F.shiftright("_slot", 33), F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    later = counts.select(F.col("_part").alias("_after"), F.col("_rows").alias("_before"))
-    offsets = (  # one row per range; each range sums the ranges before it
-        counts.join(later, F.col("_after") < F.col("_part"), "left")
-        .groupBy("_part")
-        .agg(F.coalesce(F.sum("_before"), F.lit(0)).alias("_offset"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (  # a row per range, so one task orders no more than the number of shuffle partitions
+        ranged.groupBy(part.alias("_part"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
     return (
         ranged.withColumn("_part", part)
