@@ -11,9 +11,12 @@ A task writes files under names of its own attempt and reports them with its ind
 rows. The index is stored before it is used, so only files of successful attempts
 are ever read and a task that is run again does no harm.
 
-Tokenising caches the ids of space-separated words. That is exact for tokenizers
-that drop white space and split at it: normalisation never joins characters across a
-space, and no pre-token holds one.
+Tokenising caches the ids of words: what stands between spaces, also cut between an
+ASCII letter and full stop, comma, colon, semicolon, exclamation or question mark. That is
+exact for tokenizers that drop white space, split at it and keep letters apart from
+punctuation: normalisation never joins characters across such a border, and no pre-token
+crosses one. Words are told apart by 64-bit hashes, without letter case of ASCII letters
+where the tokenizer lower-cases itself.
 
 Defined results: a null, empty or blank text has the end id alone; very long texts
 run over as many sequences as they need; repeated rows are stored as often as they
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +39,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from vaultspan.llm.scratch import Scratch
-
-WORD_CACHE = 250_000
+from vaultspan.llm.words import Words, chunks
+
+WORD_CACHE = 300_000
+_SEPARATOR = b"\x01"
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_POINT = np.zeros(256, dtype=bool)
+_POINT[list(b".,;:!?")] = True
 FILE_IDS = 32_000_000  # a file ends with the document that brings it past so many ids
 
 INDEX = "file string, part int, turn int, id long, first long, n_tokens long"
@@ -50,29 +60,79 @@ def _opened(folder: str) -> tuple[pa.fs.FileSystem, str]:
 
 
 class WordTokenizer:
-    """Ids of a text by the tokenizers library, with the ids of words cached."""
+    """Ids of a chunk of texts by the tokenizers library, with the ids of words cached in two generations."""
 
     def __init__(self, definition: str):
         self._tokenizer = Tokenizer.from_str(definition)
         self.kind = np.uint16 if self._tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self._cache: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        encoded = self._tokenizer.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in encoded]
-
-    def __call__(self, text: str) -> bytes:
-        words = text.encode("utf-8").split()  # at ASCII white space
-        cache = self._cache
-        new = [w for w in set(words) if w not in cache]
-        if new:
-            if len(cache) + len(new) > WORD_CACHE:
-                cache.clear()
-                new = list(set(words))
-            known = dict(zip(new, self._encode(new)))
-            cache.update((w, ids) for w, ids in known.items() if len(w) <= 64)
-            return b"".join([known[w] if w in known else cache[w] for w in words])
-        return b"".join(map(cache.__getitem__, words))
+        self._code = "H" if self.kind is np.uint16 else "I"
+        self._lowers = '"Lowercase"' in definition
+        alone = self._ids([_SEPARATOR])[0]
+        self._separator = alone[0] if len(alone) == 1 else None
+        # normalisation and pre-tokenisation leave a lower-case ASCII word as it is
+        self._direct = self._lowers and r"[\\p{L}]+" in definition and '"ByteLevel"' in definition
+        self._young: dict[int, bytes] = {}
+        self._old: dict[int, bytes] = {}
+
+    def _ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        encoded = self._tokenizer.encode_batch_fast([t.decode("utf-8") for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, dtype=self.kind) for e in encoded]
+
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word. Plain words go to the library's model, others through the whole tokenizer,
+        as one text with a separator of its own id between them."""
+        out: list[bytes] = [b""] * len(words)
+        rest = range(len(words))
+        if self._direct:
+            tokenize, rest = self._tokenizer.model.tokenize, []
+            for k, word in enumerate(words):
+                if word.isalpha():
+                    out[k] = array(self._code, [t.id for t in tokenize(word.lower().decode())]).tobytes()
+                else:
+                    rest.append(k)
+        odd = [k for k in rest if self._separator is None or _SEPARATOR in words[k]]
+        for k in odd:
+            out[k] = self._ids([words[k]])[0].tobytes()
+        rest = [k for k in rest if not out[k]] if odd else rest
+        for at in range(0, len(rest), 20_000):
+            some = rest[at : at + 20_000]
+            ids = self._ids([(b" " + _SEPARATOR + b" ").join([words[k] for k in some])])[0]
+            raw, wide = ids.tobytes(), ids.itemsize
+            cuts = np.flatnonzero(ids == self._separator).tolist()
+            for k, first, stop in zip(some, [0] + [c + 1 for c in cuts], cuts + [len(ids)]):
+                out[k] = raw[first * wide : stop * wide]
+        return out
+
+    def __call__(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the chunk's texts one after another, and how many each text has."""
+        before = np.concatenate([[0], data[:-1]])
+        words = Words(offsets, data, fold=self._lowers, breaks=_POINT[data] & _LETTER[before])
+        values, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
+        values = values.tolist()
+        if len(self._young) > WORD_CACHE:
+            self._old, self._young = self._young, {}
+        young, old = self._young, self._old
+        absent = [k for k, v in enumerate(values) if v not in young]
+        for k in absent:
+            if values[k] in old:
+                young[values[k]] = old[values[k]]
+        absent = [k for k in absent if values[k] not in young]
+        if absent:
+            raw = data.tobytes()
+            spans = zip(words.start[first[absent]].tolist(), words.end[first[absent]].tolist())
+            young.update(zip([values[k] for k in absent], self._encoded([raw[a:b] for a, b in spans])))
+        parts = [young[v] for v in values]
+        for k in absent:
+            if len(young[values[k]]) > 128:  # long words seldom come again
+                del young[values[k]]
+        pool = np.frombuffer(b"".join(parts), dtype=self.kind)
+        size = np.array([len(p) for p in parts], dtype=np.int64) // np.dtype(self.kind).itemsize
+        from_ = np.cumsum(size) - size
+        lengths = size[which]
+        to = np.cumsum(lengths) - lengths
+        total = int(lengths.sum())
+        ids = pool[np.repeat(from_[which] - to, lengths) + np.arange(total)]
+        return ids, np.bincount(words.document, lengths, len(offsets) - 1).astype(np.int64)
 
 
 _tokenizers: dict[int, WordTokenizer] = {}
@@ -196,9 +256,11 @@ def write_token_files(
         writer = sink = name = None
         turn = -1
         for batch in batches:
-            for row in range(0, batch.num_rows, 512):
-                piece, rows = batch.slice(row, 512), []
-                for key, text, part in zip(*[piece.column(c).to_pylist() for c in ("id", "text", "part")]):
+            for row, offsets, data in chunks(batch.column(1)):
+                ids, counts = encode(offsets, data)
+                stops, rows = np.cumsum(counts).tolist(), []
+                keys, parts = (batch.column(c).slice(row, len(counts)).to_pylist() for c in (0, 2))
+                for key, part, count, stop in zip(keys, parts, counts.tolist(), stops):
                     if writer is None or writer.count >= FILE_IDS:
                         if writer is not None:
                             writer.close()
@@ -207,9 +269,8 @@ def write_token_files(
                         name = f"{part:06d}-{turn:04d}-{uuid.uuid4().hex}.arrow"
                         sink = system.open_output_stream(f"{base}/{name}")
                         writer = SequenceWriter(sink, encode.kind, length, per_batch)
-                    ids = encode(text or "") + end
-                    rows.append((f"{folder}/{name}", part, turn, key, writer.count, len(ids) // np.dtype(encode.kind).itemsize))
-                    writer.add(ids)
+                    rows.append((f"{folder}/{name}", part, turn, key, writer.count, count + 1))
+                    writer.add(ids[stop - count : stop].tobytes() + end)
                 yield pa.record_batch(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
                     names=["file", "part", "turn", "id", "first", "n_tokens"],

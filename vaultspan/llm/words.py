@@ -68,9 +68,12 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 
 class Words:
-    """Words of a chunk in order: document, first byte, end byte and hash of each."""
+    """Words of a chunk in order: document, first byte, end byte and hash of each.
 
-    def __init__(self, offsets: np.ndarray, data: np.ndarray):
+    ``breaks`` marks bytes that begin a word even inside a run; without ``fold`` letter case counts.
+    """
+
+    def __init__(self, offsets: np.ndarray, data: np.ndarray, fold: bool = True, breaks: np.ndarray | None = None):
         size = len(data)
         space = np.ones(size + 2, dtype=bool)
         space[1:-1] = SPACE[data]
@@ -81,10 +84,14 @@ class Words:
         starts[edges] |= word[1:-1][edges]
         ends = word[1:-1] & space[2:]
         ends[edges - 1] |= word[1:-1][edges - 1]
+        if breaks is not None:
+            inner = np.flatnonzero(breaks & word[1:-1] & word[:-2])
+            starts[inner] = True
+            ends[inner - 1] = True
         self.start = np.flatnonzero(starts)
         self.end = np.flatnonzero(ends) + 1
         self.document = np.searchsorted(offsets, self.start, side="right") - 1
-        terms = LOWER[data].astype(U64)
+        terms = (LOWER[data] if fold else data).astype(U64)
         terms += U64(1)
         terms *= _powers_of(_BASE, size + 1)[:size]
         total = np.zeros(size + 1, dtype=U64)
