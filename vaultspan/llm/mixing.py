@@ -63,17 +63,21 @@ def targets(sizes: DataFrame, most_passes: int = MOST_PASSES) -> DataFrame:
 
 def mix(
     docs: DataFrame, seed: str = "mix", most_passes: int = MOST_PASSES,
-    id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
+    id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", row_column: str | None = None,
 ) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, taken and positions (one per pass)."""
+    """One row per document: id, source, size, source_size, target, taken and positions (one per pass).
+
+    A long ``row_column`` that tells rows of one id apart is handed through.
+    """
     scratch = Scratch(docs.sparkSession, "mixing")
     text = F.coalesce(docs[text_column].cast("string"), F.lit(""))
     measured = docs.select(
         docs[id_column].cast("long").alias("id"),
         docs[source_column].cast("string").alias("source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
+        (F.lit(0) if row_column is None else docs[row_column]).cast("long").alias("row"),
     ).withColumn("key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("")))))
-    order = [F.asc_nulls_first("source"), F.asc("key"), F.asc_nulls_first("id"), F.asc("size")]
+    order = [F.asc_nulls_first("source"), F.asc("key"), F.asc_nulls_first("id"), F.asc("size"), F.asc("row")]
     ranged = scratch.store(
         measured.repartitionByRange(*order).withColumn("part", F.spark_partition_id()),
         "ranged",
@@ -90,7 +94,7 @@ def mix(
     placed = ranged.withColumn("_within", F.coalesce(F.sum("size").over(within), F.lit(0)))
     joined = placed.alias("d").join(
         plan.alias("p"), (F.col("d.part") == F.col("p.part")) & F.col("d.source").eqNullSafe(F.col("p.source"))
-    ).select("d.id", "d.source", "size", "source_size", "target", "slope", "words", (F.col("offset") + F.col("_within")).alias("before"))
+    ).select("d.id", "d.source", "row", "size", "source_size", "target", "slope", "words", (F.col("offset") + F.col("_within")).alias("before"))
     whole = F.when(F.col("source_size") > 0, F.call_function("div", F.col("words"), F.col("source_size"))).otherwise(F.lit(0))
     rest = F.col("words") - F.col("whole") * F.col("source_size")
     extra = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before"))).cast("long")
@@ -111,7 +115,8 @@ def mix(
         F.array().cast("array<bigint>")
     )
     return counted.withColumn("positions", F.transform(turns, position)).select(
-        F.col("id").alias(id_column), F.col("source").alias(source_column), "size", "source_size", "target", "taken", "positions"
+        F.col("id").alias(id_column), F.col("source").alias(source_column), "size", "source_size", "target", "taken", "positions",
+        *([] if row_column is None else [F.col("row").alias(row_column)]),
     )
 
 

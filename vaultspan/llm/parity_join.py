@@ -141,9 +141,10 @@ def _summaries(words: int):
             for row, offsets, data in chunks(batch.column(1)):
                 documents = len(offsets) - 1
                 sizes, classes = class_hash(*shingles(Words(offsets, data), documents, words), documents)
+                kept = [batch.column(i).slice(row, documents) for i in range(batch.num_columns) if i != 1]
                 yield pa.record_batch(
-                    [batch.column(0).slice(row, documents), pa.array(sizes.astype(np.int64)), pa.array(classes.view(np.int64))],
-                    names=["id", "n", "cls"],
+                    kept + [pa.array(sizes.astype(np.int64)), pa.array(classes.view(np.int64))],
+                    names=["id", *batch.schema.names[2:], "n", "cls"],
                 )
 
     return run
@@ -368,17 +369,24 @@ def _compare(group: pa.Table) -> pa.Table:
     return pa.table({"u": u, "v": v, "links": n})
 
 
-def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5) -> DataFrame:
+def jaccard_components(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, row_column: str | None = None
+) -> DataFrame:
     """One row per document: its id, n_shingles, component_id and n_links.
 
     ``component_id`` is the smallest id reachable by links, ``n_links`` the number
-    of documents linked with this one directly, copies included.
+    of documents linked with this one directly, copies included. A long
+    ``row_column`` that tells rows of one id apart is handed through.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
 
-    sets = scratch.store(source.mapInArrow(_summaries(words), "id long, n long, cls long"), "sets")
+    named_rows = source if row_column is None else docs.select(
+        F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"), F.col(row_column).alias("row")
+    )
+    shape = "id long, n long, cls long" if row_column is None else "id long, row long, n long, cls long"
+    sets = scratch.store(named_rows.mapInArrow(_summaries(words), shape), "sets")
     classes = scratch.store(
         sets.where("n > 0").groupBy("cls").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n")),
         "classes",
@@ -457,4 +465,5 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        *([] if row_column is None else [F.col("row").alias(row_column)]),
     )

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspan.llm import byte_bpe, lattice_search, mixing, parity_join, secret_scan, sharding, token_files, toxicity, tree_forest
+from vaultspan.llm import byte_bpe, lattice_search, mixing, parity_join, repeated_spans, secret_scan, sharding, token_files, toxicity, tree_forest
 from vaultspan.llm.scratch import Scratch
 
 _shipped: set[str] = set()
@@ -61,6 +61,17 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_suffix_sort(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = repeated_spans.remove_repeats(_table(spark, folder, "documents"), length=200)
+    return cleaned.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, folder, "documents"))
     ordered = mixed.withColumn("first_position", F.get("positions", F.lit(0))).withColumn("passes", F.size("positions"))
@@ -95,6 +106,7 @@ _QUERIES = (
     op3_byte_bpe,
     op4_token_files,
     op5_toxicity,
+    op6_suffix_sort,
     op7_mixing,
     op8_secret_scan,
     op9_lattice_search,
