@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-PIECE_CACHE = 150_000
+PIECE_CACHE = 300_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -49,7 +49,8 @@ class BytePairCodec:
         self._parts: dict[int, tuple[int, int] | None] = {}
         self._shorter: dict[int, int | None] = {}
         self._fits: dict[tuple[int, int], bool] = {}
-        self._pieces: dict[str, bytes] = {}
+        self._young: dict[str, bytes] = {}  # ids of pieces, in two generations
+        self._old: dict[str, bytes] = {}
 
     def parts(self, token: int) -> tuple[int, int] | None:
         """The two entries whose merge makes this one; None for an entry that merging never makes."""
@@ -78,8 +79,9 @@ class BytePairCodec:
         known = self._fits.get((left, right))
         if known is not None:
             return known
-        a, b, undone, verdict = left, right, float("inf"), True
-        while True:
+        a, b, undone = left, right, float("inf")
+        verdict = all(self._length[t] == 1 or self.parts(t) is not None for t in (left, right))
+        while verdict:
             joined = self.id_of.get(self._text(a) + self._text(b))
             # at equal rank the leftmost merge is the earlier one
             if joined is not None and joined < undone:
@@ -121,40 +123,52 @@ class BytePairCodec:
             return [whole]
         size = len(piece)
         longest = [0] * size
-        length = self._length
+        length, known, shorter = self._length, self._fits, self._shorter
         for end, token in self._automaton.iter(piece):
             longest[end - length[token] + 1] = token  # later ends are longer
         ids: list[int] = []
         open_at = bytearray(b"\x01" * (size + 1))
-        at, token = 0, longest[0]
+        at, token, last = 0, longest[0], -1
         while at < size:
             while True:
                 end = at + length[token]
-                if open_at[end] and (length[token] == 1 or self.parts(token) is not None) and (not ids or self.fits(ids[-1], token)):
-                    ids.append(token)
-                    at = end
-                    token = longest[at] if at < size else -1
-                    break
-                token = self.shorter(token)
+                if open_at[end]:
+                    if last < 0:
+                        good = length[token] == 1 or self.parts(token) is not None
+                    else:
+                        good = known.get((last, token))
+                        if good is None:
+                            good = self.fits(last, token)
+                    if good:
+                        ids.append(token)
+                        at, last = end, token
+                        token = longest[at] if at < size else -1
+                        break
+                token = shorter[token] if token in shorter else self.shorter(token)
                 if token is None:
                     open_at[at] = 0
                     token = ids.pop()
+                    last = ids[-1] if ids else -1
                     at -= length[token]
         return ids
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        cache, out = self._pieces, []
-        for piece in self._split(text):
-            ids = cache.get(piece)
-            if ids is None:
-                ids = array("I", self.encode_piece(piece.encode("utf-8").decode("latin-1"))).tobytes()
-                if len(piece) <= 64:
-                    if len(cache) >= PIECE_CACHE:
-                        cache.clear()
-                    cache[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        pieces = self._split(text)
+        found = list(map(self._young.get, pieces))
+        if None in found:
+            young, old = self._young, self._old
+            for k, piece in enumerate(pieces):
+                if found[k] is None:
+                    ids = young.get(piece) or old.get(piece)
+                    if ids is None:
+                        ids = array("I", self.encode_piece(piece.encode("utf-8").decode("latin-1"))).tobytes()
+                    found[k] = ids
+                    if len(piece) <= 64:
+                        young[piece] = ids
+            if len(young) >= PIECE_CACHE:
+                self._young, self._old = {}, young
+        return b"".join(found)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, array("I", ids)))
