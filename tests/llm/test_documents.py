@@ -1,0 +1,502 @@
+"""The operators on documents against brute force, and their defined edge cases."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from conftest import FOLDER
+from vaultspan.llm import byte_bpe, mixing, parity_join, queries, repeated_spans, secret_scan, sharding, token_files, toxicity
+from vaultspan.llm.scratch import Scratch
+
+FOLDER = "/root/testdata/sf0.001"
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+def texts_of(docs) -> list[tuple[int | None, str | None]]:
+    return [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+
+
+# op1
+
+
+def shingle_set(text: str | None) -> frozenset:
+    words = (text or "").encode().lower().split()
+    if len(words) < 5:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+
+def brute_components(rows) -> collections.Counter:
+    sets = [shingle_set(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    links = [0] * len(rows)
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+                links[i] += 1
+                links[j] += 1
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (key, _) in enumerate(rows):
+        if key is not None:
+            least[root(i)] = min(key, least.get(root(i), key))
+    return collections.Counter((key, len(sets[i]), least.get(root(i)), links[i]) for i, (key, _) in enumerate(rows))
+
+
+def joined(docs) -> collections.Counter:
+    found = parity_join.jaccard_components(docs)
+    return collections.Counter(tuple(r) for r in found.select("doc_id", "n_shingles", "component_id", "n_links").collect())
+
+
+def test_jaccard_join_finds_what_all_pairs_give(documents):
+    assert joined(documents) == brute_components(texts_of(documents))
+
+
+def test_jaccard_join_near_the_threshold(spark):
+    """Variants of one text with more and more words changed, and sizes around the edges of bands."""
+    draw = np.random.default_rng(3)
+    rows, key = [], 0
+    for size in (5, 6, 7, 9, 12, 30, 60, 150):
+        words = [f"a{k}" for k in draw.integers(0, 10_000, size)]
+        for changes in range(6):
+            text = list(words)
+            for at in draw.choice(size, min(changes, size), replace=False):
+                text[at] = f"b{draw.integers(0, 10_000)}"
+            for cut in (0, 1, size // 10):
+                rows.append((key := key + 1, " ".join(text[: size - cut])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert joined(docs) == brute_components(rows)
+
+
+def test_jaccard_join_of_many_near_copies_with_blocks(spark, monkeypatch):
+    monkeypatch.setattr(parity_join, "BLOCK_MEMBERS", 2_000)
+    draw = np.random.default_rng(4)
+    words = [f"a{k}" for k in range(80)]
+    rows = []
+    for key in range(150):
+        text = list(words)
+        for at in draw.choice(80, int(draw.integers(0, 4)), replace=False):
+            text[at] = f"b{draw.integers(0, 1000)}"
+        rows.append((key, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert joined(docs) == brute_components(rows)
+
+
+def test_jaccard_join_edge_cases(awkward, nothing):
+    assert joined(awkward) == brute_components(texts_of(awkward))
+    assert joined(nothing) == collections.Counter()
+
+
+def test_sketches_lower_bound_the_difference():
+    draw = np.random.default_rng(5)
+    for size in (10, 100, 900):
+        a = draw.integers(0, 1 << 63, size).astype(np.uint64)
+        b = np.concatenate([a[size // 10 :], draw.integers(0, 1 << 63, size // 20).astype(np.uint64)])
+        apart = len(set(a.tolist()) ^ set(b.tolist()))
+        bits = parity_join._bits([a, b], 4096)
+        assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= apart
+
+
+def test_documents_without_enough_places_meet_by_members(monkeypatch):
+    sizes = np.array([6])
+    members = np.arange(1, 7).astype(np.uint64)
+    seen = {int(b) for _, _, band, _ in parity_join.entries(np.zeros(6, np.int64), members, sizes) for b in band}
+    monkeypatch.setattr(parity_join, "PLACES", np.maximum(parity_join.PLACES * 0 + 1, 1))
+    fewer = {int(b) for _, _, band, _ in parity_join.entries(np.zeros(6, np.int64), members, sizes) for b in band}
+    assert max(seen) < parity_join.MEMBER_KEYS <= max(fewer)
+
+
+# op2
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 5, 10, 97, 1000])
+def test_permutation_is_a_bijection_with_an_inverse(spark, rows):
+    found = spark.range(rows).select("id", sharding.permuted(F.col("id"), rows, 9).alias("p"))
+    found = found.withColumn("back", sharding.restored(F.col("p"), rows, 9)).collect()
+    assert sorted(r["p"] for r in found) == list(range(rows))
+    assert all(r["back"] == r["id"] for r in found)
+
+
+def test_shards_are_even_and_gapless(documents):
+    found = sharding.shard_rows(documents, shards=16).collect()
+    texts = dict(texts_of(documents))
+    slots = collections.defaultdict(list)
+    for r in found:
+        slots[r["shard"]].append(r["slot"])
+        raw = (texts[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"]) == (len(raw) + 1, zlib.crc32(raw))
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    place = {r["doc_id"]: (r["shard"], r["slot"]) for r in found}
+    assert place == {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shard_rows(documents.repartition(7)).collect()}
+
+
+def test_place_of_a_row_can_be_computed_back(documents):
+    found = sharding.shard_rows(documents, shards=16, seed=11)
+    rows = found.count()
+    back = sharding.row_at(F.col("shard"), F.col("slot"), rows, 16, 11)
+    assert found.where(back != F.col("row_number")).isEmpty()
+
+
+def test_sharding_edge_cases(awkward, nothing):
+    found = sharding.shard_rows(awkward, shards=4).collect()
+    assert sorted(r["row_number"] for r in found) == list(range(11))
+    assert {(r["size"], r["text_crc32"]) for r in found if r["doc_id"] == 3} == {(1, 0)}
+    assert sharding.shard_rows(nothing).collect() == []
+
+
+# op3
+
+
+@pytest.fixture(scope="module")
+def library():
+    ranks = {__import__("base64").b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_byte_bpe_equals_the_library(documents, library):
+    for row in byte_bpe.digest(documents, RANKS, public_tokenizers.PATTERN).join(documents, "doc_id").collect():
+        raw = np.array(library.encode_ordinary(row["text"]), dtype="<u4").tobytes()
+        assert row["n_tokens"] == len(raw) // 4
+        assert row["ids_sha256"] == hashlib.sha256(raw).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(row["text"].encode()).hexdigest()
+
+
+def test_byte_bpe_on_odd_pieces(library):
+    own = byte_bpe.codec(byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    draw = np.random.default_rng(6)
+    bits = ["a", "ab", " ", "\n", "é", "日本", "😀", "1", "'s", "the", "ing", "\x00", "ñ", "!!", "<|endoftext|>"]
+    for text in ["".join(draw.choice(bits, draw.integers(0, 40))) for _ in range(2000)] + ["a" * 20_000, "ab" * 9000, " " * 9999]:
+        ids = own.encode(text)
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text)
+        assert own.decode(ids) == text.encode()
+
+
+def test_byte_bpe_edge_cases(awkward, nothing):
+    encoded = byte_bpe.encode(awkward, RANKS, public_tokenizers.PATTERN)
+    assert encoded.columns == [*awkward.columns, "ids", "n_tokens"]
+    decoded = byte_bpe.decode(encoded, RANKS, public_tokenizers.PATTERN)
+    assert decoded.where(F.col("decoded") != F.coalesce("text", F.lit("")).cast("binary")).isEmpty()
+    clashing = byte_bpe.encode(awkward.withColumnRenamed("size", "ids"), RANKS, public_tokenizers.PATTERN)
+    assert clashing.schema["ids"].dataType.simpleString() == "binary"
+    assert byte_bpe.digest(nothing, RANKS, public_tokenizers.PATTERN).collect() == []
+
+
+# op4
+
+
+def expected_tokens(rows):
+    own, at, out = Tokenizer.from_file(WORDS), 0, []
+    for key, text in rows:
+        ids = own.encode(text or "", add_special_tokens=False).ids + [2]
+        out.append((key, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    return out
+
+
+def test_token_files_equal_the_library(spark, documents, monkeypatch):
+    monkeypatch.setattr(token_files, "FILE_IDS", 5_000)  # several files in a task
+    index = token_files.write_token_files(Scratch(spark, "t"), documents, WORDS, 2, length=64, per_batch=4)
+    assert index.select("file").distinct().count() > 3
+    found = [tuple(r) for r in token_files.read_token_files(index).orderBy("id").collect()]
+    assert found == expected_tokens(sorted(texts_of(documents)))
+
+
+def test_sequences_have_one_length_and_masks(spark, documents):
+    index = token_files.write_token_files(Scratch(spark, "t"), documents, WORDS, 2, length=64, per_batch=4)
+    name = index.select("file").first()[0]
+    rows = index.where(F.col("file") == name).orderBy("first").collect()
+    file, total = token_files.SequenceFile(name), sum(r["n_tokens"] for r in rows)
+    whole = file.span(0, total)
+    for number in (0, 3, 4, total // 64):
+        ids, mask = file.sequence(number)
+        real = min(64, total - 64 * number)
+        assert len(ids) == len(mask) == 64
+        assert ids.to_numpy()[:real].tolist() == whole[64 * number :][:64].tolist()
+        assert mask.to_pylist() == [True] * real + [False] * (64 - real)
+    with pytest.raises(ValueError):
+        file.span(total - 1, 2)
+
+
+def test_token_files_edge_cases(spark, awkward, nothing):
+    index = token_files.write_token_files(Scratch(spark, "t"), awkward, WORDS, 2)
+    found = [tuple(r) for r in token_files.read_token_files(index).collect()]
+    by_id = collections.Counter((f[0], f[2], f[3]) for f in found)
+    rows = texts_of(awkward)
+    assert by_id == collections.Counter((k, n, c) for k, _, n, c in expected_tokens(rows))
+    ends = sorted((f[1], f[1] + f[2]) for f in found)
+    assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+    empty = token_files.write_token_files(Scratch(spark, "t"), nothing, WORDS, 2)
+    assert token_files.read_token_files(empty).collect() == []
+
+
+def test_words_are_cached_without_changing_ids():
+    import pyarrow as pa
+
+    from vaultspan.llm.words import chunks
+
+    own, library = token_files.word_tokenizer(open(WORDS, encoding="utf-8").read()), Tokenizer.from_file(WORDS)
+    draw = np.random.default_rng(7)
+    bits = ["a", "B", "É", "é", ".", ",", "'s", "'", "<|endoftext|>", " ", "\n", "\x1c", "\x01", "日", "1", "?)", "ß", "İ", "́", " "]
+    texts = ["".join(draw.choice(bits, draw.integers(0, 25))) for _ in range(3000)]
+    for _, offsets, data in chunks(pa.array(texts)):
+        ids, counts = own(offsets, data)
+        for part, text in zip(np.split(ids, np.cumsum(counts)[:-1]), texts):
+            assert part.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+# op5
+
+
+def test_pairs_of_terms_weigh_more_than_alone():
+    """Label 1 only where both terms meet: additive weights cannot tell, factors can."""
+    draw = np.random.default_rng(8)
+    sets, labels = [], []
+    for k in range(600):
+        terms = set(draw.integers(10, 60, 5).tolist()) | ({1} if k % 2 else set()) | ({2} if k % 3 else set())
+        sets.append(np.array(sorted(terms), dtype=np.uint64))
+        labels.append(int({1, 2} <= terms))
+    labels = np.array(labels)
+    machine = toxicity.fit_machine(sets, labels, labels.mean(), 64, least_ratio=5)
+    place = {int(t): i for i, t in enumerate(machine.terms)}
+    score = lambda terms: toxicity.logistic(machine.raw(np.zeros(len(terms), int), np.array([place[t] for t in terms], int), 1))[0]
+    assert score([1, 2]) > 0.7 > score([1]) and score([2]) < 0.7
+
+
+def test_toxicity_on_held_out_labels(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    found = queries.op5_toxicity(spark, folder).join(labels, "doc_id").where("held_out").toPandas()
+    caught = found[found.toxic == 1].predicted.mean()
+    wrong = found[found.toxic == 0].predicted.mean()
+    assert caught >= 0.7 and wrong <= 0.03
+    held = {r["doc_id"] for r in docs.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("h")).collect() if r["h"]}
+    assert held == {r["doc_id"] for r in docs.select("doc_id").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1}
+
+
+def test_toxicity_edge_cases(spark, awkward, nothing):
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, None), (None, 1), (99, 0)], "doc_id long, toxic int")
+    machine = toxicity.fit(awkward, labels)
+    scored = toxicity.score(awkward.withColumnRenamed("size", "score"), machine).collect()
+    assert len(scored) == 11 and all(0 <= r["score"] <= 1 for r in scored)
+    none = toxicity.fit(nothing, labels.where("false"))
+    assert len(none.terms) == 0 and {r["score"] for r in toxicity.score(awkward, none).collect()} == {0.5}
+    assert toxicity.score(nothing, machine).collect() == []
+
+
+# op6
+
+
+def brute_kept(rows, length):
+    count = collections.Counter()
+    for _, text in rows:
+        raw = (text or "").encode()
+        count.update(raw[i : i + length] for i in range(len(raw) - length + 1))
+    out = []
+    for key, text in rows:
+        raw = (text or "").encode()
+        gone = np.zeros(len(raw), dtype=bool)
+        for i in range(len(raw) - length + 1):
+            if count[raw[i : i + length]] > 1:
+                gone[i : i + length] = True
+        spans = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int), [0]]))).reshape(-1, 2)
+        kept = bytes(np.frombuffer(raw, np.uint8)[~gone])
+        out.append((key, len(raw), kept, tuple(map(tuple, spans.tolist()))))
+    return collections.Counter(out)
+
+
+def without_repeats(docs, length):
+    found = repeated_spans.remove_repeats(docs, length).collect()
+    return collections.Counter(
+        (r["doc_id"], r["n_bytes"], bytes(r["kept"]), tuple((s["start"], s["end"]) for s in r["spans"])) for r in found
+    )
+
+
+@pytest.mark.parametrize("hot", [10_000, 1])
+def test_repeats_equal_all_strings_compared(spark, monkeypatch, hot):
+    """Also where every collection is counted string by string."""
+    monkeypatch.setattr(repeated_spans, "HOT_TEXTS", hot)
+    draw = np.random.default_rng(9)
+    word = lambda: "".join(chr(c) for c in draw.integers(97, 103, draw.integers(2, 8)))
+    passages = [" ".join(word() for _ in range(40)) for _ in range(4)]
+    rows = []
+    for key in range(60):
+        parts = [" ".join(word() for _ in range(int(draw.integers(1, 60))))]
+        for p in draw.choice(4, 2):
+            cut = int(draw.integers(0, 60))
+            parts += [passages[p][cut:], " ".join(word() for _ in range(int(draw.integers(0, 20))))]
+        rows.append((key, " ".join(parts)))
+    rows += [(100, "ab" * 300), (101, "é" * 400), (102, rows[3][1]), (103, "z" * 99), (104, "z" * 100), (105, "y" * 101)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert without_repeats(docs, 100) == brute_kept(rows, 100)
+
+
+def test_repeats_edge_cases(awkward, nothing):
+    assert without_repeats(awkward, 200) == brute_kept(texts_of(awkward), 200)
+    assert without_repeats(nothing, 200) == collections.Counter()
+
+
+def test_range_minimum():
+    draw = np.random.default_rng(10)
+    values = draw.integers(0, 1000, 500).astype(np.uint16)
+    start = draw.integers(0, 499, 300)
+    stop = np.minimum(start + draw.integers(1, 400, 300), 500)
+    assert repeated_spans._range_minimum(values, start, stop).tolist() == [values[a:b].min() for a, b in zip(start, stop)]
+
+
+# op7
+
+
+def brute_targets(sizes: dict) -> dict:
+    order = sorted([s for s in sizes if s is not None]) + ([None] if None in sizes else [])
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    target, open_, left = {}, set(order), float(sum(sizes.values()))
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if 3 * sizes[s] < level * weight[s]}
+        for s in full or open_:
+            target[s] = 3.0 * sizes[s] if full else level * weight[s]
+        if not full:
+            break
+        open_ -= full
+        left -= sum(target[s] for s in full)
+    return target
+
+
+def check_mix(docs):
+    rows = mixing.mix(docs).collect()
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    assert collections.Counter((r["doc_id"], r["size"]) for r in rows) == collections.Counter((k, size(t)) for k, t in texts_of(docs))
+    by_source = collections.defaultdict(list)
+    for r in rows:
+        by_source[r["source"]].append(r)
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        assert len(r["positions"]) == -(-r["taken"] // r["size"]) if r["size"] else r["positions"] == []
+        assert all(0 <= p <= 1 for p in r["positions"])
+    target = brute_targets({s: sum(r["size"] for r in part) for s, part in by_source.items()})
+    for source, part in by_source.items():
+        assert {r["target"] for r in part} == {pytest.approx(target[source])}
+        assert sum(r["taken"] for r in part) == pytest.approx(target[source], abs=1)
+    return rows
+
+
+def test_mix_meets_its_targets_again_and_again(documents):
+    first = check_mix(documents)
+    assert sorted(map(str, first)) == sorted(map(str, check_mix(documents.repartition(5))))
+
+
+def test_small_sources_are_capped_and_the_rest_is_shared(spark):
+    rows = [(k, "w " * 10, "a") for k in range(2)] + [(k, "w " * 10, s) for k, s in enumerate("b" * 30 + "c" * 50 + "d" * 3)]
+    check_mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+
+
+def test_positions_follow_the_integral_of_the_schedule(documents):
+    """Up to every position a source has been asked for as many words as lie before it."""
+    rows = mixing.mix(documents).collect()
+    slope = dict(zip(sorted({r["source"] for r in rows}), [(-0.5, 0.0, 0.5)[k % 3] for k in range(200)]))
+    by_source = collections.defaultdict(list)
+    for r in rows:
+        for turn, position in enumerate(r["positions"]):
+            words = r["size"] if turn < r["taken"] // r["size"] else r["taken"] % r["size"]
+            by_source[r["source"]].append((position, words))
+    for source, places in by_source.items():
+        total, before, s = sum(w for _, w in places), 0, slope[source]
+        for position, words in sorted(places):
+            wanted = total * (position + s * (position**2 - position))
+            assert wanted == pytest.approx(before + words / 2, abs=1e-6 * total + 1e-6)
+            before += words
+
+
+def test_training_order_is_sorted_by_position(documents):
+    found = [r["position"] for r in mixing.training_order(mixing.mix(documents)).collect()]
+    assert found == sorted(found) and len(found) > 0
+
+
+def test_mix_edge_cases(awkward, nothing, spark):
+    check_mix(awkward)
+    assert mixing.mix(nothing).collect() == []
+    blank = spark.createDataFrame([(1, None, None), (2, " ", "a")], "doc_id long, text string, source string")
+    assert [r["taken"] for r in mixing.mix(blank).collect()] == [0, 0]
+
+
+# op8
+
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def base_of(text: str | None) -> list[tuple[int, int, int]]:
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+def test_base_secrets_equal_the_patterns(spark, documents):
+    odd = [
+        "token=token:abcdefgh", "secret=token=abcdefgh", "token: ab password: xyz1234", "PassWord = 'a.b-c_d'", "api_key:\"ABCdef123\"",
+        "😀 passwd=😀abcdef passwd=abcdef", "AKIA" + "A" * 15 + " AKIA" + "B" * 16, "AKIAAKIA" + "C" * 14, "0" * 23 + "g" + "a" * 24,
+        "f" * 300, "secret=" + "x" * 5000, "", None, "password=", "token = \n abcdef", "APIKEY=abcdef,API_KEY=ghijkl",
+    ]
+    docs = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string").union(documents.select("doc_id", "text"))
+    for row in secret_scan.find_secrets(docs).collect():
+        found = [(s["start"], s["kind"], s["end"]) for s in row["secret_spans"]]
+        assert found == sorted(found)
+        assert [s for s in found if s[1] < 3] == base_of(row["text"]), row["text"]
+
+
+def best_bits(text: str, window: int) -> float:
+    best = 0.0
+    for at in range(len(text) - window + 1):
+        share = np.array(list(collections.Counter(text[at : at + window]).values())) / window
+        best = max(best, float(-(share * np.log2(share)).sum()))
+    return best
+
+
+def test_windowed_entropy_equals_counting_afresh(spark):
+    draw = np.random.default_rng(11)
+    rows = [("".join(draw.choice(list("abcdef0123456789XYZ"), draw.integers(0, 60))),) for _ in range(80)] + [("a" * 40,), ("",)]
+    found = spark.createDataFrame(rows, "c string").select("c", secret_scan.best_window_bits(F.col("c"), 20).alias("bits"))
+    for row in found.collect():
+        assert row["bits"] == pytest.approx(best_bits(row["c"], 20), abs=1e-9)
+
+
+def test_entropy_adds_random_strings_and_spares_known_shapes(spark):
+    noisy = "q8ZxT3vLr0Pj5KdYw2Hs9NbM"
+    plain = ["an-ordinary-slug-of-words-12", "123e4567-e89b-12d3-a456-426614174000", "abcdefghijklmnopqrstuvwxyz", "=" * 40 + "1", "EXAMPLE" + noisy]
+    rows = [(1, f"key {noisy} end"), (2, " ".join(plain)), (3, f"token={noisy}")]
+    found = {r["doc_id"]: r["secret_spans"] for r in secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(s["start"], s["kind"], s["end"]) for s in found[1]] == [(4, 4, 4 + len(noisy))]
+    assert found[2] == []
+    assert [s["kind"] for s in found[3]] == [0]  # the entropy finding lies inside
+
+
+def test_redaction_and_edge_cases(spark, awkward, nothing):
+    found = secret_scan.find_secrets(awkward.withColumnRenamed("size", "secret_spans"))
+    assert found.columns[-1] == "secret_spans" and found.count() == 11
+    text = secret_scan.redacted(F.col("text"), F.col("secret_spans"))
+    masked = {r["doc_id"]: r["t"] for r in found.select("doc_id", text.alias("t")).collect()}
+    assert masked[None] == "[SECRET] and nothing more" and masked[3] is None and masked[4] == ""
+    assert secret_scan.find_secrets(nothing).collect() == []
+    overlapping = spark.createDataFrame([("é0123456789",)], "text string").withColumn(
+        "spans", F.expr("array(struct(1 as start, 0 as kind, 4 as end), struct(2 as start, 1 as kind, 6 as end))")
+    )
+    assert overlapping.select(secret_scan.redacted(F.col("text"), F.col("spans"))).first()[0] == "é[SECRET]56789"
