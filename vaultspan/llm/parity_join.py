@@ -44,8 +44,8 @@ from vaultspan.llm.words import U64, Words, chunks, mix, shingles
 
 # The similarity threshold is 8 / 10.
 BAND_GROWTH = 1.6
-BUCKET_ENTRIES = 4_000_000
-FOLD_ENTRIES = 4_000_000
+BUCKET_ENTRIES = 1_000_000
+FOLD_ENTRIES = 500_000
 BLOCK_MEMBERS = 500_000
 BROADCAST_ROWS = 250_000
 MEMBER_KEYS = 100  # band numbers from here on: entries under single members
@@ -460,6 +460,7 @@ def jaccard_components(
             (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
         )
     )
+    answer = scratch.store(answer, "answer")  # a class can hold a third of all documents: then its join can be split
     return sets.join(answer, "cls", "left").select(
         F.col("id").alias(id_column),
         F.col("n").alias("n_shingles"),

@@ -256,7 +256,7 @@ def write_token_files(
         writer = sink = name = None
         turn = -1
         for batch in batches:
-            for row, offsets, data in chunks(batch.column(1)):
+            for row, offsets, data in chunks(batch.column(1), 4 << 20):
                 ids, counts = encode(offsets, data)
                 stops, rows = np.cumsum(counts).tolist(), []
                 keys, parts = (batch.column(c).slice(row, len(counts)).to_pylist() for c in (0, 2))

@@ -203,6 +203,7 @@ def near_vectors(
         classes.select("cls", "least", "copies").join(named, "cls", "left").join(linked, "cls", "left")
         .select("cls", F.coalesce("component", "least").alias("component"), (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
     )
+    answer = scratch.store(answer, "answer")  # a class can hold a third of all vectors: then its join can be split
     return packed.select("id", "cls").join(answer, "cls", "left").select(
         F.col("id").alias(id_column),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

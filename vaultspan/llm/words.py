@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 CHUNK_DOCUMENTS = 60_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -49,7 +49,7 @@ def _powers_of(base: int, size: int) -> np.ndarray:
     return have
 
 
-def chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, offsets from 0, bytes) of runs of rows with a few MB of text; a null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -61,7 +61,7 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data = np.frombuffer(what, dtype=np.uint8) if what is not None else np.zeros(0, dtype=np.uint8)
     row = 0
     while row < rows:
-        stop = int(np.searchsorted(offsets, offsets[row] + CHUNK_BYTES, side="right")) - 1
+        stop = int(np.searchsorted(offsets, offsets[row] + most, side="right")) - 1
         stop = min(max(stop, row + 1), rows, row + CHUNK_DOCUMENTS)
         yield row, offsets[row : stop + 1] - offsets[row], data[offsets[row] : offsets[stop]]
         row = stop
