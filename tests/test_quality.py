@@ -14,7 +14,10 @@ def test_declared_checks():
         "not_null": 474, "unique": 53, "accepted_values": 12, "relationships": 21, "between": 11, "pair_ge": 2,
         "fx_direct": 29, "fx_pivot": 6, "positive_amounts": 1,
     }
-    assert len({(c.table, c.column, c.kind) for c in declared_checks()}) == 609
+    declared = {(c.table, c.column, c.kind) for c in declared_checks()}
+    assert len(declared) == 609
+    required = {c for t, c, kind in declared if t == "mart_ptf_detail" and kind == "not_null"}
+    assert required == {"dt_fct", "cd_ptf", "cd_cli", "mt_net", "mt_net_ref"}
 
 
 def values(spark, *rows):

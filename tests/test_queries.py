@@ -6,9 +6,10 @@ import pytest
 
 import compare
 from compare import spark_entry
+from vaultspan.plans import oracles, registry
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = spark_entry.queries(), spark_entry.oracle_sql()
+QUERIES, ORACLE = registry.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,13 @@ def connection():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(spark_entry.queries())
+
+
+def test_one_year_reads_one_year_of_positions(spark):
+    """The range of dates stands below the look-up of the year's start."""
+    plan = QUERIES["mart_aum_ytd_year"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "1998-01-01" in plan and "1998-12-31" in plan and "year(" not in plan.split("Aggregate")[0]
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -48,9 +48,11 @@ def _expected(native: str, rate: str, pivot: str | None) -> Column:
     return expected if pivot is None else expected.cast("double") / F.col(pivot).cast("double")
 
 
-def misconverted(converted: str, native: str, rate: str, pivot: str | None = None) -> Column:
+def misconverted(
+    converted: str, native: str, rate: str, pivot: str | None = None, tolerance: float = TOLERANCE
+) -> Column:
     """A converted amount that is off by more than the tolerance."""
-    return F.abs(F.col(converted) - _expected(native, rate, pivot)) > TOLERANCE
+    return F.abs(F.col(converted) - _expected(native, rate, pivot)) > tolerance
 
 
 def is_negative(*columns: str) -> Column:
@@ -104,13 +106,15 @@ def unordered_rows(df: DataFrame, later: str, earlier: str, or_equal: bool = Fal
     return df.filter(not_after(later, earlier, or_equal))
 
 
-def misconverted_rows(df: DataFrame, converted: str, native: str, rate: str, pivot: str | None = None) -> DataFrame:
+def misconverted_rows(
+    df: DataFrame, converted: str, native: str, rate: str, pivot: str | None = None, tolerance: float = TOLERANCE
+) -> DataFrame:
     """Rows off by more than the tolerance, with the expected amount and the gap."""
     expected = _expected(native, rate, pivot)
     return (
         df.withColumn(f"expected_{converted}", expected)
         .withColumn("ecart", F.abs(F.col(converted) - expected))
-        .filter(F.col("ecart") > TOLERANCE)
+        .filter(F.col("ecart") > tolerance)
     )
 
 

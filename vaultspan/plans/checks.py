@@ -92,7 +92,7 @@ REQUIRED: dict[str, str] = {
     "mart_aum_ytd": "dt_fct cd_cli cd_ptf aum_current",
     "mart_client_exposure": "dt_fct cd_cli cd_ptf",
     "mart_portfolio_performance": "dt_fct cd_ptf",
-    "mart_ptf_detail": "dt_fct cd_ptf cd_cli pc_ptf mt_net",
+    "mart_ptf_detail": "dt_fct cd_ptf cd_cli mt_net mt_net_ref",
     "mart_rm_performance": "dt_fct cd_mng",
 }
 

@@ -35,7 +35,8 @@ def layout(mart: str) -> list[Column]:
 
 
 def in_year(df: DataFrame, year: int | None) -> DataFrame:
-    return df if year is None else df.filter(F.year("dt_fct") == year)
+    """Rows of one year, as a range of dates that a scan can use."""
+    return df if year is None else df.filter(F.col("dt_fct").between(F.lit(date(year, 1, 1)), F.lit(date(year, 12, 31))))
 
 
 def _loaded(df: DataFrame, loaded_at: datetime | None) -> DataFrame:
@@ -64,9 +65,9 @@ def mart_aum_ytd(
     """Assets under management per portfolio and date, against the start of the year."""
     of_cli = ["lb_cli", "cd_cli_cat", "lb_cli_cat", "cd_cty_dom", "lb_cty_dom", F.col("cd_ccy").alias("cd_ccy_cli")]
     of_ptf = ["lb_ptf", "cd_mng", "lb_mng", "cd_prf", "lb_prf"]
-    daily = _daily_aum(positions, cli, ptf, of_cli, of_ptf)
-    # The start is a row of the same year, so the year may be chosen after the lookup as well as before.
-    ytd = in_year(with_ytd_start(daily, ["cd_cli", "cd_ptf"], "aum", calendar), year)
+    # The start is a row of the same year, so the positions of other years need not be read.
+    daily = _daily_aum(in_year(positions, year), cli, ptf, of_cli, of_ptf)
+    ytd = with_ytd_start(daily, ["cd_cli", "cd_ptf"], "aum", calendar)
     return _loaded(
         ytd.select(
             "dt_fct", "cd_cli", "cd_ptf", "lb_ptf", "lb_cli", "cd_cli_cat", "lb_cli_cat", "cd_cty_dom", "lb_cty_dom",
@@ -163,7 +164,7 @@ def mart_rm_performance(
     A manager has one group in ``ptf``, so the group travels with each row
     instead of being looked up again from the distinct managers.
     """
-    daily = _daily_aum(positions, cli, ptf, ["cd_cli_cat"], ["cd_mng", "lb_mng", "cd_mng_grp", "lb_mng_grp"])
+    daily = _daily_aum(in_year(positions, year), cli, ptf, ["cd_cli_cat"], ["cd_mng", "lb_mng", "cd_mng_grp", "lb_mng_grp"])
     ytd = with_ytd_start(daily, ["cd_cli", "cd_ptf"], "aum", calendar)
     by_manager = ytd.groupBy("dt_fct", "cd_mng", "lb_mng", "cd_mng_grp", "lb_mng_grp").agg(
         F.sum("aum").alias("aum"),
@@ -187,4 +188,4 @@ def mart_rm_performance(
         average("portfolio_count").alias("aum_avg_per_portfolio"),
         F.lit(as_of).alias("performance_date"),
     )
-    return _loaded(in_year(measured, year), loaded_at)
+    return _loaded(measured, loaded_at)

@@ -280,13 +280,6 @@ def _staged(table: RawTable, source: str) -> str:
     return _select([*columns, *table.columns], f"from {source}")
 
 
-_IN_USE = {
-    "ccy": "where cd_ccy in (select cd_ccy from ptf)",
-    "cty": "where cd_cty in (select cd_cty_dom from cli)",
-    "mng": "where cd_mng in (select cd_mng from ptf)",
-    "mng_grp": "where cd_mng_grp in (select cd_mng_grp from mng where cd_mng in (select cd_mng from ptf))",
-}
-
 _AST = (
     "id_stg_fct_ast cd_fct_ast cd_pos cd_pos_typ cd_ptf cd_cli dt_fct cd_ccy cd_ins cd_ast lb_fct_ast qt_ast mt_ast mt_aci "
     "mt_pnl xrt_rate_pos xrt_rate_ptf mt_ast_ptf mt_aci_ptf mt_pnl_ptf mt_ast_ref mt_aci_ref mt_pnl_ref rt_prm rt_pam pc_twr"
@@ -506,12 +499,10 @@ def oracle_sql() -> dict[str, str]:
             "cd_fct_mvt, mt_mvt, mt_mvt_ref", "from int_fct_mvt where mt_mvt < 0 or mt_mvt_ref < 0"
         ),
         "dq_summary": _summary(),
-        "stg_fct_xrt": _staged(
-            RATES, "fct_xrt where dt_fct in (select last_day(cast(o_orderdate as date)) from orders)"
-        ),
+        "stg_fct_xrt": _staged(RATES, "fct_xrt"),
     }
     for name, table in DIMENSIONS.items():
-        sql[f"stg_{name}"] = _staged(table, f"{name} {_IN_USE.get(name, '')}".strip())
+        sql[f"stg_{name}"] = _staged(table, name)
     for name, table in FACTS.items():
         sql[f"stg_{name}"] = _staged(table, name)
     return sql

@@ -71,15 +71,11 @@ def csv_round_trip(star: Star) -> DataFrame:
 
 
 def staged_dimension(star: Star, name: str) -> DataFrame:
-    raw = star.in_use(name) if name in ("ccy", "cty", "mng") else star.raw(name)
-    if name == "mng_grp":
-        held = star.in_use("mng").select("cd_mng_grp")
-        raw = raw.join(held, "cd_mng_grp", "left_semi")
-    return stage_upsert(raw, DIMENSIONS[name], RUN).drop("ts_stg")
+    return stage_upsert(star.raw(name), DIMENSIONS[name], RUN).drop("ts_stg")
 
 
 def staged_rates(star: Star) -> DataFrame:
-    return stage_upsert(star.rates_in_use(), RATES, RUN).drop("ts_stg")
+    return stage_upsert(star.raw("fct_xrt"), RATES, RUN).drop("ts_stg")
 
 
 def staged_fact(star: Star, name: str) -> DataFrame:
