@@ -25,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vaultspan.llm.scratch import Scratch
 from vaultspan.llm.words import U64, Words, chunks
 
 FACTORS = 8
+LEAST_RATIO = 10.0
 _PREFIXES = (4, 5, 6, 7)
 _SEPARATED = np.arange(256, dtype=np.uint8)
 _SEPARATED[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 0x20
@@ -65,7 +67,8 @@ def is_held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_column: str, text_column: str) -> DataFrame:
+def _sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
+    """The bounded sample (id, text, label), and all usable labels."""
     marked = (
         labels.where(F.col(label).isNotNull() & F.col(id_column).isNotNull() & ~is_held_out(F.col(id_column)))
         .groupBy(F.col(id_column).cast("long").alias("id"))
@@ -78,20 +81,60 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_c
     return texts.join(F.broadcast(chosen), "id").select("id", "text", "label"), known  # at most 2 * per_class rows
 
 
-def _distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _by_document(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(document, term), each pair once, sorted by document."""
+    document, term = terms_of(offsets, data)
+    order = np.lexsort((term, document))
+    document, term = document[order], term[order]
+    fresh = np.ones(len(term), dtype=bool)
+    fresh[1:] = (term[1:] != term[:-1]) | (document[1:] != document[:-1])
+    return document[fresh], term[fresh]
+
+
+def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, documents of label 1 that hold it, of label 0), combined within a chunk."""
     for batch in batches:
+        labels = batch.column(2).to_numpy(zero_copy_only=False)
         for row, offsets, data in chunks(batch.column(1)):
-            documents = len(offsets) - 1
-            document, term = terms_of(offsets, data)
-            cut = np.searchsorted(document, np.arange(documents + 1), sorter=(order := np.argsort(document, kind="stable")))
-            term = term[order]
-            yield pa.record_batch(
-                [
-                    batch.column(2).slice(row, documents),
-                    pa.array([np.unique(term[cut[i] : cut[i + 1]]).tobytes() for i in range(documents)], pa.binary()),
-                ],
-                names=["label", "terms"],
-            )
+            document, term = _by_document(offsets, data)
+            one = labels[row : row + len(offsets) - 1][document] == 1
+            value, spot = np.unique(term, return_inverse=True)
+            counts = [np.bincount(spot, k, len(value)).astype(np.int64) for k in (one, ~one)]
+            yield pa.record_batch([pa.array(value.view(np.int64)), *map(pa.array, counts)], names=["term", "ones", "zeros"])
+
+
+def _chosen_terms(chosen: np.ndarray):
+    """(label, terms) of every document, its terms cut down to the chosen ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, offsets, data in chunks(batch.column(1)):
+                documents = len(offsets) - 1
+                document, term = _by_document(offsets, data)
+                held = np.isin(term, chosen)
+                document, term = document[held], term[held]
+                cut = np.searchsorted(document, np.arange(documents + 1))
+                sets = [term[cut[i] : cut[i + 1]].tobytes() for i in range(documents)]
+                yield pa.record_batch([batch.column(2).slice(row, documents), pa.array(sets, pa.binary())], names=["label", "terms"])
+
+    return run
+
+
+def _ratio_column(ones: int, zeros: int) -> Column:
+    """``_likelihood_ratio`` of the columns ``ones`` and ``zeros``; 0 for terms that speak for label 0."""
+    total, held = float(ones + zeros), F.col("ones") + F.col("zeros")
+    share = ones / total
+
+    def part(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(F.lit(0.0))
+
+    ratio = 2 * (
+        part(F.col("ones"), held * share)
+        + part(F.col("zeros"), held * (1 - share))
+        + part(F.lit(ones) - F.col("ones"), F.greatest((total - held) * share, F.lit(1e-9)))
+        + part(F.lit(zeros) - F.col("zeros"), F.greatest((total - held) * (1 - share), F.lit(1e-9)))
+    )
+    return F.when(F.col("ones") / float(ones) < F.col("zeros") / float(zeros), F.lit(0.0)).otherwise(ratio)
 
 
 def _likelihood_ratio(in_one: np.ndarray, in_zero: np.ndarray, ones: int, zeros: int) -> np.ndarray:
@@ -111,7 +154,7 @@ def _likelihood_ratio(in_one: np.ndarray, in_zero: np.ndarray, ones: int, zeros:
     )
 
 
-def fit_machine(term_sets: list[np.ndarray], labels: np.ndarray, prior: float, most_terms: int, least_ratio: float = 10.0, turns: int = 200) -> Machine:
+def fit_machine(term_sets: list[np.ndarray], labels: np.ndarray, prior: float, most_terms: int, least_ratio: float = LEAST_RATIO, turns: int = 200) -> Machine:
     """Choose terms and fit by Adam on the whole sample; the same sample gives the same machine."""
     ones, zeros = int((labels == 1).sum()), int((labels == 0).sum())
     base = float(np.log(prior / (1 - prior)))
@@ -158,11 +201,25 @@ def fit(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 4000, most_terms: int = 1024,
     id_column: str = "doc_id", text_column: str = "text",
 ) -> Machine:
-    """Fit on at most ``per_class`` labelled documents of each label; their term sets reach the driver."""
+    """Fit on at most ``per_class`` labelled documents of each label; their chosen terms reach the driver."""
+    scratch = Scratch(docs.sparkSession, "toxicity")
     sample, known = _sample(docs, labels, label, per_class, id_column, text_column)
     counted = known.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("ones")).first()
     prior = ((counted["ones"] or 0) + 1) / (counted["n"] + 2)
-    rows = sample.mapInArrow(_distinct_terms, "label int, terms binary").collect()
+    sample = scratch.store(sample, "sample")
+    sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    ones, zeros = sizes.get(1, 0), sizes.get(0, 0)
+    if not ones or not zeros:
+        return fit_machine([], np.zeros(0, int), prior, most_terms)
+    best = (
+        sample.mapInArrow(_term_counts, "term long, ones long, zeros long")
+        .groupBy("term").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
+        .withColumn("ratio", _ratio_column(ones, zeros)).where(F.col("ratio") >= LEAST_RATIO)
+        .orderBy(F.desc("ratio"), "term").limit(most_terms).select("term")
+    )
+    chosen = np.array([r["term"] for r in best.collect()], dtype=np.int64).view(U64)
+    rows = sample.mapInArrow(_chosen_terms(np.sort(chosen)), "label int, terms binary").collect()
+    scratch.drop(sample)
     rows.sort(key=lambda r: (r["label"], bytes(r["terms"])))  # the order of partitions must not matter
     sets = [np.frombuffer(r["terms"], dtype=U64) for r in rows]
     return fit_machine(sets, np.array([r["label"] for r in rows]), prior, most_terms)
