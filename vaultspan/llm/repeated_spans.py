@@ -42,9 +42,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultspan.llm.scratch import Scratch
-from vaultspan.llm.words import CHUNK_BYTES, U64, chunks, mix
+from vaultspan.llm.words import U64, chunks, mix
 
 LENGTH = 200
+BLOCK_BYTES = 1 << 20
 ANCHOR = 24
 SORTED_TEXTS = 20_000  # texts that a task sorts at a time
 HOT_TEXTS = 10_000  # different texts from which a collection is counted string by string
@@ -57,7 +58,7 @@ _powers: dict[int, np.ndarray] = {}
 
 def _power(base: int, size: int) -> np.ndarray:
     if base not in _powers or len(_powers[base]) < size:
-        grown = np.full(max(size, CHUNK_BYTES + LENGTH + 1), base, dtype=U64)
+        grown = np.full(max(size, BLOCK_BYTES + LENGTH + 1), base, dtype=U64)
         grown[0] = 1
         _powers[base] = np.multiply.accumulate(grown)
     return _powers[base]
@@ -109,8 +110,8 @@ def anchored(offsets: np.ndarray, data: np.ndarray, length: int, hashed: bool =
     """The texts of a chunk: document, anchor place, first and last start (in the document), anchor and content hash."""
     found: dict[str, list[np.ndarray]] = {f: [] for f in _FIELDS}
     width = length - ANCHOR + 1
-    for begin in range(0, max(0, len(data) - length + 1), CHUNK_BYTES):
-        part = data[begin : begin + CHUNK_BYTES + length - 1]
+    for begin in range(0, max(0, len(data) - length + 1), BLOCK_BYTES):
+        part = data[begin : begin + BLOCK_BYTES + length - 1]
         hashes = anchor_hashes(part)
         # the upper half of the hash, then the place: among equal ones the leftmost counts
         keyed = (hashes >> U64(32) << U64(32)) | np.arange(len(hashes), dtype=U64)
@@ -352,9 +353,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_
     source = source.withColumn("th", F.xxhash64("text"))
 
     # anchors are found twice, once to count and once to keep: cheaper than storing those that occur once
-    often = (
+    # stored, so that the join with a hot anchor's texts can be split
+    often = scratch.store(
         source.select("text").mapInArrow(_anchor_counts(length), "anchor long, n long")
-        .groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
+        .groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"),
+        "often",
     )
     every = source.select("id", "th", "text").mapInArrow(
         _texts(length), "id long, th long, anchor long, hash long, place int, first int, last int"
