@@ -14,7 +14,6 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from conftest import FOLDER
 from vaultspan.llm import byte_bpe, mixing, parity_join, queries, repeated_spans, secret_scan, sharding, token_files, toxicity
 from vaultspan.llm.scratch import Scratch
 
@@ -393,7 +392,8 @@ def check_mix(docs):
         assert all(0 <= p <= 1 for p in r["positions"])
     target = brute_targets({s: sum(r["size"] for r in part) for s, part in by_source.items()})
     for source, part in by_source.items():
-        assert {r["target"] for r in part} == {pytest.approx(target[source])}
+        assert len({r["target"] for r in part}) == 1
+        assert part[0]["target"] == pytest.approx(target[source])
         assert sum(r["taken"] for r in part) == pytest.approx(target[source], abs=1)
     return rows
 

@@ -125,7 +125,8 @@ def best_window_bits(candidate: Column, window: int) -> Column:
                 ),
             )
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), start, step, lambda s: s["best"])
+        slid = F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), start, step, lambda s: s["best"])
+        return F.when(F.size(chars) >= window, slid).otherwise(F.lit(0.0))
 
     return _let(F.filter(F.split(candidate, ""), lambda c: c != ""), slide)
 
