@@ -38,9 +38,9 @@ _CODES = {
     ],
 }
 _RATES = {
-    "CHF": ("1", "1"), "USD": ("0.8865", "0.8812"), "EUR": ("0.9542", "0.9528"), "GBP": ("1.1", "1.12"),
+    "CHF": ("1", "1"), "USD": ("0.7315", "0.7402"), "EUR": ("0.9127", "0.9244"), "GBP": ("1.21", "1.18"),
 }
-MONTHS = (D(2024, 1, 31), D(2024, 2, 29))
+MONTHS = (D(2022, 1, 31), D(2022, 2, 28))
 
 
 def rates() -> list[tuple]:
@@ -60,12 +60,12 @@ def position(portfolio: str, day: date, currency: str, instrument: str, amount:
 
 
 POSITIONS = [
-    position("P1", MONTHS[0], "USD", "NOVO", "21060"),
-    position("P2", MONTHS[0], "USD", "NOVO", "35100"),
-    position("P3", MONTHS[0], "CHF", "CASH", "5600"),
-    position("P1", MONTHS[1], "USD", "NOVO", "22440"),
-    position("P3", MONTHS[1], "CHF", "CASH", "5750"),
-    position("P3", MONTHS[1], "CHF", "NOVO", "1000"),
+    position("P1", MONTHS[0], "USD", "NOVO", "31500"),
+    position("P2", MONTHS[0], "USD", "NOVO", "12400"),
+    position("P3", MONTHS[0], "CHF", "CASH", "7300"),
+    position("P1", MONTHS[1], "USD", "NOVO", "32750"),
+    position("P3", MONTHS[1], "CHF", "CASH", "6900"),
+    position("P3", MONTHS[1], "CHF", "NOVO", "1250"),
 ]
 
 
@@ -77,17 +77,17 @@ def operation(number: int, portfolio: str, day: date, currency: str, amount: str
 
 
 OPERATIONS = [
-    operation(1, "P1", D(2024, 1, 10), "USD", "20580"),
-    operation(2, "P1", D(2024, 2, 20), "USD", "3740"),
-    operation(3, "P3", D(2024, 2, 20), "CHF", "500"),
+    operation(1, "P1", D(2022, 1, 14), "USD", "15300"),
+    operation(2, "P1", D(2022, 2, 22), "USD", "2480"),
+    operation(3, "P3", D(2022, 2, 22), "CHF", "640"),
 ]
 MOVEMENTS = [
-    ("MVT-1", "POS-P1-NOVO", "OPE-1", "N", D(2024, 1, 10), Decimal(1), "BUY", "P1", "SEC", "NOVO", "NOVO", "USD", Decimal(120)),
-    ("MVT-2", "POS-P1-CASH", "OPE-1", "N", D(2024, 1, 12), Decimal(2), "BUY", "P1", "CSH", "CASH", "CASH", "USD", Decimal(-20605)),
-    ("MVT-3", "POS-P1-NOVO", "OPE-2", "N", D(2024, 2, 20), Decimal(1), "BUY", "P1", "SEC", "NOVO", "NOVO", "USD", Decimal(20)),
+    ("MVT-1", "POS-P1-NOVO", "OPE-1", "N", D(2022, 1, 14), Decimal(1), "BUY", "P1", "SEC", "NOVO", "NOVO", "USD", Decimal(85)),
+    ("MVT-2", "POS-P1-CASH", "OPE-1", "N", D(2022, 1, 17), Decimal(2), "BUY", "P1", "CSH", "CASH", "CASH", "USD", Decimal(-15325)),
+    ("MVT-3", "POS-P1-NOVO", "OPE-2", "N", D(2022, 2, 22), Decimal(1), "BUY", "P1", "SEC", "NOVO", "NOVO", "USD", Decimal(12)),
 ]
 BALANCES = [
-    (f"FCT-{p}-{day:%Y%m%d}", p, day, Decimal("0.4"), *[Decimal(100 * (i + 1)) for i in range(23)])
+    (f"FCT-{p}-{day:%Y%m%d}", p, day, Decimal("0.3"), *[Decimal(140 * (i + 1)) for i in range(23)])
     for p in ("P1", "P2", "P3")
     for day in MONTHS
 ]

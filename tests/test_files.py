@@ -51,6 +51,25 @@ def test_loads_are_separate(spark, tmp_path):
     assert table.read(["r1"]).count() == 3 and table.read(["r1", "r2"]).count() == 8
 
 
+def test_load_ids_stay_text(spark, tmp_path):
+    table = LoadedTable(spark, str(tmp_path / "t"))
+    for load in ("001", "1e3", "2024-01-31"):
+        table.write(load, spark.range(1))
+    assert table.loads() == ["001", "1e3", "2024-01-31"]
+    assert table.read(table.loads()).count() == 3
+    with pytest.raises(ValueError, match="load id"):
+        table.write("a/b", spark.range(1))
+
+
+def test_split_loads(spark, tmp_path):
+    table = LoadedTable(spark, str(tmp_path / "t"))
+    rows = spark.createDataFrame([(1, 0), (2, 1)], "id int, part int")
+    assert table.write("r1", rows, split="part").filter("part = 1").collect() == [(2, 1)]
+    assert table.write("r2", rows.limit(0), split="part").count() == 0
+    table.write("003", rows, split="part")
+    assert sorted(table.read(["r1", "r2", "003"], rows.schema).collect()) == [(1, 0), (1, 0), (2, 1), (2, 1)]
+
+
 def test_clustered_layout_splits_a_hot_value(spark):
     rows = [(date(2024, 1, 31), "hot" if i % 4 else f"c{i}", Decimal(i)) for i in range(4000)]
     df = spark.createDataFrame(rows, "d date, c string, n decimal(10,0)")

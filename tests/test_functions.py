@@ -31,13 +31,13 @@ def test_variation(spark, now, start, pct, gain):
 @pytest.mark.parametrize(
     ("amount", "rate", "pivot", "ref", "ptf"),
     [
-        ("21060", "0.8865", "1", "18669.6900", "18669.6900"),
-        ("35100", "0.8865", "0.8865", "31116.1500", "35100.0000"),
-        ("5600", "1", "0.9542", "5600.0000", "5868.7906"),
-        ("22440", "0.8812", "1", "19774.1280", "19774.1280"),
-        ("5750", "1", "0.9528", "5750.0000", "6034.8447"),
-        ("-5750", "1", "0.9528", "-5750.0000", "-6034.8447"),
-        ("20580", None, None, "20580.0000", "20580.0000"),
+        ("31500", "0.7315", "1", "23042.2500", "23042.2500"),
+        ("12400", "0.7315", "0.7315", "9070.6000", "12400.0000"),
+        ("7300", "1", "0.9127", "7300.0000", "7998.2470"),
+        ("32750", "0.7402", "1", "24241.5500", "24241.5500"),
+        ("6900", "1", "0.9244", "6900.0000", "7464.3012"),
+        ("-6900", "1", "0.9244", "-6900.0000", "-7464.3012"),
+        ("15300", None, None, "15300.0000", "15300.0000"),
         ("999999999999999.9999", "1.5", "1.5", None, None),
     ],
 )
@@ -56,3 +56,11 @@ def test_product_keeps_every_digit(spark):
     row = (Decimal("0.0500"), Decimal("0.00100000001"))
     got = one(spark, row, "a decimal(19,4), r decimal(26,11)", fx_direct("a", "r"))
     assert got[0] == Decimal("0.0001")  # 0.0000500000005 rounds up only when all digits are kept
+
+
+def test_rates_up_to_the_column_type(spark):
+    row = (Decimal("12.3400"), Decimal("12345678.50000000001"))
+    got = one(spark, row, "a decimal(19,4), r decimal(26,11)", fx_direct("a", "r"), fx_pivot("a", "r", "r"))
+    assert got == (Decimal("152345672.6900"), Decimal("12.3400"))
+    row = (Decimal("0.0001"), Decimal("999999999999999.99999999999"))
+    assert one(spark, row, "a decimal(19,4), r decimal(26,11)", fx_direct("a", "r"))[0] == Decimal("100000000000.0000")

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from vaultspan.operators.calendar import Calendar, month_end_calendar
-from vaultspan.operators.scd2 import PointInTime, history_from_changelog, on_calendar, snapshot
+from vaultspan.operators.scd2 import at_date, history_from_changelog, on_calendar, snapshot
 from vaultspan.operators.ytd import with_ytd_start
 
 START = datetime(2024, 1, 1)
@@ -49,20 +49,21 @@ def test_versions_on_the_calendar(spark):
     assert covered(spark, [("a", "v1", None, START, None)]) == []
 
 
-def test_attach_equals_the_join_with_the_table(spark):
+def test_attributes_at_a_date(spark):
     old, change, again = date(2020, 1, 1), datetime(2024, 2, 10, 9), datetime(2024, 2, 10, 12)
     rows = [("a", "v1", old, START, change), ("a", "v2", old, change, again), ("a", "v3", old, again, None),
             ("b", "w1", date(2024, 2, 15), START, None)]
-    dimension = PointInTime(versions(spark, rows), calendar(spark), "k", "dt_cre")
     days = [date(2024, 1, 31), date(2024, 2, 10), date(2024, 2, 29), date(2024, 3, 15), date(2025, 1, 1), None]
     facts = spark.createDataFrame([(k, d, i) for i, d in enumerate(days) for k in ("a", "b", "c", None)],
                                   "k string, dt_fct date, n int")
-    table = dimension.table().select("k", "dt_fct", "v")
+    table = on_calendar(versions(spark, rows), calendar(spark), "dt_cre")
+    found = {(r["k"], r["dt_fct"]): r["v"] for r in table.collect()}
+    assert len(found) == 5
     for how in ("inner", "left"):
-        got = dimension.attach(facts, ["v"], how)
+        got = at_date(facts, table, "k", ["v"], how)
         assert got.columns == ["k", "dt_fct", "n", "v"]
-        want = facts.join(table, ["k", "dt_fct"], how).select(*got.columns)
-        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        want = [(r["k"], r["dt_fct"], r["n"], found.get((r["k"], r["dt_fct"]))) for r in facts.collect()]
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(str(w) for w in want if how == "left" or w[3])
 
 
 def test_empty_calendar(spark):

@@ -1,15 +1,11 @@
 from __future__ import annotations
 
-import random
 from datetime import date, timedelta
-from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from vaultspan.operators import skew
 from vaultspan.operators.asof import asof_lookup, asof_lookup_by_pairs, build_asof_index
-from vaultspan.operators.skew import hot_keys, join_dimension
 
 DAY = date(2023, 11, 20)
 FACTS = "id int, ccy string, day date"
@@ -59,15 +55,7 @@ def test_asof_boundaries(spark):
         assert got == sorted([(0, None), (1, 1), (2, 1), (3, 2), (3, 3), (4, 2), (4, 3)], key=str)
 
 
-def test_index_bound_covers_its_rows(spark):
-    rng = random.Random(3)
-    rates = [(c, DAY + timedelta(days=rng.randrange(700)), 1) for c in "abcdef" for _ in range(30)]
-    index = build_asof_index(spark.createDataFrame(rates, RATES), "ccy", "dt", "rate")
-    assert index.intervals.count() <= index.rows_at_most
-
-
-def test_large_index_is_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr("vaultspan.operators.asof.broadcast_rows", lambda df: 0)
+def test_large_index_is_not_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
@@ -80,33 +68,19 @@ def test_large_index_is_not_broadcast(spark, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def dimension_join(spark, how, **limits):
-    facts = [("hot", i) for i in range(600)] + [(f"k{i}", i) for i in range(300)] + [(None, 1), ("unknown", 2)]
-    dims = [("hot", "h")] + [(f"k{i}", f"l{i}") for i in range(250)]
-    left = spark.createDataFrame(facts, "k string, n int")
-    right = spark.createDataFrame(dims, "k string, label string")
-    got = join_dimension(left, right, "k", how, **limits)
-    labels = dict(dims)
-    want = [(k, n, labels.get(k)) for k, n in facts if how == "left" or k in labels]
-    assert got.columns == ["k", "n", "label"]
-    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
-    return left, got
-
-
-def test_dimension_join(spark, monkeypatch):
-    for how in ("inner", "left"):
-        _, got = dimension_join(spark, how)
-        assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(skew, "HOT_SHARE", 4)
-    for how in ("inner", "left"):  # beyond the budget, with the hot key dealt out
-        left, got = dimension_join(spark, how, budget=0)
-        assert hot_keys(left, "k") == ["hot"]
-        assert "_part" in got._jdf.queryExecution().optimizedPlan().toString()
-    monkeypatch.setattr(skew, "HOT_SHARE", 1)
-    dimension_join(spark, "inner", budget=0)  # beyond the budget, no key is hot
-
-
-def test_hot_keys_need_a_share(spark):
-    rows = [(Decimal(i), "a") for i in range(10)]
-    df = spark.createDataFrame(rows, "n decimal(5,0), k string")
-    assert hot_keys(df, "k") == ["a"]
+def test_no_rates(spark):
+    for got in both(spark, [(1, "USD", date(2024, 1, 1)), (2, None, None)], []):
+        assert got == [(1, None), (2, None)]
+
+
+def test_building_a_lookup_runs_no_job(spark):
+    spark.sparkContext.setJobGroup("building", "")
+    both_built = list(
+        lookup(
+            spark.createDataFrame([(1, "USD", DAY)], FACTS),
+            build_asof_index(spark.createDataFrame([("USD", DAY, 1)], RATES), "ccy", "dt", "rate"), "ccy", "day", "found",
+        )
+        for lookup in (asof_lookup, asof_lookup_by_pairs)
+    )
+    assert both_built and not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("tests", "")

@@ -11,7 +11,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vaultspan.types import FACTOR, MONEY, RATE
+from vaultspan.types import MONEY, RATE
 
 
 def _col(value: Column | str) -> Column:
@@ -42,8 +42,15 @@ def rate_or_one(rate: Column | str) -> Column:
 
 
 def exact_product(amount: Column | str, rate: Column | str) -> Column:
-    """Amount times rate as decimal(38,15), without rounding."""
-    return _col(amount).cast(MONEY) * _col(rate).cast(FACTOR)
+    """Amount times rate as decimal(38,15), without rounding.
+
+    Spark would drop scale in the product of the two types, so the whole and
+    the fractional part of the rate are multiplied apart; every rate of the
+    column type is exact, and a product beyond 10^22 is an error.
+    """
+    money, factor = _col(amount).cast(MONEY), _col(rate).cast(RATE)
+    whole = factor.cast("decimal(16,0)")
+    return (money * whole).cast("decimal(26,4)") + money * (factor - whole).cast("decimal(12,11)")
 
 
 def fx_direct(amount: Column | str, rate: Column | str) -> Column:

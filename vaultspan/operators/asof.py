@@ -3,27 +3,20 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultspan.operators.skew import broadcast_rows
-
-_DAYS_PER_MONTH = 28
-
 
 @dataclass(frozen=True)
 class AsOfIndex:
     """Validity intervals of the right side, one row per (key, month touched).
 
-    ``rows_at_most`` bounds the row count of ``intervals``; it decides whether
-    they may be broadcast.
+    ``last_month`` is a scalar subquery: the last month that has any value.
     """
 
     intervals: DataFrame
-    last_month: date | None
-    rows_at_most: int
+    last_month: Column
 
 
 def build_asof_index(rates: DataFrame, key: str, day: str, value: str) -> AsOfIndex:
@@ -32,16 +25,9 @@ def build_asof_index(rates: DataFrame, key: str, day: str, value: str) -> AsOfIn
     Each key's values partition a window, which holds at most one row per day.
     Open intervals run up to the last month that has any value; later lookups
     are clamped to that month. Equal (key, day) rows share their interval, so a
-    duplicate rate yields a duplicate match.
+    duplicate rate yields a duplicate match. Nothing runs while it is built.
     """
-    per_key = rates.groupBy(key).agg(
-        F.count(F.lit(1)).alias("rows"), F.min(day).alias("lo"), F.max(day).alias("hi")
-    )
-    size = per_key.agg(
-        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("keys"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
-    ).first()
-    months = (size["hi"] - size["lo"]).days // _DAYS_PER_MONTH + 2 if size["lo"] else 0
-    last_month = size["hi"].replace(day=1) if size["hi"] else None
+    last_month = rates.agg(F.trunc(F.max(day), "MM")).scalar()
     later = Window.partitionBy("_key").orderBy("_number").rangeBetween(1, Window.unboundedFollowing)
     closed = (
         rates.select(F.col(key).alias("_key"), F.col(day).alias("_from"), F.col(value).alias("_value"))
@@ -50,13 +36,9 @@ def build_asof_index(rates: DataFrame, key: str, day: str, value: str) -> AsOfIn
         .withColumn("_to", F.min("_from").over(later))
         .drop("_number")
     )
-    final = F.coalesce(F.date_sub("_to", 1), F.lit(last_month))
+    final = F.coalesce(F.date_sub("_to", 1), last_month)
     touched = F.sequence(F.trunc("_from", "MM"), F.trunc(final, "MM"), F.expr("interval 1 month"))
-    return AsOfIndex(
-        intervals=closed.withColumn("_month", F.explode(touched)),
-        last_month=last_month,
-        rows_at_most=(size["rows"] or 0) + size["keys"] * months,  # every value, plus every key in every month
-    )
+    return AsOfIndex(closed.withColumn("_month", F.explode(touched)), last_month)
 
 
 def asof_lookup(facts: DataFrame, index: AsOfIndex, key: str | Column, day: str | Column, into: str) -> DataFrame:
@@ -64,21 +46,19 @@ def asof_lookup(facts: DataFrame, index: AsOfIndex, key: str | Column, day: str
 
     The join is an equality on (key, month) with at most a month of candidates
     per row, so it hashes instead of walking a key's whole history. Facts are
-    read once and, when the index is small, not shuffled.
+    read once. Catalyst broadcasts the index when its size allows; beyond that
+    a month of a main currency is a skewed partition, which AQE splits.
     """
     key_col = F.col(key) if isinstance(key, str) else key
     day_col = F.col(day) if isinstance(day, str) else day
-    if index.last_month is None:
-        return facts.withColumn(into, F.lit(None).cast(index.intervals.schema["_value"].dataType))
     probe = facts.withColumns(
         {
             "_probe_key": key_col,
             "_probe_day": day_col,
-            "_probe_month": F.least(F.trunc(day_col, "MM"), F.lit(index.last_month)),
+            "_probe_month": F.least(F.trunc(day_col, "MM"), index.last_month),
         }
     )
-    small = index.rows_at_most <= broadcast_rows(index.intervals)
-    right = (F.broadcast(index.intervals) if small else index.intervals).alias("_right")
+    right = index.intervals.alias("_right")
     hit = (
         (F.col("_probe_key") == F.col("_right._key"))
         & (F.col("_probe_month") == F.col("_right._month"))

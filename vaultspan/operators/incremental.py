@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultspan.operators.surrogate import ONE_TASK_ROWS, highest_id, number_rows
+from vaultspan.operators.surrogate import highest_id, number_rows
 from vaultspan.types import assert_same_columns
 
 
@@ -51,15 +51,14 @@ def with_stable_ids(
     key: str,
     id_column: str,
     order: Sequence[str],
-    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Known keys keep their id; new keys are numbered after the highest id in use."""
     if existing is None:
-        return number_rows(batch, order, id_column, 0, one_task_rows)
+        return number_rows(batch, order, id_column)
     known_ids = existing.select(key, id_column)
     known = batch.join(known_ids, key)
     new = batch.join(known_ids, key, "left_anti")
-    numbered = number_rows(new, order, id_column, highest_id(existing, id_column), one_task_rows)
+    numbered = number_rows(new, order, id_column, highest_id(existing, id_column))
     return known.unionByName(numbered)
 
 
@@ -72,4 +71,4 @@ def new_rows_with_ids(
 ) -> DataFrame:
     """The unseen rows of the batch, numbered by range after the highest id in use."""
     fresh = unseen(existing, batch, key)
-    return number_rows(fresh, order, id_column, highest_id(existing, id_column), one_task_rows=0)
+    return number_rows(fresh, order, id_column, highest_id(existing, id_column))

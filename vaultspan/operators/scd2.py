@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultspan.operators.calendar import Calendar
 
-HISTORY_COLUMNS = ("scd_id", "updated_at", "valid_from", "valid_to")
-
 
 def _version_id(key: Column, updated_at: Column) -> Column:
     return F.md5(F.concat_ws("|", key.cast("string"), updated_at.cast("string")))
@@ -122,34 +119,14 @@ def on_calendar(history: DataFrame, calendar: Calendar, created: str) -> DataFra
     )
 
 
-@dataclass(frozen=True)
-class PointInTime:
-    """A dimension's versions, to be looked up by key and calendar date."""
-
-    versions: DataFrame
-    calendar: Calendar
-    key: str
-    created: str
-
-    def table(self) -> DataFrame:
-        """One row per key and calendar date."""
-        return on_calendar(self.versions, self.calendar, self.created)
-
-    def attach(self, rows: DataFrame, columns: Sequence[str | Column], how: str = "inner") -> DataFrame:
-        """Join ``columns`` of the version in force on the row's ``dt_fct``.
-
-        The same rows as an equi-join with ``table()``, without building it:
-        only the dates that occur in ``rows`` are looked up. The join is an
-        equality on (key, month), so a key meets at most a month of versions.
-        """
-        days = self.calendar.days.select(F.col("dt_fct").alias("_day"))
-        dated = rows.join(F.broadcast(days), F.col("dt_fct") == F.col("_day"), "left")  # one row per day
-        windows = _by_month(self.versions, self.calendar, self.created).select(
-            F.col(self.key).alias("_key"), "_month", "_begin", "_end", *columns
-        )
-        in_force = (
-            (F.col(self.key) == F.col("_key"))
-            & (F.trunc("_day", "MM") == F.col("_month"))
-            & F.col("_day").between(F.col("_begin"), F.col("_end"))
-        )
-        return dated.join(windows, in_force, how).drop("_day", "_key", "_month", "_begin", "_end")
+def at_date(
+    rows: DataFrame, dated: DataFrame, key: str, columns: Sequence[str | Column], how: str = "inner"
+) -> DataFrame:
+    """Join ``columns`` of a point-in-time table, one row per ``key`` and ``dt_fct``, to rows with both.
+
+    One equi-join: the table is built once by ``on_calendar`` and read with the
+    columns asked for. A row without a key or a calendar date meets nothing.
+    """
+    picked = dated.select(F.col(key).alias("_key"), F.col("dt_fct").alias("_day"), *columns)
+    met = (F.col(key) == F.col("_key")) & (F.col("dt_fct") == F.col("_day"))
+    return rows.join(picked, met, how).drop("_key", "_day")

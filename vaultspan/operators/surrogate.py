@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from vaultspan.session import ensure_checkpoint_dir
 from vaultspan.types import ID
 
-# One task sorts at most this many rows; larger inputs are numbered by range.
-ONE_TASK_ROWS = 200_000
-
 _ROWS_PER_PARTITION_BITS = 33  # layout of monotonically_increasing_id
 
 
@@ -24,28 +21,11 @@ def highest_id(existing: DataFrame | None, id_column: str) -> int:
     return int(top or 0)
 
 
-def number_rows(
-    rows: DataFrame,
-    order: Sequence[str],
-    id_column: str,
-    after: int = 0,
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
+def number_rows(rows: DataFrame, order: Sequence[str], id_column: str, after: int = 0) -> DataFrame:
     """Add ``id_column`` = ``after`` + rank of the row in ``order`` (1, 2, 3 ...).
 
-    ``order`` must end in a unique column, so ids do not depend on the run. A
-    counted small input is ranked by one window; anything larger goes through
-    ``_number_by_range``.
-    """
-    if one_task_rows > 0 and rows.count() <= one_task_rows:
-        rank = F.row_number().over(Window.orderBy(*order))
-        return rows.withColumn(id_column, (rank + F.lit(after)).cast(ID))
-    return _number_by_range(rows, order, id_column, after)
-
-
-def _number_by_range(rows: DataFrame, order: Sequence[str], id_column: str, after: int) -> DataFrame:
-    """One range shuffle on the whole order tuple, then position + offset per range.
-
+    ``order`` must end in a unique column, so ids do not depend on the run. One
+    range shuffle on the whole order tuple, then position + offset per range.
     The tuple is unique, so a value that holds a third of all rows in its first
     columns is still cut into many ranges. The ranges come from a sample, hence
     they are checkpointed once before they are both counted and numbered; only

@@ -9,8 +9,7 @@ from vaultspan.functions import fx_direct, fx_pivot, rate_or_one
 from vaultspan.operators.asof import AsOfIndex, asof_lookup, build_asof_index
 from vaultspan.operators.calendar import Calendar
 from vaultspan.operators.incremental import unseen
-from vaultspan.operators.scd2 import PointInTime
-from vaultspan.operators.skew import join_dimension
+from vaultspan.operators.scd2 import on_calendar
 from vaultspan.sources.schemas import FLOWS, HORIZONS, STOCKS
 
 VERSION_COLUMNS = ("dt_cre", "dt_clo", "ts_stg", "updated_at", "valid_from", "valid_to")
@@ -32,26 +31,22 @@ def with_labels(
     return joined.select(*df.columns, *labels)
 
 
-def clients(history: DataFrame, calendar: Calendar, lookups: dict[str, DataFrame]) -> PointInTime:
-    """Client versions with their labels, joined before the dates multiply the versions."""
+def int_cli(history: DataFrame, calendar: Calendar, lookups: dict[str, DataFrame]) -> DataFrame:
+    """Clients per calendar date. Labels are joined before the dates multiply the versions."""
     coded = {
         "lb_cli_cat": ("cli_cat", "cd_cli_cat"),
         "lb_cty_dom": ("cty", "cd_cty_dom"),
         "lb_mng_rel": ("mng", "cd_mng_rel"),
     }
-    return PointInTime(with_labels(history, lookups, coded, fall_back=True), calendar, "cd_cli", "dt_cre")
-
-
-def int_cli(dimension: PointInTime) -> DataFrame:
-    """Clients per calendar date."""
-    return dimension.table().select(
+    labelled = with_labels(history, lookups, coded, fall_back=True)
+    return on_calendar(labelled, calendar, "dt_cre").select(
         "dt_fct", "cd_cli", "lb_cli", "lb_cli_alt", "cd_cli_cat", "lb_cli_cat", "cd_ccy", "cd_cty_dom", "lb_cty_dom",
         "cd_cty_nat", "cd_mng_rel", "lb_mng_rel", *VERSION_COLUMNS,
     )
 
 
-def portfolios(history: DataFrame, calendar: Calendar, lookups: dict[str, DataFrame]) -> PointInTime:
-    """Portfolio versions with their labels. The manager brings the manager's group along."""
+def int_ptf(history: DataFrame, calendar: Calendar, lookups: dict[str, DataFrame]) -> DataFrame:
+    """Portfolios per calendar date. The manager brings the manager's group along."""
     managers = with_labels(
         lookups["mng"].select("cd_mng", "lb_mng", "cd_mng_grp"), lookups, {"lb_mng_grp": ("mng_grp", "cd_mng_grp")}, True
     )
@@ -63,14 +58,9 @@ def portfolios(history: DataFrame, calendar: Calendar, lookups: dict[str, DataFr
     labelled = with_labels(
         labelled, lookups, {f"lb_{n}": (n, f"cd_{n}") for n in ("mng_ext", "agn", "ent", "buu")}, fall_back=False
     )
-    return PointInTime(labelled, calendar, "cd_ptf", "dt_cre")
-
-
-def int_ptf(dimension: PointInTime) -> DataFrame:
-    """Portfolios per calendar date."""
     pairs = [f"{side}_{name}" for name in ("ccy", "prf", "mng", "mng_grp", "mng_ext", "agn", "ent", "buu")
              for side in ("cd", "lb")]
-    return dimension.table().select(
+    return on_calendar(labelled, calendar, "dt_cre").select(
         "dt_fct", "cd_ptf", "lb_ptf", "lb_ptf_alt", "cd_cli", *pairs, *VERSION_COLUMNS
     )
 
@@ -94,7 +84,7 @@ def rate_index(rates: DataFrame) -> AsOfIndex:
 def _owned(facts: DataFrame, portfolios: DataFrame) -> DataFrame:
     """Attach owner and currency of the current portfolio; facts without one are dropped."""
     current = portfolios.select("cd_ptf", "cd_cli", F.col("cd_ccy").alias("cd_ccy_ptf"))
-    return join_dimension(facts, current, "cd_ptf")
+    return facts.join(current, "cd_ptf")
 
 
 def _with_rate(facts: DataFrame, index: AsOfIndex, currency: str, day: str, into: str) -> DataFrame:

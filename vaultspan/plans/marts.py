@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from vaultspan.functions import safe_divide, stamp, ytd_variation_abs, ytd_variation_pct
 from vaultspan.operators.calendar import Calendar
-from vaultspan.operators.scd2 import PointInTime
-from vaultspan.operators.skew import join_dimension
+from vaultspan.operators.scd2 import at_date
 from vaultspan.operators.ytd import with_ytd_start
 from vaultspan.plans.intermediate import portfolio_amounts
 
@@ -43,20 +42,21 @@ def _loaded(df: DataFrame, loaded_at: datetime | None) -> DataFrame:
     return df if loaded_at is None else df.withColumn("loaded_at", stamp(loaded_at))
 
 
-def _daily_aum(positions: DataFrame, cli: PointInTime, ptf: PointInTime, of_cli: list, of_ptf: list) -> DataFrame:
+def _daily_aum(positions: DataFrame, cli: DataFrame, ptf: DataFrame, of_cli: list, of_ptf: list) -> DataFrame:
     """Assets per date, client and portfolio, with point-in-time attributes.
 
-    Both dimensions have one version in force per date, so summing before the
-    joins gives the same rows and leaves only portfolio-days to be joined.
+    ``cli`` and ``ptf`` (``int_cli``, ``int_ptf``) hold one row per key and date,
+    so summing before the joins gives the same rows and leaves only
+    portfolio-days to be joined.
     """
     daily = positions.groupBy("dt_fct", "cd_cli", "cd_ptf").agg(F.sum("mt_ast_ref").alias("aum"))
-    return cli.attach(ptf.attach(daily, of_ptf), of_cli)
+    return at_date(at_date(daily, ptf, "cd_ptf", of_ptf), cli, "cd_cli", of_cli)
 
 
 def mart_aum_ytd(
     positions: DataFrame,
-    cli: PointInTime,
-    ptf: PointInTime,
+    cli: DataFrame,
+    ptf: DataFrame,
     calendar: Calendar,
     as_of: date,
     year: int | None = None,
@@ -96,7 +96,7 @@ def _same(left: str, right: str, *columns: str) -> Column:
     return condition
 
 
-def mart_client_exposure(positions: DataFrame, cli: PointInTime, ptf: PointInTime, instruments: DataFrame) -> DataFrame:
+def mart_client_exposure(positions: DataFrame, cli: DataFrame, ptf: DataFrame, instruments: DataFrame) -> DataFrame:
     """Every position with its attributes and its share of the client's assets that day.
 
     The client's total is summed per portfolio-day and then per client-day, with
@@ -109,12 +109,12 @@ def mart_client_exposure(positions: DataFrame, cli: PointInTime, ptf: PointInTim
     ]
     held = positions.groupBy("dt_fct", "cd_cli", "cd_ptf").agg(F.sum("mt_ast_ref").alias("_held"))
     totals = held.groupBy("dt_fct", "cd_cli").agg(F.sum("_held").alias("_total"))
-    clients = cli.attach(totals, of_cli, "left")
+    clients = at_date(totals, cli, "cd_cli", of_cli, "left")
     client_days = held.alias("h").join(clients.alias("c"), _same("h", "c", "dt_fct", "cd_cli")).select(
         "h.dt_fct", "h.cd_cli", "h.cd_ptf", "c._total", *(f"c.{c}" for c in of_cli)
     )
-    days = ptf.attach(client_days, of_ptf, "left")
-    named = join_dimension(positions, _instrument_names(instruments), "cd_ins", "left")
+    days = at_date(client_days, ptf, "cd_ptf", of_ptf, "left")
+    named = positions.join(_instrument_names(instruments), "cd_ins", "left")
     joined = named.alias("p").join(days.alias("d"), _same("p", "d", "dt_fct", "cd_cli", "cd_ptf"))
     return joined.select(
         "p.dt_fct", "p.cd_cli", *(f"d.{c}" for c in of_cli), "p.cd_ptf", *(f"d.{c}" for c in of_ptf), "p.cd_ast",
@@ -124,11 +124,11 @@ def mart_client_exposure(positions: DataFrame, cli: PointInTime, ptf: PointInTim
 
 
 def mart_portfolio_performance(
-    positions: DataFrame, ptf: PointInTime, instruments: DataFrame, loaded_at: datetime | None = None
+    positions: DataFrame, ptf: DataFrame, instruments: DataFrame, loaded_at: datetime | None = None
 ) -> DataFrame:
     """Value, gain, weights and return of each position of a known portfolio."""
-    named = join_dimension(positions, _instrument_names(instruments), "cd_ins", "left")
-    owned = ptf.attach(named, ["lb_ptf", "cd_prf", "lb_prf"])
+    named = positions.join(_instrument_names(instruments), "cd_ins", "left")
+    owned = at_date(named, ptf, "cd_ptf", ["lb_ptf", "cd_prf", "lb_prf"])
     return _loaded(
         owned.select(
             "dt_fct", "cd_ptf", "cd_cli", "lb_ptf", "cd_prf", "lb_prf", "cd_ast", "asset_name", "asset_class",
@@ -139,21 +139,21 @@ def mart_portfolio_performance(
     )
 
 
-def mart_ptf_detail(portfolio_facts: DataFrame, ptf: PointInTime) -> DataFrame:
+def mart_ptf_detail(portfolio_facts: DataFrame, ptf: DataFrame) -> DataFrame:
     """Balances and flows of each portfolio with its point-in-time attributes."""
     of_ptf = ["lb_ptf", "lb_ptf_alt", "lb_ccy"] + [
         f"{side}_{name}" for name in ("prf", "mng", "mng_grp", "mng_ext", "agn", "ent", "buu") for side in ("cd", "lb")
     ]
     amounts = [c for pair in portfolio_amounts() for c in pair]
-    return ptf.attach(portfolio_facts, of_ptf).select(
+    return at_date(portfolio_facts, ptf, "cd_ptf", of_ptf).select(
         "dt_fct", "cd_ptf", "lb_ptf", "lb_ptf_alt", "cd_cli", "cd_ccy_ptf", *of_ptf[2:], "xrt_rate", "pc_ptf", *amounts
     )
 
 
 def mart_rm_performance(
     positions: DataFrame,
-    cli: PointInTime,
-    ptf: PointInTime,
+    cli: DataFrame,
+    ptf: DataFrame,
     calendar: Calendar,
     as_of: date,
     year: int | None = None,

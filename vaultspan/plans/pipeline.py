@@ -5,27 +5,34 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from vaultspan.functions import stamp
 from vaultspan.operators.asof import AsOfIndex
 from vaultspan.operators.calendar import Calendar, month_end_calendar
 from vaultspan.operators.incremental import upsert
 from vaultspan.operators.quality import run_checks
-from vaultspan.operators.scd2 import PointInTime, roll_open_versions
+from vaultspan.operators.scd2 import roll_open_versions
 from vaultspan.plans import intermediate, marts
 from vaultspan.plans.checks import declared_checks
 from vaultspan.plans.staging import Run, stage_new_rows, stage_upsert
 from vaultspan.sources.files import LoadedTable
 from vaultspan.sources.schemas import DIMENSIONS, FACTS, RATES
+from vaultspan.types import assert_same_columns
 
 RUN_LOG = "run_log"
 
 # The date a fact is filed under.
 FACT_DAY = {"fct_ast": "dt_fct", "fct_ptf": "dt_fct", "fct_ope": "dt_cta", "fct_mvt": "dt_cta"}
 
+# Tables that runs add to, and the versions of clients and portfolios; all others are written whole by each run.
+APPENDED = tuple(f"{layer}_{name}" for layer in ("stg", "int") for name in FACTS)
+HISTORIES = ("history_cli", "history_ptf")
+OPEN = "_open"
+
 CONVERT: dict[str, Callable[..., DataFrame]] = {
     "fct_ast": intermediate.int_fct_ast,
     "fct_ptf": intermediate.int_fct_ptf,
@@ -34,22 +41,68 @@ CONVERT: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+def _split_history(versions: DataFrame) -> DataFrame:
+    """Versions with the column they are stored apart by: 1 while open, 0 once closed."""
+    return versions.withColumn(OPEN, F.col("valid_to").isNull().cast("int"))
+
+
+def _whole_history(store: LoadedTable, attempts: list[str], schema: StructType) -> DataFrame:
+    """The closed versions of all attempts and the open ones of the last."""
+    closed = store.read(attempts, schema).filter(F.col(OPEN) == 0)
+    return closed.unionByName(store.read(attempts[-1:], schema).filter(F.col(OPEN) == 1)).drop(OPEN)
+
+
 @dataclass(frozen=True)
 class Settings:
-    """Start of the calendar, reporting date and optional year of the asset marts."""
+    """Start of the calendar, reporting date and optional year of the asset marts.
+
+    A ``full_refresh`` stages and converts as if nothing had been staged before,
+    so ids start from 1 and corrected rates reach all facts. The history of
+    clients and portfolios cannot be rebuilt from an extract and goes on.
+    """
 
     start_date: date
     as_of: date
     aum_year: int | None = None
+    full_refresh: bool = False
+
+
+@dataclass(frozen=True, order=True)
+class Finished:
+    """A finished run: its time, the folder its last attempt wrote, and whether it started anew."""
+
+    run_ts: str
+    run_id: str
+    attempt: str
+    full_refresh: bool
+
+
+def finished_runs(spark: SparkSession, root: str) -> list[Finished]:
+    """Finished runs in the order of their time; of a repeated run only the last attempt counts.
+
+    The log has one row per attempt that came to its end.
+    """
+    log = LoadedTable(spark, f"{root}/{RUN_LOG}")
+    entries = log.read(log.loads())
+    last = {}
+    for row in sorted(entries.collect() if entries is not None else [], key=lambda r: r["number"]):
+        last[row["run_id"]] = Finished(row["run_ts"], row["run_id"], row["attempt"], row["full_refresh"])
+    return sorted(last.values())
+
+
+def _since_refresh(runs: list[Finished]) -> list[str]:
+    """Attempts from the last full refresh on: those that make up an append-only table."""
+    starts = [i for i, run in enumerate(runs) if run.full_refresh]
+    return [run.attempt for run in runs[starts[-1] if starts else 0 :]]
 
 
 class Pipeline:
     """One run over the state below ``root``.
 
-    Every table is written once per run into the run's own folder and read back
-    from there. A run counts only after its last step has been logged, so a
-    run that fails half-way leaves nothing that a later run would read, and
-    repeating it is safe.
+    Every attempt at a run writes each table once, into a folder of its own,
+    and reads it back from there. An attempt counts only after its last step
+    has been logged. One that fails half-way leaves nothing that is ever
+    read, also when it repeats a finished run, and repeating it is safe.
     """
 
     def __init__(
@@ -60,13 +113,15 @@ class Pipeline:
         self.root = root
         self.run = run
         self.settings = settings
-        finished = self.stored(RUN_LOG).loads()
-        later = [r for r in finished if r > run.run_id]
+        self.attempt = f"{run.run_id}.{uuid4().hex[:12]}"
+        self.run_ts = run.run_ts.isoformat(timespec="microseconds")
+        before = [r for r in finished_runs(spark, root) if r.run_id != run.run_id]
+        later = [r.run_id for r in before if r.run_ts >= self.run_ts]
         if later:
             raise ValueError(f"run {run.run_id} is older than finished runs {later}")
-        self.earlier = [r for r in finished if r < run.run_id]
+        self.before = [r.attempt for r in before]
+        self.earlier = [] if settings.full_refresh else _since_refresh(before)
         self.tables: dict[str, DataFrame] = {}
-        self.dimensions: dict[str, PointInTime] = {}
 
     def stored(self, name: str) -> LoadedTable:
         return LoadedTable(self.spark, f"{self.root}/{name}")
@@ -81,13 +136,19 @@ class Pipeline:
 
     def keep(self, name: str, rows: DataFrame, by: list[str | Column] | None = None) -> DataFrame:
         """Store this run's version of a table."""
-        self.tables[name] = self.stored(name).write(self.run.run_id, rows, by or ())
+        self.tables[name] = self.stored(name).write(self.attempt, rows, by or ())
         return self.tables[name]
 
     def append(self, name: str, rows: DataFrame, day: str) -> DataFrame:
-        """Store this run's part of an append-only table; returns that part."""
-        part = self.stored(name).write(self.run.run_id, rows, [F.trunc(day, "MM")])
-        self.tables[name] = self.stored(name).read([*self.earlier, self.run.run_id])
+        """Store this run's part of an append-only table; returns that part.
+
+        Columns that differ from those stored before are refused.
+        """
+        held = self.appended(name)
+        if held is not None:
+            assert_same_columns(held, rows, name)
+        part = self.stored(name).write(self.attempt, rows, [F.trunc(day, "MM")])
+        self.tables[name] = self.stored(name).read([*self.earlier, self.attempt])
         return part
 
     # Layers
@@ -105,13 +166,17 @@ class Pipeline:
         return fresh
 
     def history(self, name: str) -> DataFrame:
-        """Roll the open versions of clients or portfolios; returns all versions."""
-        store = f"history_{name}"
-        last = self.newest(store)
-        still_open = None if last is None else last.filter(F.col("valid_to").isNull())
-        rolled = self.keep(store, roll_open_versions(still_open, self.tables[f"stg_{name}"], f"cd_{name}", "ts_stg"))
-        past = self.appended(store)
-        return rolled if past is None else past.filter(F.col("valid_to").isNotNull()).unionByName(rolled)
+        """Roll the open versions of clients or portfolios; returns all versions.
+
+        Each run stores the versions it closed apart from those it leaves open,
+        so the open ones of one run and the closed ones of all are read.
+        """
+        store, batch, key = self.stored(f"history_{name}"), self.tables[f"stg_{name}"], f"cd_{name}"
+        schema = _split_history(roll_open_versions(None, batch, key, "ts_stg")).schema
+        last = store.read(self.before[-1:], schema)
+        still_open = None if last is None else last.filter(F.col(OPEN) == 1).drop(OPEN)
+        store.write(self.attempt, _split_history(roll_open_versions(still_open, batch, key, "ts_stg")), split=OPEN)
+        return _whole_history(store, [*self.before, self.attempt], schema)
 
     def convert(self, name: str, fresh: DataFrame, rates: AsOfIndex) -> None:
         """Convert the new facts, and earlier ones whose portfolio was unknown until now.
@@ -129,10 +194,10 @@ class Pipeline:
         calendar = Calendar.of(self.tables["stg_set_cal"])
         lookups = {name: self.tables[f"stg_{name}"] for name in DIMENSIONS}
         self.tables["int_set_cal"] = intermediate.int_set_cal(calendar.days)
-        cli = self.dimensions["cli"] = intermediate.clients(self.history("cli"), calendar, lookups)
-        ptf = self.dimensions["ptf"] = intermediate.portfolios(self.history("ptf"), calendar, lookups)
-        self.keep("int_cli", intermediate.int_cli(cli), ["dt_fct", "cd_cli"])
-        self.keep("int_ptf", intermediate.int_ptf(ptf), ["dt_fct", "cd_ptf"])
+        clients = intermediate.int_cli(self.history("cli"), calendar, lookups)
+        self.keep("int_cli", clients, ["dt_fct", "cd_cli"])
+        portfolios = intermediate.int_ptf(self.history("ptf"), calendar, lookups)
+        self.keep("int_ptf", portfolios, ["dt_fct", "cd_ptf"])
         self.keep("int_ins", intermediate.int_ins(lookups["ins"], lookups["ins_grp"]))
         rates = intermediate.rate_index(self.tables["stg_fct_xrt"])
         for name, rows in fresh.items():
@@ -141,8 +206,7 @@ class Pipeline:
 
     def marts(self, calendar: Calendar) -> None:
         t, as_of, year, now = self.tables, self.settings.as_of, self.settings.aum_year, self.run.run_ts
-        positions, ins = t["int_fct_ast"], t["int_ins"]
-        cli, ptf = self.dimensions["cli"], self.dimensions["ptf"]
+        positions, ins, cli, ptf = t["int_fct_ast"], t["int_ins"], t["int_cli"], t["int_ptf"]
         built = {
             "mart_aum_ytd": marts.mart_aum_ytd(positions, cli, ptf, calendar, as_of, year, now),
             "mart_client_exposure": marts.mart_client_exposure(positions, cli, ptf, ins),
@@ -162,8 +226,11 @@ class Pipeline:
         calendar = self.intermediate(fresh)
         self.marts(calendar)
         summary = self.check()
-        log = self.spark.range(1).select(F.lit(self.run.run_id).alias("run_id"), stamp(self.run.run_ts).alias("run_ts"))
-        self.stored(RUN_LOG).write(self.run.run_id, log)
+        log = self.stored(RUN_LOG)
+        entry = (len(log.loads()), self.run.run_id, self.attempt, self.run_ts, self.settings.full_refresh)
+        columns = ("number", "run_id", "attempt", "run_ts", "full_refresh")
+        line = self.spark.range(1).select(*(F.lit(value).alias(name) for name, value in zip(columns, entry)))
+        log.write(self.attempt, line.coalesce(1))
         return summary
 
 
@@ -175,8 +242,16 @@ def run_pipeline(
 
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table as the last finished run left it."""
-    finished = LoadedTable(spark, f"{root}/{RUN_LOG}").loads()
-    if not finished:
+    """A table as the last finished run left it; an append-only one with all that runs appended."""
+    runs = finished_runs(spark, root)
+    if not runs:
         raise ValueError(f"no finished run below {root}")
-    return LoadedTable(spark, f"{root}/{name}").read(finished[-1:])
+    table = LoadedTable(spark, f"{root}/{name}")
+    if name in APPENDED:
+        return table.read(_since_refresh(runs))
+    if name in HISTORIES:
+        key = name.removeprefix("history_")
+        staged = LoadedTable(spark, f"{root}/stg_{key}").read([runs[-1].attempt])
+        schema = _split_history(roll_open_versions(None, staged, f"cd_{key}", "ts_stg")).schema
+        return _whole_history(table, [run.attempt for run in runs], schema)
+    return table.read([runs[-1].attempt])

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from vaultspan.functions import technical_columns
 from vaultspan.operators.incremental import new_rows_with_ids, upsert, with_stable_ids
-from vaultspan.operators.surrogate import ONE_TASK_ROWS
 from vaultspan.sources.schemas import DIMENSIONS, RawTable
 from vaultspan.types import DDL, ID
 
@@ -36,11 +35,9 @@ def _staged(rows: DataFrame, table: RawTable, run: Run) -> DataFrame:
     )
 
 
-def stage_upsert(
-    raw: DataFrame, table: RawTable, run: Run, existing: DataFrame | None = None, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def stage_upsert(raw: DataFrame, table: RawTable, run: Run, existing: DataFrame | None = None) -> DataFrame:
     """The whole staged table after merging the raw rows (dimensions and exchange rates)."""
-    numbered = with_stable_ids(existing, raw, table.key, table.id_column, table.order, one_task_rows)
+    numbered = with_stable_ids(existing, raw, table.key, table.id_column, table.order)
     return upsert(existing, _staged(numbered, table, run), table.key)
 
 

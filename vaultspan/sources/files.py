@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -35,43 +36,53 @@ def write_extract(df: DataFrame, path: str) -> None:
     df.toDF(*(c.upper() for c in df.columns)).write.mode("overwrite").option("header", True).csv(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """A Parquet table, or None when nothing was written there yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 class LoadedTable:
     """A table kept as one Parquet folder per load, ``<path>/load=<id>``.
 
-    A load only ever writes its own folder, so a retry replaces its own output
-    and never a file it reads. Which loads count is the caller's decision.
+    A load only ever writes its own folder, so a retry never touches a file it
+    reads. Which loads count is the caller's decision. Ids are plain text.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
         self.path = path
 
-    def read(self, loads: Sequence[str]) -> DataFrame | None:
-        """The rows of the given loads, None when there are no loads."""
-        return self.spark.read.parquet(*(f"{self.path}/{LOAD}={load}" for load in loads)) if loads else None
+    def _folder(self, load: str) -> str:
+        if not re.fullmatch(r"[A-Za-z0-9._-]+", load):
+            raise ValueError(f"load id {load!r} must consist of letters, digits, dots, dashes and underscores")
+        return f"{self.path}/{LOAD}={load}"
 
-    def write(self, load: str, rows: DataFrame, by: Sequence[str | Column] = ()) -> DataFrame:
-        """Write one load, clustered on ``by`` if given, and read it back."""
-        laid_out = clustered(rows, by) if by else rows
-        laid_out.write.mode("overwrite").parquet(f"{self.path}/{LOAD}={load}")
-        return self.read([load])
+    def read(self, loads: Sequence[str], schema: StructType | None = None) -> DataFrame | None:
+        """The rows of the given loads, None when there are no loads.
+
+        Loads written with ``split`` need the ``schema``, as a load without
+        rows leaves no file that would tell it.
+        """
+        if not loads:
+            return None
+        folders = [self._folder(load) for load in loads]
+        if schema is None:
+            return self.spark.read.parquet(*folders)
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*folders).select(*schema.names)
+
+    def write(
+        self, load: str, rows: DataFrame, by: Sequence[str | Column] = (), split: str | None = None
+    ) -> DataFrame:
+        """Write one load, clustered on ``by`` if given, in a folder per value of ``split``; read it back."""
+        writer = (clustered(rows, by) if by else rows).write.mode("overwrite")
+        (writer.partitionBy(split) if split else writer).parquet(self._folder(load))
+        return self.read([load], rows.schema if split else None)
 
     def loads(self) -> list[str]:
         """All load ids in the folder, in order. Meant for small tables."""
-        found = read_table(self.spark, self.path)
-        if found is None:
-            return []
-        return sorted(row[0] for row in found.select(F.col(LOAD).cast("string")).distinct().collect())
+        try:
+            # a given type keeps ids like 001 and 1e3 from being read as numbers
+            found = self.spark.read.schema(f"{LOAD} string").parquet(self.path)
+        except AnalysisException as missing:
+            if missing.getCondition() == "PATH_NOT_FOUND":
+                return []
+            raise
+        return sorted(row[0] for row in found.distinct().collect())
 
 
 def clustered(df: DataFrame, by: Sequence[str | Column], partitions: int | None = None) -> DataFrame:

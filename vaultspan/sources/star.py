@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from vaultspan.functions import stamp
 from vaultspan.operators.calendar import Calendar, month_end_calendar
 from vaultspan.operators.scd2 import history_from_changelog
-from vaultspan.operators.skew import join_dimension
 from vaultspan.plans.staging import Run
 from vaultspan.sources.schemas import ALL_TABLES
 from vaultspan.types import DDL
@@ -239,7 +238,7 @@ class Star:
         regions = self._regions.selectExpr("n_nationkey", "r_name as line_ccy")
         supplier = self.table("supplier")
         quoted = supplier.join(F.broadcast(regions), supplier.s_nationkey == regions.n_nationkey)  # one row per nation
-        supplied = join_dimension(lines, quoted.selectExpr("s_suppkey as l_suppkey", "line_ccy"), "l_suppkey")
+        supplied = lines.join(quoted.selectExpr("s_suppkey as l_suppkey", "line_ccy"), "l_suppkey")
         owned = supplied.join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
         return owned.withColumn("shipped", F.expr("date(l_shipdate)"))
 

@@ -10,9 +10,6 @@ ID = DecimalType(15, 0)
 MONEY = DecimalType(19, 4)
 RATE = DecimalType(26, 11)
 
-# MONEY x FACTOR fits decimal(38,15) exactly; MONEY x RATE would lose scale in Spark.
-FACTOR = DecimalType(18, 11)
-
 DDL = {
     "text": "string",
     "date": "date",
