@@ -130,7 +130,8 @@ class Check:
     """One declared check. Exactly one of ``rule`` and ``count`` is set.
 
     ``rule`` builds a row condition; ``count`` builds a one-row frame with the
-    number of violations from the table and a loader of other tables.
+    number of violations from the table and a loader of other tables. ``args``
+    are the declared arguments, for reports and for stating the check elsewhere.
     """
 
     table: str
@@ -138,6 +139,7 @@ class Check:
     kind: str
     rule: Callable[[], Column] | None = None
     count: Callable[[DataFrame, Callable[[str], DataFrame]], DataFrame] | None = None
+    args: tuple = ()
 
 
 def required(table: str, column: str) -> Check:
@@ -149,27 +151,28 @@ def unique(table: str, column: str) -> Check:
 
 
 def accepted(table: str, column: str, values: Sequence[str]) -> Check:
-    return Check(table, column, "accepted_values", rule=lambda: not_accepted(column, values))
+    return Check(table, column, "accepted_values", rule=lambda: not_accepted(column, values), args=tuple(values))
 
 
 def references(table: str, column: str, parent: str, parent_column: str) -> Check:
     def count(df: DataFrame, load: Callable[[str], DataFrame]) -> DataFrame:
         return _tally(unknown_values(df, column, load(parent), parent_column), F.sum("n_records"))
 
-    return Check(table, column, "relationships", count=count)
+    return Check(table, column, "relationships", count=count, args=(parent, parent_column))
 
 
 def between(table: str, column: str, low: float | None = None, high: float | None = None, strictly: bool = False) -> Check:
-    return Check(table, column, "between", rule=lambda: out_of_range(column, low, high, strictly))
+    args = (low, high, strictly)
+    return Check(table, column, "between", rule=lambda: out_of_range(column, *args), args=args)
 
 
 def ordered(table: str, later: str, earlier: str, or_equal: bool = False) -> Check:
-    return Check(table, f"{later},{earlier}", "pair_ge", rule=lambda: not_after(later, earlier, or_equal))
+    return Check(table, f"{later},{earlier}", "pair_ge", rule=lambda: not_after(later, earlier, or_equal), args=(or_equal,))
 
 
 def converted(table: str, column: str, native: str, rate: str, pivot: str | None = None) -> Check:
     kind = "fx_pivot" if pivot else "fx_direct"
-    return Check(table, column, kind, rule=lambda: misconverted(column, native, rate, pivot))
+    return Check(table, column, kind, rule=lambda: misconverted(column, native, rate, pivot), args=(native, rate, pivot))
 
 
 def not_negative(table: str, *columns: str) -> Check:
@@ -182,9 +185,22 @@ def _tally(violations: DataFrame, how: Column) -> DataFrame:
 
 def _row_rules(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All row rules of a table in one scan, turned into one row per check."""
+    return _counted(df, checks, [c.rule() for c in checks])
+
+
+def _uniqueness(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All ``unique`` checks of a table in one scan: values are counted together with the check they belong to."""
+    values = [F.struct(F.lit(i).alias("_check"), F.col(c.column).cast("string").alias("_value")) for i, c in enumerate(checks)]
+    tagged = df.select(F.explode(F.array(*values)).alias("v")).select("v.*").filter(F.col("_value").isNotNull())
+    repeated = tagged.groupBy("_check", "_value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    return _counted(repeated, checks, [F.col("_check") == i for i in range(len(checks))])
+
+
+def _counted(df: DataFrame, checks: Sequence[Check], broken: Sequence[Column]) -> DataFrame:
+    """One row per check with the number of rows on which its condition holds."""
     sums = [
-        F.coalesce(F.sum(F.when(c.rule(), 1).otherwise(0)), F.lit(0)).cast("bigint").alias(f"r{i}")
-        for i, c in enumerate(checks)
+        F.coalesce(F.sum(F.when(rule, 1).otherwise(0)), F.lit(0)).cast("bigint").alias(f"r{i}")
+        for i, rule in enumerate(broken)
     ]
     rows = F.array(
         *(
@@ -207,8 +223,11 @@ def run_checks(checks: Sequence[Check], load: Callable[[str], DataFrame]) -> Dat
         row_rules = [c for c in mine if c.rule is not None]
         if row_rules:
             results.append(_row_rules(df, row_rules))
+        keys = [c for c in mine if c.kind == "unique"]
+        if keys:
+            results.append(_uniqueness(df, keys))
         for check in mine:
-            if check.count is not None:
+            if check.count is not None and check not in keys:
                 results.append(
                     check.count(df, load).select(
                         F.lit(check.table).alias("table_name"), F.lit(check.column).alias("column_name"),

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 import re
 
+from vaultspan.operators.quality import Check
 from vaultspan.plans.checks import declared_checks
 from vaultspan.plans.intermediate import portfolio_amounts
-from vaultspan.plans.registry import SUMMARY_TABLES
 from vaultspan.sources.schemas import ALL_TABLES, DIMENSIONS, FACTS, FLOWS, RATES, RawTable
 from vaultspan.types import DDL
 
@@ -323,47 +323,50 @@ def _merged(table: str, early: str, order: str, id_column: str, refreshed: bool,
     return _select([number, f"{pid} as cd_pid", *columns], f"from {table}")
 
 
-def _summary() -> str:
-    """Violations per declared check of the summarised tables."""
-    sources = {"stg_cli": "cli", "stg_ptf": "ptf", "stg_fct_xrt": "fct_xrt"}
-    technical = ("ts_stg", "vr_stg", "id_obj_tec", "cd_src", "cd_pid", "id_ptf_tec_typ")
-    bounds = {
-        ("int_fct_ptf", "pc_ptf"): "pc_ptf < 0 or pc_ptf > 1",
-        ("int_fct_ptf", "xrt_rate"): "xrt_rate <= 0",
-        ("int_fct_ope", "xrt_rate_ope"): "xrt_rate_ope <= 0",
-        ("int_fct_ope", "xrt_rate_ptf"): "xrt_rate_ptf <= 0",
-        ("stg_fct_xrt", "rt_val"): "rt_val <= 0",
-    }
-    parents = {("stg_cli", "cd_cli_cat"): "cli_cat", ("stg_ptf", "cd_cli"): "cli", ("stg_fct_xrt", "cd_ccy"): "ccy"}
-    parts = []
-    for check in declared_checks():
-        table, column, kind = check.table, check.column, check.kind
-        if table not in SUMMARY_TABLES:
-            continue
-        source = sources.get(table, table)
-        generated = column in technical or column.endswith("_src") or column.startswith("id_stg_")
-        if generated:
-            failures = "0"  # filled by the load itself
-        elif kind == "not_null":
-            failures = f"(select count(*) from {source} where {column} is null)"
-        elif kind == "unique":
-            failures = f"(select count(*) from (select {column} from {source} group by 1 having count(*) > 1))"
-        elif kind == "accepted_values":
-            failures = f"(select count(*) from {source} where {column} not in ('USD', 'CHF', 'EUR', 'GBP'))"
-        elif kind == "between":
-            failures = f"(select count(*) from {source} where {bounds[table, column]})"
-        elif kind == "relationships":
-            parent = parents[table, column]
-            failures = f"(select count(*) from {source} where {column} not in (select cd_{parent} from {parent}))"
-        else:
-            native = column.replace("_ref", "").replace("_ptf", "") if table == "int_fct_ope" else column.replace("_ref", "")
-            rate = "xrt_rate_ope" if table == "int_fct_ope" else "xrt_rate"
-            pivot = " / xrt_rate_ptf" if kind == "fx_pivot" else ""
-            failures = f"(select count(*) from {source} where abs({column} - {native} * {rate}{pivot}) > 0.01)"
-        parts.append(f"select '{table}' as table_name, '{column}' as column_name, '{kind}' as \"check\", {failures} as failures")
-    body = " union all ".join(parts)
-    status = "if(failures = 0, 'pass', 'fail') as status"
-    return _select(["table_name", "column_name", '"check"', "failures", status], f"from ({body})")
+_STAGED = tuple(table.staged for table in ALL_TABLES.values())
+
+
+def _violations(check: Check) -> str:
+    """Number of violations of a check, counted on the table's own SQL."""
+    source, column = f"t_{check.table}", check.column
+    if check.kind == "unique":
+        return f"select count(*) from (select {column} from {source} where {column} is not null group by 1 having count(*) > 1)"
+    if check.kind == "not_null":
+        broken = f"{column} is null"
+    elif check.kind == "accepted_values":
+        broken = f"{column} not in ({', '.join(map(repr, check.args))})"
+    elif check.kind == "relationships":
+        parent, key = check.args
+        broken = f"{column} not in (select {key} from t_{parent} where {key} is not null)"
+    elif check.kind == "between":
+        low, high, strictly = check.args
+        equal = "=" if strictly else ""
+        bounds = [(low, f"{column} <{equal} {low}"), (high, f"{column} >{equal} {high}")]
+        broken = " or ".join(rule for bound, rule in bounds if bound is not None)
+    elif check.kind == "pair_ge":
+        later, earlier = column.split(",")
+        broken = f"{later} {'<' if check.args[0] else '<='} {earlier}"
+    elif check.kind == "positive_amounts":
+        broken = " or ".join(f"{c} < 0" for c in column.split(","))
+    else:
+        native, rate, pivot = check.args
+        broken = f"abs({column} - {native} * {rate}{f' / {pivot}' if pivot else ''}) > 0.01"
+    return f"select count(*) from {source} where {broken}"
+
+
+def _summary(tables: dict[str, str]) -> str:
+    """Violations of every declared check; ``tables`` holds the SQL of each table."""
+    parts = [
+        f"select '{c.table}' as table_name, '{c.column}' as column_name, '{c.kind}' as \"check\", ({_violations(c)}) as failures"
+        for c in declared_checks()
+    ]
+    loaded = {name: f"select *, timestamp '2001-12-15 23:00:00' as ts_stg from ({sql})" if name in _STAGED else sql
+              for name, sql in tables.items()}
+    stored = ", ".join(f"t_{name} as materialized ({sql})" for name, sql in loaded.items())
+    return (
+        f"with {stored} select table_name, column_name, \"check\", failures, "
+        f"if(failures = 0, 'pass', 'fail') as status from ({' union all '.join(parts)})"
+    )
 
 
 def oracle_sql() -> dict[str, str]:
@@ -498,11 +501,14 @@ def oracle_sql() -> dict[str, str]:
         "dq_positive_amounts": _select(
             "cd_fct_mvt, mt_mvt, mt_mvt_ref", "from int_fct_mvt where mt_mvt < 0 or mt_mvt_ref < 0"
         ),
-        "dq_summary": _summary(),
         "stg_fct_xrt": _staged(RATES, "fct_xrt"),
     }
     for name, table in DIMENSIONS.items():
         sql[f"stg_{name}"] = _staged(table, name)
     for name, table in FACTS.items():
         sql[f"stg_{name}"] = _staged(table, name)
+    number = "cast(strftime(dt_fct, '%Y%m%d') as integer) as vr_dwh_cal"
+    calendar = _select(["dt_fct", number, "1 as cd_cal"], "from cal")
+    checked = sorted({c.table for c in declared_checks()})
+    sql["dq_summary"] = _summary({name: calendar if name.endswith("set_cal") else sql[name] for name in checked})
     return sql
