@@ -2,8 +2,8 @@
 
 Customers are portfolios (three to a client), line items are positions and
 movements, orders are operations, regions are currencies. Every raw table is a
-projection of given tables; some labels and rates are left out on purpose so
-that the fallbacks have work to do.
+projection of given tables and holds every code of them; one currency has no
+rates, so that the fallback has work to do.
 """
 
 from __future__ import annotations
@@ -98,7 +98,7 @@ class Star:
         )
 
     def _mng_grp(self) -> DataFrame:
-        return self.table("region").filter("r_name <> 'AFRICA'").selectExpr(
+        return self.table("region").selectExpr(
             "concat('GRP_', r_name) as cd_mng_grp", "concat('Team ', r_name) as lb_mng_grp"
         )
 
@@ -117,12 +117,12 @@ class Star:
         return self._distinct("part", "p_type").selectExpr("p_type as cd_buu", "concat('Unit ', p_type) as lb_buu")
 
     def _cli_cat(self) -> DataFrame:
-        return self._distinct("customer", "c_mktsegment").filter("c_mktsegment <> 'MACHINERY'").selectExpr(
+        return self._distinct("customer", "c_mktsegment").selectExpr(
             "c_mktsegment as cd_cli_cat", "concat('Segment ', c_mktsegment) as lb_cli_cat"
         )
 
     def _prf(self) -> DataFrame:
-        return self._distinct("customer", "c_mktsegment").filter("c_mktsegment <> 'HOUSEHOLD'").selectExpr(
+        return self._distinct("customer", "c_mktsegment").selectExpr(
             "c_mktsegment as cd_prf", "concat('Profile ', c_mktsegment) as lb_prf"
         )
 
@@ -153,7 +153,7 @@ class Star:
         )
 
     def _ins_grp(self) -> DataFrame:
-        return self._distinct("part", "p_type").filter("p_type <> 'PROMO'").selectExpr(
+        return self._distinct("part", "p_type").selectExpr(
             "p_type as cd_ins_grp", "concat('Group ', p_type) as lb_ins_grp"
         )
 
