@@ -42,12 +42,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of every group the document whose id names it stays, and documents that are similar to none."""
     ship(spark)
     docs = docs.select(*COLUMNS).withColumn("_row", _row())
-    named = parity_join.jaccard_components(docs.select("doc_id", "text", "_row"), row_column="_row").where(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
+    named = parity_join.jaccard_components(
+        docs.select("doc_id", "text", "_row"), row_column="_row", group_column="_group"
+    ).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     alone = named.where("n_links = 0").select("_row")
-    # several rows can carry the id that names the group
-    first = named.where("n_links > 0").groupBy("component_id").agg(F.min("_row").alias("_row")).select("_row")
+    # several rows can carry the id that names the group, and several groups can have that name
+    first = named.where("n_links > 0").groupBy("_group").agg(F.min("_row").alias("_row")).select("_row")
     return docs.join(alone.union(first).distinct(), "_row").dropDuplicates(["_row"]).select(*COLUMNS)
 
 

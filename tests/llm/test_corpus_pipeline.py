@@ -115,3 +115,15 @@ def test_registered_queries_answer_for_the_whole_table(spark, name):
 def test_pipeline_is_registered():
     assert "pipeline" in spark_entry.queries()
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in spark_entry.oracle_sql()
+
+
+def test_groups_of_one_name_all_stay(spark):
+    """Two groups without ids, two under one repeated id, and groups joined by near copies."""
+    words = lambda name: [f"{name}{i}" for i in range(30)]
+    text, near = lambda name: " ".join(words(name)), lambda name: " ".join(words(name) + ["more"])
+    rows = [(None, text("a")), (None, near("a")), (None, text("b")), (None, text("b"))]
+    rows += [(6, text("x")), (9, near("x")), (6, text("y")), (10, near("y"))]
+    rows += [(None, text("z")), (7, text("z")), (7, near("z")), (8, text("alone")), (None, text("single"))]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = collections.Counter((r[0], r[1][:1]) for r in rows_of(corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER)))
+    assert kept == collections.Counter([(None, "a"), (None, "b"), (6, "x"), (6, "y"), (7, "z"), (8, "a"), (None, "s")])

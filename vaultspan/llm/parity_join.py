@@ -370,13 +370,16 @@ def _compare(group: pa.Table) -> pa.Table:
 
 
 def jaccard_components(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, row_column: str | None = None
-) -> DataFrame:
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, row_column: str | None = None,
+    group_column: str | None = None,
+) -> DataFrame:
     """One row per document: its id, n_shingles, component_id and n_links.
 
     ``component_id`` is the smallest id reachable by links, ``n_links`` the number
     of documents linked with this one directly, copies included. A long
     ``row_column`` that tells rows of one id apart is handed through.
+    ``component_id`` does not tell groups apart whose ids are all null or whose
+    smallest ids are equal; ``group_column`` adds a key that does, null for empty texts.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
@@ -450,13 +453,14 @@ def jaccard_components(
     counted = found.groupBy(F.col("u").alias("cls")).agg(F.sum("links").alias("linked"))
     named = components(scratch, found.where("links = 0").select("u", "v"))
     least = named.join(classes, named["node"] == classes["cls"]).groupBy("label").agg(F.min("least").alias("component"))
-    named = named.join(least, "label").select(F.col("node").alias("cls"), "component")
+    named = named.join(least, "label").select(F.col("node").alias("cls"), "component", "label")
     answer = (
         classes.join(named, "cls", "left")
         .join(counted, "cls", "left")
         .select(
             "cls",
             F.coalesce("component", "least").alias("component_id"),
+            F.coalesce("label", "cls").alias("group"),
             (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
         )
     )
@@ -467,4 +471,5 @@ def jaccard_components(
         F.coalesce("component_id", "id").alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         *([] if row_column is None else [F.col("row").alias(row_column)]),
+        *([] if group_column is None else [F.col("group").alias(group_column)]),
     )
