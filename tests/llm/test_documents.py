@@ -69,6 +69,22 @@ def test_jaccard_join_finds_what_all_pairs_give(documents):
     assert joined(documents) == brute_components(texts_of(documents))
 
 
+def test_jaccard_join_fetches_a_row_per_class(spark, monkeypatch):
+    """Rows without an id, or with one id, are not paired with every class of that id."""
+    text = lambda k, more: " ".join([f"w{k}x{i}" for i in range(30)] + more)
+    rows = [(key, text(f"{key}y{k}", more)) for key in (None, 7) for k in range(25) for more in ([], ["more"])]
+    fetched, real = [], parity_join._fetched
+
+    def counting(hashed, wanted):
+        found = real(hashed, wanted)
+        fetched.append((found.count(), wanted.count()))
+        return found
+
+    monkeypatch.setattr(parity_join, "_fetched", counting)
+    assert joined(spark.createDataFrame(rows, "doc_id long, text string")) == brute_components(rows)
+    assert fetched == [(100, 100)]
+
+
 def test_jaccard_join_near_the_threshold(spark):
     """Variants of one text with more and more words changed, and sizes around the edges of bands."""
     draw = np.random.default_rng(3)

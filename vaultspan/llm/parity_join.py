@@ -289,6 +289,11 @@ def _members(words: int):
     return run
 
 
+def _fetched(hashed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(text, cls): the text that stands for each wanted class, in as many copies as there are rows equal in id and text."""
+    return hashed.join(wanted, hashed["id"].eqNullSafe(wanted["id"]) & (hashed["th"] == wanted["th"])).select("text", "cls")
+
+
 def _bits(members: list[np.ndarray], width: int) -> np.ndarray:
     """Dense bit sketches: every member flips one of ``width`` bits."""
     sizes = np.array([len(m) for m in members])
@@ -385,13 +390,17 @@ def jaccard_components(
     scratch = Scratch(spark, "jaccard")
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
 
-    named_rows = source if row_column is None else docs.select(
-        F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"), F.col(row_column).alias("row")
-    )
-    shape = "id long, n long, cls long" if row_column is None else "id long, row long, n long, cls long"
+    named_rows = docs.select(
+        F.col(id_column).cast("long").alias("id"),
+        F.col(text_column).cast("string").alias("text"),
+        *([] if row_column is None else [F.col(row_column).alias("row")]),
+    ).withColumn("th", F.xxhash64("text"))
+    shape = "id long, th long, n long, cls long" if row_column is None else "id long, row long, th long, n long, cls long"
     sets = scratch.store(named_rows.mapInArrow(_summaries(words), shape), "sets")
     classes = scratch.store(
-        sets.where("n > 0").groupBy("cls").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n")),
+        sets.where("n > 0").groupBy("cls").agg(
+            F.min("id").alias("least"), F.min(F.struct("id", "th")).alias("at"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n")
+        ),
         "classes",
     )
     total = classes.agg(F.sum("n")).first()[0] or 0
@@ -423,7 +432,7 @@ def jaccard_components(
         .withColumn("node", node("cls"))
         .join(groups, "node")
         .join(classes, "cls")
-        .select("band", "cls", F.col("label").alias("grp"), "copies", "n", "least")
+        .select("band", "cls", F.col("label").alias("grp"), "copies", "n", "at")
     )
     candidates = scratch.store(candidates, "candidates")
     blocks = candidates.groupBy("band", "grp").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("size"))
@@ -431,10 +440,11 @@ def jaccard_components(
         "band", "grp", F.ceil(F.col("weight") / F.lit(BLOCK_MEMBERS)).cast("int").alias("blocks")
     )
 
-    wanted = candidates.select(F.col("least").alias("id"), "cls").distinct()
-    if wanted.count() <= BROADCAST_ROWS:  # 16 bytes a row; beyond that the join shuffles
+    # by id and text: many rows can have one id, or none, and each would meet every class of that id
+    wanted = candidates.select("at.id", "at.th", "cls").distinct()
+    if wanted.count() <= BROADCAST_ROWS:  # 24 bytes a row; beyond that the join shuffles
         wanted = F.broadcast(wanted)
-    fetched = source.join(wanted, source["id"].eqNullSafe(wanted["id"])).select("text", "cls")
+    fetched = _fetched(source.withColumn("th", F.xxhash64("text")), wanted)
     members = scratch.store(
         fetched.mapInArrow(_members(words), "cls long, members binary").dropDuplicates(["cls"]), "members"
     )
