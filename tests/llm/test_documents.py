@@ -307,6 +307,17 @@ def test_toxicity_on_held_out_labels(spark):
     assert held == {r["doc_id"] for r in docs.select("doc_id").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1}
 
 
+def test_toxicity_samples_one_text_of_an_id(spark):
+    docs = spark.createDataFrame([(k if k < 9 else 7, f"text number {k}") for k in range(300)] + [(3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(9)], "doc_id long, toxic int")
+    usable = {r[0] for r in labels.where(~toxicity.is_held_out(F.col("doc_id"))).select("doc_id").collect()}
+    assert 7 in usable
+    sample, _ = toxicity._sample(docs, labels, "toxic", 9, "doc_id", "text")
+    assert sample.columns == ["id", "text", "label"]
+    rows = sample.collect()
+    assert sorted(r["id"] for r in rows) == sorted(usable) and all(r["label"] == r["id"] % 2 for r in rows)
+
+
 def test_toxicity_edge_cases(spark, awkward, nothing):
     labels = spark.createDataFrame([(1, 1), (2, 0), (2, None), (None, 1), (99, 0)], "doc_id long, toxic int")
     machine = toxicity.fit(awkward, labels)

@@ -4,7 +4,8 @@ A document is the set of its terms: words and their first four to seven bytes
 (lower-case, ASCII punctuation parts words), as 64-bit hashes. The score is
 the logistic of w0 + sum of w_i + sum over pairs of <v_i, v_j>, so a term can weigh
 more beside another than alone. Labels enter by a bounded sample of labelled
-documents: ``per_class`` of each label, those with the smallest hash of the id.
+documents: ``per_class`` of each label, those with the smallest hash of the id, and
+of an id that comes repeatedly the text with the smallest hash.
 On the sample, terms are chosen by their likelihood ratio against the label (a hash
 outside this table has no weight), then the machine is fitted. The model has at most
 ``most_terms`` terms and is applied to every whole text in one pass without a shuffle.
@@ -78,7 +79,9 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_c
     order = [F.xxhash64("id"), F.col("id")]
     chosen = known.where("label = 1").orderBy(*order).limit(per_class).union(known.where("label = 0").orderBy(*order).limit(per_class))
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    return texts.join(F.broadcast(chosen), "id").select("id", "text", "label"), known  # at most 2 * per_class rows
+    held = texts.join(F.broadcast(chosen), "id")
+    # many rows can have one id: one text of each, so at most 2 * per_class rows
+    return held.groupBy("id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("label").alias("label")), known
 
 
 def _by_document(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
