@@ -516,6 +516,19 @@ def test_entropy_adds_random_strings_and_spares_known_shapes(spark):
     assert [s["kind"] for s in found[3]] == [0]  # the entropy finding lies inside
 
 
+def test_placeholders_and_words_hide_no_secret(spark):
+    noisy, letters = "q8ZxT3vLr0Pj5KdYw2Hs9NbM", "qKZxTevLrwPjmKdYwuHsoNbM"
+    secret = [f"example_key={noisy}", f"{noisy}/changeme", letters, f"path/to/{letters}", f"xxxx-{noisy[:12]}-{noisy[12:]}"]
+    plain = [
+        f"path/to/example{noisy}", "usr/share/Documents/some-words_joined/By-all=Means", "changeme-" + "=" * 30,
+        "example_of-a/Placeholder-name", "z" * 5000 + "=1", "example_" * 2000 + "1",
+    ]
+    docs = spark.createDataFrame(list(enumerate(secret + plain)), "doc_id int, text string")
+    found = {r["doc_id"]: [(s["start"], s["kind"], s["end"]) for s in r["secret_spans"]] for r in secret_scan.find_secrets(docs).collect()}
+    assert [found[i] for i in range(len(secret))] == [[(0, 4, len(text))] for text in secret]
+    assert not any(found[len(secret) + i] for i in range(len(plain)))
+
+
 def test_redaction_and_edge_cases(spark, awkward, nothing):
     found = secret_scan.find_secrets(awkward.withColumnRenamed("size", "secret_spans"))
     assert found.columns[-1] == "secret_spans" and found.count() == 11

@@ -4,9 +4,10 @@ Patterns find assignments to secret-like names, access keys and long hexadecimal
 strings. The entropy scan takes every run of a character class (hexadecimal, base64)
 of at least a window's length and slides the window over it: counts per character
 are kept up to date as one character enters and one leaves, and the sum of n log2 n
-with them, so each step costs the same. A run whose best window reaches the class's
-bits is a finding, unless the allow-list knows its shape (plain words, joined words,
-paths, UUIDs, rulers, placeholders) or a pattern's span holds it.
+with them, so each step costs the same. Parts that name themselves placeholders are
+blanked first. A run whose best window reaches the class's bits is a finding, unless the
+allow-list knows the shape of all of it (plain words, joined words, paths, UUIDs, rulers)
+or a pattern's span holds it.
 
 Only SQL functions work here. Offsets are code points, ends exclusive.
 
@@ -35,12 +36,13 @@ ENTROPY_CLASSES = (
     ("base64_entropy", r"[A-Za-z0-9+/=_-]{20,}", 20, 3.8),
 )
 ALLOWED = (
-    r"^[^0-9]*$",  # words, also joined ones and paths: no digit
+    r"^(?!.*[A-Za-z][A-Z])[^0-9]*$",  # lower-case or capitalised words, also joined ones and paths: no digit
     r"^[0-9=_+/-]*$",  # numbers, rulers
     r"^[a-z]+([-_/][a-z]+)*[-_/]?[0-9]{1,4}$",  # a slug that ends in a number
     r"^[0-9A-Fa-f]{8}-([0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$",  # UUID
-    r"(?i)(example|placeholder|changeme|xxxx)",
 )
+#: A part of a run, between = / _ -, that names itself a placeholder.
+PLACEHOLDER = r"(?i)(?<![a-z0-9+])[a-z0-9+]*?(?:example|placeholder|changeme|xxxx)[a-z0-9+]*"
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
@@ -138,6 +140,15 @@ def _is_allowed(candidate: Column) -> Column:
     return allowed
 
 
+def _is_secret(candidate: Column, window: int, bits: float) -> Column:
+    """Whether a window outside placeholders reaches the bits, in a run of no known shape.
+
+    A blanked part is as long as a window, so no window spans it.
+    """
+    rest = F.regexp_replace(candidate, F.lit(PLACEHOLDER), F.lit("=" * window))
+    return _let(rest, lambda r: ~_is_allowed(r) & (best_window_bits(r, window) >= F.lit(bits)))
+
+
 def find_secrets(docs: DataFrame, text_column: str = "text", column: str = "secret_spans") -> DataFrame:
     """Add the spans of every text: array of (start, kind, end), ordered; kinds number BASE_KINDS, then the entropy classes."""
     text = F.coalesce(docs[text_column].cast("string"), F.lit(""))
@@ -151,7 +162,7 @@ def find_secrets(docs: DataFrame, text_column: str = "text", column: str = "secr
         *[
             _spans(
                 text, runs, len(BASE_KINDS) + k,
-                lambda match, value, w=window, b=bits: ~_is_allowed(match) & (best_window_bits(match, w) >= F.lit(b)),
+                lambda match, value, w=window, b=bits: _is_secret(match, w, b),
             ).alias(f"_{name}")
             for k, (name, runs, window, bits) in enumerate(ENTROPY_CLASSES)
         ],
