@@ -435,6 +435,18 @@ def test_small_sources_are_capped_and_the_rest_is_shared(spark):
     check_mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
 
 
+def test_many_sources_are_shared_out_by_many_tasks(spark):
+    """Thousands of sources, also a null one, get what the plain method gives; no window gathers them in one task."""
+    sizes = {f"s{k:05}": 1 + k * k % 997 for k in range(3000)} | {None: 50}
+    rows = spark.createDataFrame(list(sizes.items()), "source string, source_size long").repartition(4)
+    found = mixing.targets(rows)
+    expected = brute_targets(sizes)
+    assert {r["source"]: r["target"] for r in found.collect()} == pytest.approx(expected)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    per_source = [line for line in plan.splitlines() if "Window [" in line and "_caps" not in line]
+    assert per_source and all("_part" in line for line in per_source)
+
+
 def test_positions_follow_the_integral_of_the_schedule(documents):
     """Up to every position a source has been asked for as many words as lie before it."""
     rows = mixing.mix(documents).collect()

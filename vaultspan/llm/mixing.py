@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultspan.llm.scratch import Scratch
+from vaultspan.llm.scratch import Scratch, numbered
 
 WEIGHTS = (5, 2, 1)
 SLOPES = (-0.5, 0.0, 0.5)
@@ -39,25 +39,37 @@ def targets(sizes: DataFrame, most_passes: int = MOST_PASSES) -> DataFrame:
 
     With sources ordered by cap / weight, a source is capped exactly if its cap is
     below what the rest of the demand would give it, and the level shared by all others
-    is the largest of these levels.
+    is the largest of these levels. Sources are ranked and summed by ranges, so their
+    number is not bounded by one task.
     """
-    ranked = sizes.withColumn("_rank", F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))) - 1)
-    turn = F.col("_rank") % len(WEIGHTS)
+    scratch = Scratch(sizes.sparkSession, "targets")
+    nulls_last = sizes.withColumn("_null", F.col("source").isNull())
+    ranked = numbered(scratch, nulls_last, ["_null", "source"], "_rank")
+    turn = (F.col("_rank") % len(WEIGHTS)).cast("int")
     pick = lambda values: F.element_at(F.array(*[F.lit(float(v)) for v in values]), turn + 1)
     weighed = ranked.withColumn("weight", pick(WEIGHTS)).withColumn("slope", pick(SLOPES))
     weighed = weighed.withColumn("_cap", F.col("source_size").cast("double") * F.lit(float(most_passes)))
-    order = [F.col("_cap") / F.col("weight"), F.col("_rank")]
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    order = ["_ratio", "_rank"]
+    ranged = scratch.store(
+        weighed.withColumn("_ratio", F.col("_cap") / F.col("weight")).repartitionByRange(*order).withColumn("_part", F.spark_partition_id()),
+        "ranged",
+    )
     none = lambda c: F.coalesce(c, F.lit(0.0))
-    level = (F.sum(F.col("source_size").cast("double")).over(every) - none(F.sum("_cap").over(before))) / (
-        F.sum("weight").over(every) - none(F.sum("weight").over(before))
+    sums = [F.sum("_cap").alias("_caps"), F.sum("weight").alias("_weights")]
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("_part").agg(*sums).select(  # a row per range, so one task orders no more than the shuffle partitions
+        "_part", none(F.sum("_caps").over(earlier)).alias("_caps"), none(F.sum("_weights").over(earlier)).alias("_weights")
+    )
+    every = ranged.agg(F.sum(F.col("source_size").cast("double")).alias("_demand"), F.sum("weight").alias("_all"))
+    before = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranged.withColumn("_cap_before", none(F.sum("_cap").over(before))).withColumn("_weight_before", none(F.sum("weight").over(before)))
+    levels = summed.join(F.broadcast(offsets), "_part").crossJoin(F.broadcast(every)).select(  # a row per range, one row
+        ((F.col("_demand") - F.col("_caps") - F.col("_cap_before")) / (F.col("_all") - F.col("_weights") - F.col("_weight_before"))).alias("_level")
     )
     return (
-        weighed.withColumn("_level", level)
-        .withColumn("_top", F.max("_level").over(every))
+        ranged.crossJoin(F.broadcast(levels.agg(F.max("_level").alias("_top"))))
         .withColumn("target", F.least("_cap", F.col("_top") * F.col("weight")))
-        .drop("_rank", "_cap", "_level", "_top")
+        .drop("_null", "_rank", "_ratio", "_cap", "_part", "_top")
     )
 
 
