@@ -22,3 +22,25 @@ def test_every_code_of_the_source_is_staged(spark, name):
     staged = [r[0] for r in registry.queries()[name](spark, FOLDER).select(code).collect()]
     held = spark.read.parquet(f"{FOLDER}/{table}.parquet").select(F.expr(value)).distinct().collect()
     assert sorted(staged) == sorted(r[0] for r in held)
+
+
+FALLBACKS = {
+    "int_cli": ("cd_cli_cat", "lb_cli_cat", "MACHINERY"),
+    "int_ptf": ("cd_prf", "lb_prf", "HOUSEHOLD"),
+    "int_ins": ("cd_ins_grp", "lb_ins_grp", "PROMO"),
+}
+
+
+@pytest.mark.parametrize("name", list(FALLBACKS))
+def test_a_code_stands_in_for_its_missing_label(spark, name):
+    code, label, without = FALLBACKS[name]
+    rows = registry.queries()[name](spark, FOLDER)
+    shown = {r[0]: r[1] for r in rows.select(code, label).distinct().collect()}
+    assert shown[without] == without
+    assert all(value != key for key, value in shown.items() if key != without)
+
+
+def test_a_managers_group_without_label_shows_its_code(spark):
+    rows = registry.queries()["int_ptf"](spark, FOLDER)
+    groups = {r[0]: r[1] for r in rows.select("cd_mng_grp", "lb_mng_grp").distinct().collect()}
+    assert groups["GRP_AFRICA"] == "GRP_AFRICA" and groups["GRP_ASIA"] == "Team ASIA"

@@ -211,7 +211,7 @@ def test_the_run_gives_the_registered_marts(spark, tmp_path):
     """Staging, history, conversion and marts chained over the star tables, in one run backdated to its history."""
     star = Star(spark, "/root/testdata/sf0.001")
     settings = Settings(CALENDAR_START, AS_OF)
-    run_pipeline(spark, star.raw, str(tmp_path), Run("first", FIRST_LOADED), settings)
+    run_pipeline(spark, star.lookup, str(tmp_path), Run("first", FIRST_LOADED), settings)
     plans = {
         "mart_ptf_detail": ["dt_fct", "cd_ptf", "cd_cli", "xrt_rate", "mt_net", "mt_net_ref"],
         "mart_client_exposure": ["dt_fct", "cd_cli", "cd_ptf", "cd_ast", "asset_class_name", "mt_ast_ref", "weight_pct"],

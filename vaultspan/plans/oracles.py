@@ -53,16 +53,13 @@ _RAW: dict[str, str] = {
     "cty": "select n_name as cd_cty, 'Country ' || n_nationkey as lb_cty from nation",
     "mng": "select 'RM' || n_nationkey as cd_mng, 'Manager ' || n_name as lb_mng, 'GRP_' || r_name as cd_mng_grp "
     "from places",
-    "mng_grp": "select 'GRP_' || r_name as cd_mng_grp, 'Team ' || r_name as lb_mng_grp from region "
-    "where r_name <> 'AFRICA'",
+    "mng_grp": "select 'GRP_' || r_name as cd_mng_grp, 'Team ' || r_name as lb_mng_grp from region",
     "mng_ext": "select 'EXT' || s_suppkey as cd_mng_ext, s_name as lb_mng_ext from supplier",
     "agn": "select distinct 'AG' || left(o_orderpriority, 1) as cd_agn, o_orderpriority as lb_agn from orders",
     "ent": "select distinct p_brand as cd_ent, 'Entity ' || p_brand as lb_ent from part",
     "buu": "select distinct p_type as cd_buu, 'Unit ' || p_type as lb_buu from part",
-    "cli_cat": "select distinct c_mktsegment as cd_cli_cat, 'Segment ' || c_mktsegment as lb_cli_cat from customer "
-    "where c_mktsegment <> 'MACHINERY'",
-    "prf": "select distinct c_mktsegment as cd_prf, 'Profile ' || c_mktsegment as lb_prf from customer "
-    "where c_mktsegment <> 'HOUSEHOLD'",
+    "cli_cat": "select distinct c_mktsegment as cd_cli_cat, 'Segment ' || c_mktsegment as lb_cli_cat from customer",
+    "prf": "select distinct c_mktsegment as cd_prf, 'Profile ' || c_mktsegment as lb_prf from customer",
     "ope_typ": "select distinct o_orderstatus as cd_ope_typ, 'Operation ' || o_orderstatus as lb_ope_typ, "
     "if(o_orderstatus = 'F', 'Y', 'N') as yn_nnm, if(o_orderstatus = 'O', 'Y', 'N') as yn_int, "
     "if(o_orderstatus = 'P', 'Y', 'N') as yn_loa from orders",
@@ -71,7 +68,7 @@ _RAW: dict[str, str] = {
     "ast": "select 'A' || p_partkey as cd_ast, p_name as lb_ast, p_brand || ' ' || p_type as tt_ast, "
     "if(p_size <= 45, 'R' || p_size, null) as cd_rat from part",
     "ins": "select 'I' || p_partkey as cd_ins, p_name as lb_ins, p_type as cd_ins_grp from part",
-    "ins_grp": "select distinct p_type as cd_ins_grp, 'Group ' || p_type as lb_ins_grp from part where p_type <> 'PROMO'",
+    "ins_grp": "select distinct p_type as cd_ins_grp, 'Group ' || p_type as lb_ins_grp from part",
     "prs": "select 'PRS' || c_custkey as cd_prs, c_name as lb_prs, if(c_acctbal >= 0, 'Y', null) as yn_php, "
     "if(c_acctbal >= 0, date '1940-01-01' + cast(c_custkey % 20000 as integer), null) as dt_bth, "
     "if(c_acctbal > 9000, date '2000-01-01', null) as dt_dth, "
@@ -130,6 +127,9 @@ _RAW: dict[str, str] = {
     "from orders group by all)",
 }
 
+# Fixed values of the mapping: the code of each lookup that has no label there.
+_WITHOUT_LABEL = {"mng_grp": "GRP_AFRICA", "cli_cat": "MACHINERY", "prf": "HOUSEHOLD", "ins_grp": "PROMO"}
+
 _LATE = "1998-02-10 10:00:00"
 _LATER = "1998-02-10 18:00:00"
 
@@ -182,6 +182,7 @@ _TABLES: dict[str, str] = {
     "join places on n_nationkey = s_nationkey",
     **{name: _typed(ALL_TABLES[name], sql) for name, sql in _RAW.items()},
     **{f"n_{name}": _numbered(name) for name in (*FACTS, "ins")},
+    **{f"known_{name}": f"select * from {name} where cd_{name} <> '{code}'" for name, code in _WITHOUT_LABEL.items()},
     "cal": "select last_day(cast(m as date)) as dt_fct from range(timestamp '1995-01-01', timestamp '2001-12-01', "
     "interval 1 month) r(m) union all select date '2001-12-15'",
     "cli_changes": _changes("cli", "cd_cli_cat"),
@@ -190,17 +191,17 @@ _TABLES: dict[str, str] = {
     "ptf_versions": _versions("ptf"),
     "int_cli": "select c.dt_fct, v.*, coalesce(k.lb_cli_cat, v.cd_cli_cat) as lb_cli_cat, "
     "coalesce(t.lb_cty, v.cd_cty_dom) as lb_cty_dom, coalesce(m.lb_mng, v.cd_mng_rel) as lb_mng_rel "
-    f"from cal c join cli_versions v on {_in_force('v')} left join cli_cat k on k.cd_cli_cat = v.cd_cli_cat "
+    f"from cal c join cli_versions v on {_in_force('v')} left join known_cli_cat k on k.cd_cli_cat = v.cd_cli_cat "
     "left join cty t on t.cd_cty = v.cd_cty_dom left join mng m on m.cd_mng = v.cd_mng_rel",
     "int_ptf": "select c.dt_fct, v.*, coalesce(ccy.lb_ccy, v.cd_ccy) as lb_ccy, coalesce(prf.lb_prf, v.cd_prf) as lb_prf, "
     "coalesce(mng.lb_mng, v.cd_mng) as lb_mng, mng.cd_mng_grp, coalesce(mng_grp.lb_mng_grp, mng.cd_mng_grp) as lb_mng_grp, "
     "mng_ext.lb_mng_ext, agn.lb_agn, ent.lb_ent, buu.lb_buu "
     f"from cal c join ptf_versions v on {_in_force('v')} left join ccy on ccy.cd_ccy = v.cd_ccy "
-    "left join prf on prf.cd_prf = v.cd_prf left join mng on mng.cd_mng = v.cd_mng "
-    "left join mng_grp on mng_grp.cd_mng_grp = mng.cd_mng_grp left join mng_ext on mng_ext.cd_mng_ext = v.cd_mng_ext "
+    "left join known_prf prf on prf.cd_prf = v.cd_prf left join mng on mng.cd_mng = v.cd_mng "
+    "left join known_mng_grp mng_grp on mng_grp.cd_mng_grp = mng.cd_mng_grp left join mng_ext on mng_ext.cd_mng_ext = v.cd_mng_ext "
     "left join agn on agn.cd_agn = v.cd_agn left join ent on ent.cd_ent = v.cd_ent left join buu on buu.cd_buu = v.cd_buu",
     "int_ins": "select i.*, coalesce(g.lb_ins_grp, i.cd_ins_grp) as lb_ins_grp from n_ins i "
-    "left join ins_grp g on g.cd_ins_grp = i.cd_ins_grp",
+    "left join known_ins_grp g on g.cd_ins_grp = i.cd_ins_grp",
     "int_fct_ast": _rated("fct_ast", "cd_ccy", "dt_fct", "xrt_rate_pos", ("mt_ast", "mt_aci", "mt_pnl")),
     "int_fct_ope": _rated("fct_ope", "cd_ccy_ope", "dt_cta", "xrt_rate_ope", ("mt_ope", "mt_net")),
     "int_fct_mvt": _rated("fct_mvt", "cd_ccy_mvt", "dt_cta", "xrt_rate_mvt", ("mt_mvt",)),

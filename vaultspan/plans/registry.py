@@ -173,7 +173,7 @@ def int_ptf(star: Star) -> DataFrame:
 
 def int_ins(star: Star) -> DataFrame:
     staged = stage_upsert(star.raw("ins"), DIMENSIONS["ins"], RUN)
-    return intermediate.int_ins(staged, star.raw("ins_grp"))
+    return intermediate.int_ins(staged, star.lookup("ins_grp"))
 
 
 # Facts. A composed mart needs no surrogate ids, so they are left out there.
@@ -184,7 +184,7 @@ def _unnumbered(star: Star, name: str) -> DataFrame:
 
 
 def _instruments(star: Star) -> DataFrame:
-    return intermediate.int_ins(_unnumbered(star, "ins"), star.raw("ins_grp"))
+    return intermediate.int_ins(_unnumbered(star, "ins"), star.lookup("ins_grp"))
 
 
 INT_FACTS = {

@@ -3,7 +3,8 @@
 Customers are portfolios (three to a client), line items are positions and
 movements, orders are operations, regions are currencies. Every raw table is a
 projection of given tables and holds every code of them; one currency has no
-rates, so that the fallback has work to do.
+rates, and each of four lookups lacks the label of one code, so that both
+fallbacks have work to do.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ POSITION_TYPE = "if(l_linestatus = 'O', 'T', 'C')"
 LINE_KEY = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, shipped)"
 CURRENCIES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 UNITS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+WITHOUT_LABEL = {"mng_grp": "GRP_AFRICA", "cli_cat": "MACHINERY", "prf": "HOUSEHOLD", "ins_grp": "PROMO"}
 FIRST_RATE_MONTH = date(1995, 6, 1)
 LAST_RATE_MONTH = date(2001, 12, 1)
 CALENDAR_START = date(1995, 1, 1)
@@ -384,5 +386,10 @@ class Star:
         ).first()
         return month_end_calendar(self.spark, span["lo"], span["hi"])
 
+    def lookup(self, name: str) -> DataFrame:
+        """A raw table as the point-in-time tables look labels up in it: four of them lack one code."""
+        rows = self.raw(name)
+        return rows.filter(F.col(f"cd_{name}") != WITHOUT_LABEL[name]) if name in WITHOUT_LABEL else rows
+
     def lookups(self, *names: str) -> dict[str, DataFrame]:
-        return {name: self.raw(name) for name in names}
+        return {name: self.lookup(name) for name in names}
