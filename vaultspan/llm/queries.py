@@ -11,9 +11,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspan.llm import byte_bpe, lattice_search, mixing, parity_join, repeated_spans, secret_scan, sharding, token_files, toxicity, tree_forest
+from vaultspan.llm import (
+    byte_bpe,
+    lattice_search,
+    mixing,
+    parity_join,
+    periodic_runs,
+    repeated_spans,
+    secret_scan,
+    sharding,
+    spelling,
+    token_files,
+    toxicity,
+    tree_forest,
+    warc_bundles,
+)
 from vaultspan.llm.scratch import Scratch
 
+LONG_WORD = 7
+
 _shipped: set[str] = set()
 
 
@@ -100,6 +116,62 @@ def op10_tree_forest(spark: SparkSession, folder: str) -> DataFrame:
     return tree_forest.near_vectors(_table(spark, folder, "embeddings"), threshold=0.98)
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of whole texts; every 31st pair of document and run, by checksum, loses a letter first. A null id prints as nothing."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    runs = spelling.occurrences(docs, least=LONG_WORD)
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("word"))
+    marked = runs.select("word", F.crc32(named.cast("binary")).alias("h"))
+    place = (F.col("h") % F.length("word")).cast("int")
+    words = marked.select(F.when(F.col("h") % 31 == 0, spelling.without_letter(F.col("word"), place)).otherwise(F.col("word")).alias("word"))
+    return spelling.variants(Scratch(spark, "spelling"), words, least_length=LONG_WORD).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Texts of every tenth document, by checksum of its id, go on from some word by repeating what follows it; a null id stays as it is."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.call_function("div", h, F.lit(10).cast("long"))
+    one = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)
+
+    def planted(words):
+        n = F.size(words)
+
+        def repeat(at):
+            period = F.lit(1) + F.floor((n - at) / (F.lit(3) + g % 8))
+            return one(period, lambda p: F.array_join(F.transform(words, lambda w, i: F.when(i < at, w).otherwise(F.get(words, (at + (i - at) % p).cast("int")))), " "))
+
+        return F.when(n > 0, one((g % n).cast("int"), repeat)).otherwise(F.col("text"))
+
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    return docs.select("doc_id", F.when(h % 10 == 0, one(words, planted)).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_runs(_table(spark, folder, "documents")))
+    runs = F.col("runs")
+    # longest first, then smallest start and period
+    best = F.array_min(F.transform(runs, lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return found.select("doc_id", "n_words", "runs", "collapsed", best.alias("best")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.s").alias("start"),
+        (-F.col("best.l")).alias("length"),
+        F.col("best.p").alias("period"),
+        F.call_function("div", -F.col("best.l") * 1000, F.col("best.p")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
+def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark, "warc")
+    index = warc_bundles.write_bundles(scratch, _table(spark, folder, "pages"))
+    records = warc_bundles.read_records(index, payloads=False)
+    return warc_bundles.resolved(scratch, records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 _QUERIES = (
     op1_ngram_jaccard,
     op2_sharding,
@@ -111,6 +183,9 @@ _QUERIES = (
     op8_secret_scan,
     op9_lattice_search,
     op10_tree_forest,
+    op11_spelling,
+    op12_periodic_runs,
+    op13_warc,
 )
 
 
