@@ -27,6 +27,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
+from vaultspan.llm.scratch import unused
+
 PIECE_CACHE = 300_000
 
 
@@ -206,13 +208,14 @@ def _mapped(spark: SparkSession, ranks: bytes, pattern: str, column: int, name:
 def encode(docs: DataFrame, path: str, pattern: str, text_column: str = "text", ids_column: str = "ids") -> DataFrame:
     """Add ``ids`` (binary, little-endian unsigned 32-bit) and ``n_tokens`` to the documents."""
     kept = [c for c in docs.columns if c not in (ids_column, "n_tokens")]
-    rows = docs.select([docs[c] for c in kept] + [docs[text_column].cast("string").alias("_text")])
+    name = unused(docs.columns, "_text")
+    rows = docs.select([docs[c] for c in kept] + [docs[text_column].cast("string").alias(name)])
 
     def work(own: BytePairCodec, texts: pa.Array):
         ids = [own.encode(t) if t else b"" for t in texts.to_pylist()]
         return ids, [len(i) // 4 for i in ids]
 
-    schema = rows.drop("_text").schema.add(ids_column, "binary").add("n_tokens", "long")
+    schema = rows.drop(name).schema.add(ids_column, "binary").add("n_tokens", "long")
     mapped = _mapped(docs.sparkSession, read_ranks(path), pattern, len(kept), (ids_column, "n_tokens"), (pa.binary(), pa.int64()), work)
     return rows.mapInArrow(mapped, schema)
 

@@ -17,6 +17,14 @@ from pyspark.sql import functions as F
 from vaultspan.session import ensure_checkpoint_dir
 
 
+def unused(columns: list[str], name: str) -> str:
+    """The name, lengthened until no column has it; Spark ignores case in names."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         ensure_checkpoint_dir(spark)

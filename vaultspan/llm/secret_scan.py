@@ -4,12 +4,14 @@ Patterns find assignments to secret-like names, access keys and long hexadecimal
 strings. The entropy scan takes every run of a character class (hexadecimal, base64)
 of at least a window's length and slides the window over it: counts per character
 are kept up to date as one character enters and one leaves, and the sum of n log2 n
-with them, so each step costs the same. Parts that name themselves placeholders are
+with them, so a step costs no more than the class has characters. Parts that name themselves placeholders are
 blanked first. A run whose best window reaches the class's bits is a finding, unless the
 allow-list knows the shape of all of it (plain words, joined words, paths, UUIDs, rulers)
 or a pattern's span holds it.
 
-Only SQL functions work here. Offsets are code points, ends exclusive.
+Only SQL functions work here. Offsets are code points, ends exclusive. Offsets, merged spans and
+masked texts come from running sums and maxima over arrays, so a text with n secrets takes
+n log n steps.
 
 Defined results: a null or empty text has no spans; very long texts are scanned whole;
 every row stands alone, so repeated rows and empty tables need nothing special; columns
@@ -52,15 +54,22 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _none() -> Column:
-    return F.array().cast(_SPAN)
+def _running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Every element combined with all before it, by doubling: each round reaches twice as far back."""
+    reaches = F.transform(
+        F.sequence(F.lit(0), F.ceil(F.log2(F.size(values).cast("double"))).cast("int")), lambda k: F.pow(F.lit(2), k).cast("int")
+    )
+    further = lambda held, reach: F.transform(
+        held, lambda x, i: F.when(i >= reach, combine(x, F.get(held, i - reach))).otherwise(x)
+    )
+    return F.when(F.size(values) > 1, F.aggregate(reaches, values, further)).otherwise(values)
 
 
 def _spans(text: Column, pattern: str, kind: int, keep: Callable[[Column, Column], Column], group: int = 0) -> Column:
     """Spans of the matches that ``keep(match, group)`` accepts.
 
-    The text between matches comes from splitting at the same pattern, so the lengths
-    of gaps and matches, summed alternately, give the offsets.
+    The text between matches comes from splitting at the same pattern, so running sums
+    of the lengths of gaps and matches give the offsets.
     """
 
     def located(found: Column) -> Column:
@@ -68,24 +77,18 @@ def _spans(text: Column, pattern: str, kind: int, keep: Callable[[Column, Column
         wanted = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
 
         def along(gap: Column, value: Column) -> Column:
-            start = F.struct(F.lit(0).alias("at"), _none().alias("out"))
-
-            def step(state: Column, i: Column) -> Column:
-                match = F.get(found, i)
-                begin = state["at"] + F.length(F.get(gap, i))
-
-                def add(pair: Column) -> Column:
-                    span = F.struct(pair["b"].alias("start"), F.lit(kind).alias("kind"), pair["e"].alias("end"))
-                    return F.struct(
-                        pair["e"].alias("at"),
-                        F.when(keep(match, F.get(value, i)), F.array_append(state["out"], span)).otherwise(state["out"]).alias("out"),
-                    )
+            sizes = F.transform(found, lambda match, i: F.length(F.get(gap, i)) + F.length(match))
 
-                return _let(F.struct(begin.alias("b"), (begin + F.length(match)).alias("e")), add)
+            def spans(ends: Column) -> Column:
+                span = lambda match, i: F.struct(
+                    (F.get(ends, i) - F.length(match)).alias("start"), F.lit(kind).alias("kind"), F.get(ends, i).alias("end")
+                )
+                kept = F.transform(found, lambda match, i: F.when(keep(match, F.get(value, i)), span(match, i)))
+                return F.filter(kept, lambda s: s.isNotNull())
 
-            return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), start, step, lambda s: s["out"])
+            return _let(sizes, lambda s: _let(_running(s, lambda a, b: a + b), spans))
 
-        return F.when(F.size(found) == 0, _none()).otherwise(
+        return F.when(F.size(found) == 0, F.array().cast(_SPAN)).otherwise(
             _let(F.struct(gaps.alias("g"), wanted.alias("w")), lambda pair: along(pair["g"], pair["w"]))
         )
 
@@ -151,28 +154,30 @@ def _is_secret(candidate: Column, window: int, bits: float) -> Column:
 
 def find_secrets(docs: DataFrame, text_column: str = "text", column: str = "secret_spans") -> DataFrame:
     """Add the spans of every text: array of (start, kind, end), ordered; kinds number BASE_KINDS, then the entropy classes."""
-    text = F.coalesce(docs[text_column].cast("string"), F.lit(""))
     true = lambda match, value: F.lit(True)
-    kept = [docs[c] for c in docs.columns if c != column]
-    found = docs.select(
-        *kept,
-        _spans(text, ASSIGN, 0, lambda match, value: F.length(value) >= ASSIGN_VALUE, group=2).alias("_assign"),
-        _spans(text, ACCESS, 1, lambda match, value: F.length(match) >= ACCESS_LENGTH).alias("_access"),
-        _spans(text, HEX, 2, true).alias("_hex"),
-        *[
-            _spans(
-                text, runs, len(BASE_KINDS) + k,
-                lambda match, value, w=window, b=bits: _is_secret(match, w, b),
-            ).alias(f"_{name}")
-            for k, (name, runs, window, bits) in enumerate(ENTROPY_CLASSES)
-        ],
-    )
-    base = F.concat("_assign", "_access", "_hex")
-    more = F.concat(*[F.col(f"_{name}") for name, *_ in ENTROPY_CLASSES])
-    new = F.filter(more, lambda m: ~F.exists(F.col("_base"), lambda b: (b["start"] <= m["start"]) & (m["end"] <= b["end"])))
-    return found.withColumn("_base", base).withColumn(column, F.array_sort(F.concat("_base", new))).drop(
-        "_assign", "_access", "_hex", "_base", *[f"_{name}" for name, *_ in ENTROPY_CLASSES]
-    )
+
+    def scan(text: Column) -> Column:
+        return F.concat(
+            _spans(text, ASSIGN, 0, lambda match, value: F.length(value) >= ASSIGN_VALUE, group=2),
+            _spans(text, ACCESS, 1, lambda match, value: F.length(match) >= ACCESS_LENGTH),
+            _spans(text, HEX, 2, true),
+            *[
+                _spans(text, runs, len(BASE_KINDS) + k, lambda match, value, w=window, b=bits: _is_secret(match, w, b))
+                for k, (_, runs, window, bits) in enumerate(ENTROPY_CLASSES)
+            ],
+        )
+
+    def without_inner(spans: Column) -> Column:
+        """Base spans come first where starts are equal, so the furthest base end so far tells whether one holds a span."""
+        ends = F.transform(spans, lambda s: F.when(s["kind"] < len(BASE_KINDS), s["end"]).otherwise(F.lit(0)))
+        return _let(
+            _running(ends, F.greatest),
+            lambda furthest: F.filter(spans, lambda s, i: (s["kind"] < len(BASE_KINDS)) | (s["end"] > F.get(furthest, i))),
+        )
+
+    text = F.coalesce(docs[text_column].cast("string"), F.lit(""))
+    found = _let(text, lambda t: _let(F.array_sort(scan(t)), without_inner))
+    return docs.select(*[docs[c] for c in docs.columns if c != column], found.alias(column))
 
 
 def base_spans(spans: Column) -> Column:
@@ -189,12 +194,21 @@ def printed(spans: Column) -> Column:
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """The text with every span, overlapping ones merged, replaced by the mark; null stays null."""
 
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
-        fresh = F.struct(F.concat(state["out"], gap, F.lit(mark)).alias("out"), span["end"].alias("at"))
-        inside = F.struct(state["out"].alias("out"), F.greatest(state["at"], span["end"]).alias("at"))
-        return F.when((span["start"] >= state["at"]), fresh).otherwise(inside)
+    def cut(wide: Column) -> Column:
+        """Code points are four bytes wide, so a piece is reached at once."""
+
+        def piece(start: Column, size: Column) -> Column:
+            return F.decode(F.substring(wide, start * 4 + 1, size * 4), "UTF-32")
+
+        def pieces(furthest: Column) -> Column:
+            """Before every span that starts behind all before it: what lies between, and the mark."""
+            past = lambda i: F.when(i > 0, F.get(furthest, i - 1)).otherwise(F.lit(0))
+            marked = lambda s, i: F.when(
+                s["start"] >= past(i), F.concat(piece(past(i), s["start"] - past(i)), F.lit(mark))
+            )
+            last = F.element_at(furthest, -1)
+            return F.concat(F.array_join(F.transform(spans, marked), ""), piece(last, F.octet_length(wide)))
+
+        return _let(_running(F.transform(spans, lambda s: s["end"]), F.greatest), pieces)
 
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    done = F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    return F.when(F.size(spans) > 0, _let(F.encode(text, "UTF-32"), cut)).otherwise(text)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultspan.llm.scratch import Scratch
+from vaultspan.llm.scratch import Scratch, unused
 from vaultspan.llm.words import U64, Words, chunks
 
 FACTORS = 8
@@ -230,8 +230,9 @@ def fit(
 
 def score(docs: DataFrame, machine: Machine, text_column: str = "text", column: str = "score") -> DataFrame:
     """Add the score of every text; a column of that name is replaced."""
-    rows = docs.select([docs[c] for c in docs.columns if c != column] + [docs[text_column].cast("string").alias("_text")])
-    schema = rows.drop("_text").schema.add(column, "double")
+    text = unused(docs.columns, "_text")
+    rows = docs.select([docs[c] for c in docs.columns if c != column] + [docs[text_column].cast("string").alias(text)])
+    schema = rows.drop(text).schema.add(column, "double")
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
