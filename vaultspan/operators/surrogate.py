@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultspan.session import ensure_checkpoint_dir
+from vaultspan.session import stored
 from vaultspan.types import ID
 
 _ROWS_PER_PARTITION_BITS = 33  # layout of monotonically_increasing_id
@@ -28,15 +28,12 @@ def number_rows(rows: DataFrame, order: Sequence[str], id_column: str, after: in
     range shuffle on the whole order tuple, then position + offset per range.
     The tuple is unique, so a value that holds a third of all rows in its first
     columns is still cut into many ranges. The ranges come from a sample, hence
-    they are checkpointed once before they are both counted and numbered; only
-    one count per partition is ever gathered.
+    they are stored once, as Parquet, before they are counted, from one column, and
+    numbered; only one count per partition is ever gathered.
     """
-    ensure_checkpoint_dir(rows.sparkSession)
-    ranged = (
-        rows.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_slot", F.monotonically_increasing_id())
-        .checkpoint()
+    ranged = stored(
+        rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_slot", F.monotonically_increasing_id()),
+        "numbered",
     )
     part = F.shiftright("_slot", _ROWS_PER_PARTITION_BITS)
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
