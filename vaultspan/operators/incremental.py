@@ -68,7 +68,12 @@ def new_rows_with_ids(
     key: str,
     id_column: str,
     order: Sequence[str],
+    after: int | None = None,
 ) -> DataFrame:
-    """The unseen rows of the batch, numbered by range after the highest id in use."""
+    """The unseen rows of the batch, numbered by range after the highest id in use.
+
+    Who knows that id gives it as ``after``; ``existing`` may then be any part of the
+    target that holds every key of the batch that the target holds.
+    """
     fresh = unseen(existing, batch, key)
-    return number_rows(fresh, order, id_column, highest_id(existing, id_column))
+    return number_rows(fresh, order, id_column, highest_id(existing, id_column) if after is None else after)

@@ -504,6 +504,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stg_fct_xrt": _staged(RATES, "fct_xrt"),
     }
+    sql["insert_only_indexed"] = sql["insert_only_fact"]
     for name, table in DIMENSIONS.items():
         sql[f"stg_{name}"] = _staged(table, name)
     for name, table in FACTS.items():

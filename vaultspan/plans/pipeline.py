@@ -18,7 +18,7 @@ from vaultspan.operators.quality import run_checks
 from vaultspan.operators.scd2 import roll_open_versions
 from vaultspan.plans import intermediate, marts
 from vaultspan.plans.checks import declared_checks
-from vaultspan.plans.staging import Run, stage_new_rows, stage_upsert
+from vaultspan.plans.staging import Run, StagedFact, stage_upsert
 from vaultspan.sources.files import LoadedTable
 from vaultspan.sources.schemas import DIMENSIONS, FACTS, RATES
 from vaultspan.types import assert_same_columns
@@ -161,8 +161,10 @@ class Pipeline:
         self.keep("stg_set_cal", upsert(self.newest("stg_set_cal"), days, "dt_fct"))
         fresh = {}
         for name, table in FACTS.items():
-            rows = stage_new_rows(self.extract(name), table, self.run, self.appended(table.staged))
+            staged = StagedFact(self.spark, f"{self.root}/{table.staged}", table)
+            rows = staged.fresh(self.extract(name), self.run, self.earlier)
             fresh[name] = self.append(table.staged, rows, FACT_DAY[name])
+            staged.index.add(self.attempt, fresh[name])
         return fresh
 
     def history(self, name: str) -> DataFrame:

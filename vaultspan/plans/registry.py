@@ -26,7 +26,7 @@ from vaultspan.operators.scd2 import on_calendar, snapshot
 from vaultspan.operators.ytd import with_ytd_start
 from vaultspan.plans import intermediate, marts
 from vaultspan.plans.checks import declared_checks
-from vaultspan.plans.staging import stage_new_rows, stage_upsert
+from vaultspan.plans.staging import StagedFact, stage_new_rows, stage_upsert
 from vaultspan.session import ensure_checkpoint_dir
 from vaultspan.sources.files import read_extract, write_extract
 from vaultspan.sources.schemas import ALL_TABLES, DIMENSIONS, FACTS, RATES
@@ -122,6 +122,19 @@ def insert_only_fact(star: Star) -> DataFrame:
     return insert_only(held, batch, "cd_fct_ope").select("id_stg_fct_ope", "cd_fct_ope", "cd_pid", "dt_cta", "mt_ope")
 
 
+def insert_only_indexed(star: Star) -> DataFrame:
+    """The same, over stored loads: the index of their keys says which have to be read."""
+    ensure_checkpoint_dir(star.spark)
+    folder = f"{star.spark.sparkContext.getCheckpointDir()}/staged-{uuid4().hex}"
+    staged = StagedFact(star.spark, folder, FACTS["fct_ope"])
+    operations, loads = star.raw("fct_ope"), []
+    for run, batch in ((EARLIER_RUN, operations.filter(F.col("dt_cta") < F.lit(SPLIT_DAY))), (RUN, operations)):
+        part = staged.store.write(run.run_id, staged.fresh(batch, run, loads))
+        staged.index.add(run.run_id, part)
+        loads.append(run.run_id)
+    return staged.store.read(loads).select("id_stg_fct_ope", "cd_fct_ope", "cd_pid", "dt_cta", "mt_ope")
+
+
 def incremental_by_date(star: Star) -> DataFrame:
     """Operations dated after the newest one of the target."""
     operations = star.raw("fct_ope")
@@ -394,6 +407,7 @@ def _plans() -> dict[str, Callable[[Star], DataFrame]]:
         "dim_first_load": dim_first_load,
         "upsert_dim": upsert_dim,
         "insert_only_fact": insert_only_fact,
+        "insert_only_indexed": insert_only_indexed,
         "rerun_idempotent": rerun_idempotent,
         "incremental_by_date": incremental_by_date,
         "source_freshness": source_freshness,

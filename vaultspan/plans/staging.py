@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultspan.functions import technical_columns
 from vaultspan.operators.incremental import new_rows_with_ids, upsert, with_stable_ids
+from vaultspan.sources.files import LoadedTable
+from vaultspan.sources.key_index import KeyIndex
 from vaultspan.sources.schemas import DIMENSIONS, RawTable
 from vaultspan.types import DDL, ID
 
@@ -41,7 +44,26 @@ def stage_upsert(raw: DataFrame, table: RawTable, run: Run, existing: DataFrame
     return upsert(existing, _staged(numbered, table, run), table.key)
 
 
-def stage_new_rows(raw: DataFrame, table: RawTable, run: Run, existing: DataFrame | None = None) -> DataFrame:
+def stage_new_rows(
+    raw: DataFrame, table: RawTable, run: Run, existing: DataFrame | None = None, after: int | None = None
+) -> DataFrame:
     """Only the rows a fact table does not hold yet, numbered and ready to append."""
-    numbered = new_rows_with_ids(existing, raw, table.key, table.id_column, table.order)
+    numbered = new_rows_with_ids(existing, raw, table.key, table.id_column, table.order, after)
     return _staged(numbered, table, run)
+
+
+class StagedFact:
+    """A fact table that grows by loads, with the index of their keys."""
+
+    def __init__(self, spark: SparkSession, path: str, table: RawTable) -> None:
+        self.table = table
+        self.store = LoadedTable(spark, path)
+        self.index = KeyIndex(spark, path, table.key, table.id_column)
+
+    def fresh(self, raw: DataFrame, run: Run, loads: Sequence[str]) -> DataFrame:
+        """The rows that none of the loads holds. Of earlier loads only those are read that may hold a key."""
+        if not loads:
+            return stage_new_rows(raw, self.table, run)
+        keyed = raw.where(F.col(self.table.key).isNotNull())
+        held = self.store.read(self.index.possible(loads, keyed))
+        return stage_new_rows(keyed, self.table, run, held, self.index.highest_id(loads))

@@ -7,8 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from vaultspan.plans.staging import Run, stage_new_rows
-from vaultspan.sources.files import LoadedTable
+from vaultspan.plans.staging import Run, StagedFact
 from vaultspan.sources.schemas import RawTable
 
 
@@ -22,15 +21,16 @@ def intake(
     """Stage every Parquet extract below ``arrivals`` not seen yet, then stop.
 
     Each micro-batch is one load of the staged table. A repeated micro-batch
-    has the same number, reads only the loads before it and replaces its own
-    folder, so rows and ids come out once.
+    has the same number, looks only at the loads before it and replaces its own
+    folder and index, so rows and ids come out once. The index tells which
+    earlier loads can hold a key of the batch; no other is read.
     """
-    staged = LoadedTable(spark, path)
+    staged = StagedFact(spark, path, table)
 
     def stage(batch: DataFrame, batch_id: int) -> None:
-        existing = staged.read([batch_name(i) for i in range(batch_id)])
         run = Run(batch_name(batch_id), run_ts)
-        staged.write(run.run_id, stage_new_rows(batch, table, run, existing))
+        rows = staged.fresh(batch, run, [batch_name(i) for i in range(batch_id)])
+        staged.index.add(run.run_id, staged.store.write(run.run_id, rows))
 
     stream = spark.readStream.schema(table.schema).parquet(arrivals)
     return (
