@@ -31,6 +31,13 @@ def with_labels(
     return joined.select(*df.columns, *labels)
 
 
+# The lookup whose labels each code column shows, and the columns taken from it.
+CLIENT_LABELS = {"cd_cli_cat": ("cli_cat", ("lb_cli_cat",)), "cd_cty_dom": ("cty", ("lb_cty",)), "cd_mng_rel": ("mng", ("lb_mng",))}
+PORTFOLIO_LABELS = {f"cd_{n}": (n, (f"lb_{n}",)) for n in ("ccy", "prf", "mng_grp", "mng_ext", "agn", "ent", "buu")} | {
+    "cd_mng": ("mng", ("lb_mng", "cd_mng_grp"))
+}
+
+
 def int_cli(history: DataFrame, calendar: Calendar, lookups: dict[str, DataFrame]) -> DataFrame:
     """Clients per calendar date. Labels are joined before the dates multiply the versions."""
     coded = {

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from vaultspan.functions import stamp
 from vaultspan.operators.asof import AsOfIndex
 from vaultspan.operators.calendar import Calendar, month_end_calendar
 from vaultspan.operators.incremental import upsert
@@ -18,6 +19,7 @@ from vaultspan.operators.quality import run_checks
 from vaultspan.operators.scd2 import roll_open_versions
 from vaultspan.plans import intermediate, marts
 from vaultspan.plans.checks import declared_checks
+from vaultspan.plans.point_in_time import MonthlyTable, changed_codes, maintained, months_showing, touched_months
 from vaultspan.plans.staging import Run, StagedFact, stage_upsert
 from vaultspan.sources.files import LoadedTable
 from vaultspan.sources.schemas import DIMENSIONS, FACTS, RATES
@@ -28,9 +30,11 @@ RUN_LOG = "run_log"
 # The date a fact is filed under.
 FACT_DAY = {"fct_ast": "dt_fct", "fct_ptf": "dt_fct", "fct_ope": "dt_cta", "fct_mvt": "dt_cta"}
 
-# Tables that runs add to, and the versions of clients and portfolios; all others are written whole by each run.
+# Tables that runs add to, the versions of clients and portfolios, and tables kept by month; all others are written whole
+# by each run.
 APPENDED = tuple(f"{layer}_{name}" for layer in ("stg", "int") for name in FACTS)
 HISTORIES = ("history_cli", "history_ptf")
+MONTHLY = ("int_cli", "int_ptf")
 OPEN = "_open"
 
 CONVERT: dict[str, Callable[..., DataFrame]] = {
@@ -120,6 +124,7 @@ class Pipeline:
         if later:
             raise ValueError(f"run {run.run_id} is older than finished runs {later}")
         self.before = [r.attempt for r in before]
+        self.times = [(r.attempt, r.run_ts) for r in before]
         self.earlier = [] if settings.full_refresh else _since_refresh(before)
         self.tables: dict[str, DataFrame] = {}
 
@@ -167,18 +172,47 @@ class Pipeline:
             staged.index.add(self.attempt, fresh[name])
         return fresh
 
-    def history(self, name: str) -> DataFrame:
-        """Roll the open versions of clients or portfolios; returns all versions.
+    def roll(self, name: str) -> tuple[date | None, Callable[[date | None], DataFrame]]:
+        """Roll the open versions of clients or portfolios.
 
-        Each run stores the versions it closed apart from those it leaves open,
-        so the open ones of one run and the closed ones of all are read.
+        Returns the first day that a version closed or opened by this run covers, and the versions
+        in force on or after a day. Each run stores the versions it closed apart from those it leaves
+        open, so the open ones of one run and the closed ones of the runs since that day are read.
         """
         store, batch, key = self.stored(f"history_{name}"), self.tables[f"stg_{name}"], f"cd_{name}"
         schema = _split_history(roll_open_versions(None, batch, key, "ts_stg")).schema
         last = store.read(self.before[-1:], schema)
         still_open = None if last is None else last.filter(F.col(OPEN) == 1).drop(OPEN)
-        store.write(self.attempt, _split_history(roll_open_versions(still_open, batch, key, "ts_stg")), split=OPEN)
-        return _whole_history(store, [*self.before, self.attempt], schema)
+        rolled = store.write(self.attempt, _split_history(roll_open_versions(still_open, batch, key, "ts_stg")), split=OPEN)
+        moved = (F.col(OPEN) == 0) | (F.col("valid_from") >= stamp(self.run.run_ts))
+        since = rolled.where(moved).agg(F.to_date(F.min("valid_from")).alias("day")).first()["day"]
+
+        def versions(day: date | None) -> DataFrame:
+            # a version ends at the time of the run that closed it
+            late = [a for a, ts in self.times if day is None or ts[:10] >= day.isoformat()]
+            return _whole_history(store, [*late, self.attempt], schema)
+
+        return since, versions
+
+    def point_in_time(self, name: str, calendar: Calendar, lookups: dict[str, DataFrame]) -> None:
+        """Clients or portfolios per calendar date; only the months that this run changes are written."""
+        table, labels, build = {
+            "cli": ("int_cli", intermediate.CLIENT_LABELS, intermediate.int_cli),
+            "ptf": ("int_ptf", intermediate.PORTFOLIO_LABELS, intermediate.int_ptf),
+        }[name]
+        store, before = MonthlyTable(self.spark, f"{self.root}/{table}"), self.earlier[-1] if self.earlier else None
+        since, versions = self.roll(name)
+        touched = None
+        if before is not None:
+            changed = {
+                code: changed_codes(self.newest(f"stg_{lookup}"), lookups[lookup], f"cd_{lookup}", columns)
+                for code, (lookup, columns) in labels.items()
+            }
+            shown = months_showing(store.read(before), changed)
+            touched = touched_months(calendar, self.newest("stg_set_cal"), since, shown)
+        by = ["dt_fct", f"cd_{name}"]
+        built = lambda part: build(versions(part.first and part.first.replace(day=1)), part, lookups)
+        self.tables[table] = maintained(store, self.attempt, before, calendar, touched, built, by)
 
     def convert(self, name: str, fresh: DataFrame, rates: AsOfIndex) -> None:
         """Convert the new facts, and earlier ones whose portfolio was unknown until now.
@@ -196,10 +230,8 @@ class Pipeline:
         calendar = Calendar.of(self.tables["stg_set_cal"])
         lookups = {name: self.tables[f"stg_{name}"] for name in DIMENSIONS}
         self.tables["int_set_cal"] = intermediate.int_set_cal(calendar.days)
-        clients = intermediate.int_cli(self.history("cli"), calendar, lookups)
-        self.keep("int_cli", clients, ["dt_fct", "cd_cli"])
-        portfolios = intermediate.int_ptf(self.history("ptf"), calendar, lookups)
-        self.keep("int_ptf", portfolios, ["dt_fct", "cd_ptf"])
+        self.point_in_time("cli", calendar, lookups)
+        self.point_in_time("ptf", calendar, lookups)
         self.keep("int_ins", intermediate.int_ins(lookups["ins"], lookups["ins_grp"]))
         rates = intermediate.rate_index(self.tables["stg_fct_xrt"])
         for name, rows in fresh.items():
@@ -222,17 +254,21 @@ class Pipeline:
     def check(self) -> DataFrame:
         return self.keep("check_summary", run_checks(declared_checks(), self.tables.__getitem__))
 
+    def finish(self) -> None:
+        """Log the attempt; from now on it counts."""
+        log = self.stored(RUN_LOG)
+        entry = (len(log.loads()), self.run.run_id, self.attempt, self.run_ts, self.settings.full_refresh)
+        columns = ("number", "run_id", "attempt", "run_ts", "full_refresh")
+        line = self.spark.range(1).select(*(F.lit(value).alias(name) for name, value in zip(columns, entry)))
+        log.write(self.attempt, line.coalesce(1))
+
     def execute(self) -> DataFrame:
         """All layers in order; returns one row per declared check."""
         fresh = self.stage()
         calendar = self.intermediate(fresh)
         self.marts(calendar)
         summary = self.check()
-        log = self.stored(RUN_LOG)
-        entry = (len(log.loads()), self.run.run_id, self.attempt, self.run_ts, self.settings.full_refresh)
-        columns = ("number", "run_id", "attempt", "run_ts", "full_refresh")
-        line = self.spark.range(1).select(*(F.lit(value).alias(name) for name, value in zip(columns, entry)))
-        log.write(self.attempt, line.coalesce(1))
+        self.finish()
         return summary
 
 
@@ -251,6 +287,8 @@ def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
     table = LoadedTable(spark, f"{root}/{name}")
     if name in APPENDED:
         return table.read(_since_refresh(runs))
+    if name in MONTHLY:
+        return MonthlyTable(spark, f"{root}/{name}").read(runs[-1].attempt)
     if name in HISTORIES:
         key = name.removeprefix("history_")
         staged = LoadedTable(spark, f"{root}/stg_{key}").read([runs[-1].attempt])

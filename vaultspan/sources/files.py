@@ -65,6 +65,13 @@ class LoadedTable:
             return self.spark.read.parquet(*folders)
         return self.spark.read.schema(schema).option("basePath", self.path).parquet(*folders).select(*schema.names)
 
+    def read_parts(self, split: str, parts: Sequence[tuple[str, str]], schema: StructType) -> DataFrame | None:
+        """The rows of some (load, value of ``split``) folders, None when there are none."""
+        if not parts:
+            return None
+        folders = [f"{self._folder(load)}/{split}={value}" for load, value in parts]
+        return self.spark.read.schema(schema).parquet(*folders)
+
     def write(
         self, load: str, rows: DataFrame, by: Sequence[str | Column] = (), split: str | None = None
     ) -> DataFrame:
