@@ -5,7 +5,10 @@ from datetime import date, timedelta
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from vaultspan.operators.asof import asof_lookup, asof_lookup_by_pairs, build_asof_index
+from pyspark.sql import functions as F
+
+from vaultspan.operators.asof import asof_lookup, asof_lookup_by_pairs, asof_merge, build_asof_index, merge_bounds
+from vaultspan.operators.ranges import range_of
 
 DAY = date(2023, 11, 20)
 FACTS = "id int, ccy string, day date"
@@ -29,6 +32,9 @@ def both(spark, facts, rates):
         got = lookup(left, index, "ccy", "day", "found")
         assert got.columns == ["id", "ccy", "day", "found"]
         yield sorted(((r["id"], r["found"]) for r in got.collect()), key=str)
+    merged = asof_merge(left, spark.createDataFrame(rates, RATES), "ccy", "day", "ccy", "dt", "rate", "found")
+    assert merged.columns == ["id", "ccy", "day", "found"]
+    yield sorted(((r["id"], r["found"]) for r in merged.collect()), key=str)
 
 
 moment = st.integers(0, 400).map(lambda n: DAY + timedelta(days=n))
@@ -84,3 +90,19 @@ def test_building_a_lookup_runs_no_job(spark):
     )
     assert both_built and not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
     spark.sparkContext.setJobGroup("tests", "")
+
+
+def test_a_hot_currency_is_merged_in_even_ranges(spark):
+    """One currency holds two thirds of the facts, one of its days a sixth of them."""
+    facts = [(i, "USD", DAY if i % 4 == 0 else DAY + timedelta(days=i % 90)) if i % 3 else (i, f"C{i % 40}", DAY) for i in range(12_000)]
+    rates = [("USD", DAY + timedelta(days=7 * n), n) for n in range(12)] + [(f"C{n}", DAY - timedelta(days=n), n) for n in range(0, 40, 2)]
+    left, right = spark.createDataFrame(facts, FACTS), spark.createDataFrame(rates, RATES)
+    merged = asof_merge(left, right, "ccy", "day", "ccy", "dt", "rate", "found")
+    assert sorted(((r["id"], r["found"]) for r in merged.collect()), key=str) == brute(facts, rates)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Join" not in plan
+    bounds = merge_bounds(left, right, "ccy", "day", "ccy", "dt", 16)
+    place = F.struct(F.col("ccy").alias("key"), F.col("day").alias("day"), F.xxhash64(*left.columns).alias("last"))
+    ranged = left.withColumn("_bounds", bounds).groupBy(range_of(place, F.col("_bounds")).alias("r")).count()
+    sizes = sorted(r["count"] for r in ranged.collect())
+    assert len(sizes) >= 15 and sizes[-1] < 2.5 * sizes[len(sizes) // 2]

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import os
 from collections import Counter
-from datetime import datetime
+from datetime import datetime, timezone
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from vaultspan.operators import quality as q
 from vaultspan.plans.checks import declared_checks
 
@@ -83,3 +86,29 @@ def test_freshness(spark):
 
     assert status(7) == (1.0, "pass") and status(7, 2) == (25.0, "warn") and status(7, 3) == (49.0, "error")
     assert q.source_freshness(df.limit(0), "s", "ts", datetime(2024, 1, 1)).first()["status"] == "error"
+
+
+def test_freshness_by_arrival(spark, tmp_path):
+    """Files of set times; the newest one counts, and no column is read."""
+    place = str(tmp_path / "source")
+    for day in (1, 3, 2):
+        spark.range(day).withColumn("text", F.lit("x")).coalesce(1).write.mode("append").parquet(place)
+        fresh = [f for f in (tmp_path / "source").glob("*.parquet") if f.stat().st_mtime > 1.7e9 + 1e6]
+        assert len(fresh) == 1
+        moment = datetime(2023, 11, day, 6, tzinfo=timezone.utc).timestamp()
+        os.utime(fresh[0], (moment, moment))
+    source = spark.read.parquet(place)
+    status = {}
+    for day, hour in ((4, 5), (4, 7), (5, 7)):
+        row = q.arrival_freshness(source, "s", datetime(2023, 11, day, hour)).first()
+        status[day, hour] = (row["status"], round(row["age_hours"], 6))
+    assert status == {(4, 5): ("pass", 23.0), (4, 7): ("warn", 25.0), (5, 7): ("error", 49.0)}
+    plan = q.arrival_freshness(source, "s", datetime(2023, 11, 5))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_tolerance_of_a_declared_check(spark):
+    rows = spark.createDataFrame([(Decimal("10.3000"), Decimal("10.0000"), Decimal("1.02"))], "a decimal(19,4), b decimal(19,4), r decimal(26,11)")
+    load = lambda name: rows
+    count = lambda **more: q.run_checks([q.converted("t", "a", "b", "r", **more)], load).first()["failures"]
+    assert count() == 1 and count(tolerance=0.05) == 1 and count(tolerance=0.2) == 0

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vaultspan.operators.ranges import range_bounds, range_of
+
 
 @dataclass(frozen=True)
 class AsOfIndex:
@@ -83,3 +85,52 @@ def asof_lookup_by_pairs(facts: DataFrame, index: AsOfIndex, key: str, day: str,
         "left",
     )
     return joined.select(*(F.col(c) for c in facts.columns), F.col("_pair_value").alias(into))
+
+
+def _point(key: str, day: str | Column, last: Column) -> Column:
+    day = F.col(day) if isinstance(day, str) else day
+    return F.struct(F.col(key).alias("key"), day.alias("day"), last.cast("long").alias("last"))
+
+
+def merge_bounds(facts: DataFrame, rates: DataFrame, key: str, day: str, rate_key: str, rate_day: str, ranges: int) -> Column:
+    """Bounds of equal ranges of both sides by (key, day, hash of the row): a day that holds many rows is cut too."""
+    points = facts.select(_point(key, day, F.xxhash64(*facts.columns)).alias("point"))
+    return range_bounds(points.union(rates.select(_point(rate_key, rate_day, F.xxhash64(*rates.columns)))), ranges)
+
+
+def asof_merge(
+    facts: DataFrame, rates: DataFrame, key: str, day: str, rate_key: str, rate_day: str, value: str, into: str
+) -> DataFrame:
+    """The same result by merging both sides, where no executor could hold the rates.
+
+    Facts and rates are laid on one line ordered by (key, day) and cut into equal ranges, so a key
+    that holds a third of all rows lies in a third of the ranges. Within a range the last value is
+    carried along. What a range starts with, the key's last value in the ranges before, is laid on the line
+    as a row of its own: one per range and at most one key each, as only a key that goes on across a bound
+    needs it. Both sides are shuffled once, nothing is joined or broadcast.
+    """
+    ranges = 4 * int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = merge_bounds(facts, rates, key, day, rate_key, rate_day, ranges)
+
+    def placed(rows: DataFrame, point: Column, into: str = "_range") -> DataFrame:
+        return rows.withColumn("_bounds", bounds).withColumn(into, range_of(point, F.col("_bounds"))).drop("_bounds")
+
+    line = placed(facts, _point(key, day, F.xxhash64(*facts.columns))).select(
+        F.col(key).alias("_key"), F.col(day).alias("_day"), "_range", F.struct(*facts.columns).alias("_fact")
+    )
+    known = rates.select(F.col(rate_key).alias("_key"), F.col(rate_day).alias("_day"), F.struct(F.col(value).alias("value")).alias("_value"))
+    # equal (key, day) rows stay together, each of them is a match; they come before the facts of their day
+    dated = known.where(F.col("_key").isNotNull() & F.col("_day").isNotNull()).groupBy("_key", "_day").agg(F.collect_list("_value").alias("_values"))
+    dated = placed(dated, _point("_key", "_day", F.lit(-(1 << 63))))
+    newest = dated.groupBy("_key", "_range").agg(F.max_by("_values", "_day").alias("_values"))
+    last_day = F.lit("9999-12-31").cast(dated.schema["_day"].dataType)
+    newest = placed(newest, _point("_key", last_day, F.lit((1 << 63) - 1)), into="_end")
+    next_own = F.lead("_range").over(Window.partitionBy("_key").orderBy("_range"))
+    spans = newest.withColumn("_until", F.coalesce(next_own, F.col("_end"))).where("_range < _until")
+    starts = spans.select("_key", "_values", F.explode(F.sequence(F.col("_range") + 1, F.col("_until"))).alias("_range"))
+
+    both = line.unionByName(dated, allowMissingColumns=True).unionByName(starts, allowMissingColumns=True)
+    along = Window.partitionBy("_range", "_key").orderBy(F.asc_nulls_first("_day"), F.col("_fact").isNotNull())
+    met = both.withColumn("_values", F.last("_values", ignorenulls=True).over(along)).where(F.col("_fact").isNotNull())
+    matched = met.select("_fact", F.explode_outer("_values").alias("_match"))
+    return matched.select(*(F.col(f"_fact.`{c}`").alias(c) for c in facts.columns), F.col("_match.value").alias(into))

@@ -170,9 +170,11 @@ def ordered(table: str, later: str, earlier: str, or_equal: bool = False) -> Che
     return Check(table, f"{later},{earlier}", "pair_ge", rule=lambda: not_after(later, earlier, or_equal), args=(or_equal,))
 
 
-def converted(table: str, column: str, native: str, rate: str, pivot: str | None = None) -> Check:
-    kind = "fx_pivot" if pivot else "fx_direct"
-    return Check(table, column, kind, rule=lambda: misconverted(column, native, rate, pivot), args=(native, rate, pivot))
+def converted(
+    table: str, column: str, native: str, rate: str, pivot: str | None = None, tolerance: float = TOLERANCE
+) -> Check:
+    kind, args = "fx_pivot" if pivot else "fx_direct", (native, rate, pivot, tolerance)
+    return Check(table, column, kind, rule=lambda: misconverted(column, *args), args=args)
 
 
 def not_negative(table: str, *columns: str) -> Check:
@@ -238,6 +240,18 @@ def run_checks(checks: Sequence[Check], load: Callable[[str], DataFrame]) -> Dat
     return summary.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 
 
+def arrival_freshness(
+    source: DataFrame, name: str, run_ts: datetime, warn_hours: int = 24, error_hours: int = 48
+) -> DataFrame:
+    """Freshness of a source without a load time: the newest of its files counts, by the time the file was written.
+
+    ``source`` is read from files, and rows that no file holds leave no trace. The hidden file metadata gives the time,
+    so no column of the source is read.
+    """
+    arrived = source.select(F.col("_metadata.file_modification_time").alias("_arrived_at"))
+    return source_freshness(arrived, name, "_arrived_at", run_ts, warn_hours, error_hours)
+
+
 def source_freshness(
     df: DataFrame, name: str, loaded_at: str, run_ts: datetime, warn_hours: int = 24, error_hours: int = 48
 ) -> DataFrame:

@@ -350,8 +350,8 @@ def _violations(check: Check) -> str:
     elif check.kind == "positive_amounts":
         broken = " or ".join(f"{c} < 0" for c in column.split(","))
     else:
-        native, rate, pivot = check.args
-        broken = f"abs({column} - {native} * {rate}{f' / {pivot}' if pivot else ''}) > 0.01"
+        native, rate, pivot, tolerance = check.args
+        broken = f"abs({column} - {native} * {rate}{f' / {pivot}' if pivot else ''}) > {tolerance}"
     return f"select count(*) from {source} where {broken}"
 
 
@@ -505,6 +505,7 @@ def oracle_sql() -> dict[str, str]:
         "stg_fct_xrt": _staged(RATES, "fct_xrt"),
     }
     sql["insert_only_indexed"] = sql["insert_only_fact"]
+    sql["asof_fx_rate_merged"] = sql["asof_fx_rate"]
     for name, table in DIMENSIONS.items():
         sql[f"stg_{name}"] = _staged(table, name)
     for name, table in FACTS.items():

@@ -20,7 +20,7 @@ from vaultspan.functions import (
     ytd_variation_pct,
 )
 from vaultspan.operators import quality
-from vaultspan.operators.asof import asof_lookup
+from vaultspan.operators.asof import asof_lookup, asof_merge
 from vaultspan.operators.incremental import insert_only, newer_than_target
 from vaultspan.operators.scd2 import on_calendar, snapshot
 from vaultspan.operators.ytd import with_ytd_start
@@ -226,6 +226,11 @@ def asof_fx_rate(star: Star) -> DataFrame:
     return asof_lookup(movements, rates, "cd_ccy_mvt", "dt_cta", "rt_val")
 
 
+def asof_fx_rate_merged(star: Star) -> DataFrame:
+    movements = star.raw("fct_mvt").select("cd_fct_mvt", "cd_ccy_mvt", "dt_cta")
+    return asof_merge(movements, star.raw("fct_xrt"), "cd_ccy_mvt", "dt_cta", "cd_ccy", "dt_fct", "rt_val", "rt_val")
+
+
 def fx_missing_rate_default(star: Star) -> DataFrame:
     """Operations without a rate on or before their date: they convert one to one."""
     rates = intermediate.rate_index(star.raw("fct_xrt"))
@@ -394,6 +399,7 @@ def _plans() -> dict[str, Callable[[Star], DataFrame]]:
         "int_ptf": int_ptf,
         "int_ins": int_ins,
         "asof_fx_rate": asof_fx_rate,
+        "asof_fx_rate_merged": asof_fx_rate_merged,
         "fx_missing_rate_default": fx_missing_rate_default,
         "fx_direct": fx_direct_conversion,
         "fx_pivot": fx_pivot_conversion,
