@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import bank
+from vaultspan.operators.quality import run_checks
+from vaultspan.plans.checks import declared_checks
 from vaultspan.plans.marts import in_year
-from vaultspan.plans.pipeline import Pipeline, Settings, finished_runs, read_mart, run_pipeline
+from vaultspan.plans.pipeline import APPENDED, ROW_COUNTS, Pipeline, Settings, finished_runs, read_mart, run_pipeline
 from vaultspan.plans.staging import Run
 from vaultspan.plans.registry import portable, queries
 from vaultspan.sources.files import LoadedTable
@@ -26,6 +28,10 @@ NEWCOMER = ("P9", "Nine", None, date(2022, 2, 1), None, "C2", "GBP", "GRO", "M2"
 EARLY_BIRD = bank.position("P9", bank.MONTHS[0], "GBP", "NOVO", "270")
 
 
+# each of the first two runs brings one operation that is neither debit nor credit
+ODD = [r[:6] + ("?",) + r[7:] if r[0] in ("OPE-1", "OPE-3") else r for r in bank.OPERATIONS]
+
+
 def until(rows, index, last):
     return [r for r in rows if r[index] <= last]
 
@@ -33,7 +39,7 @@ def until(rows, index, last):
 def january(spark):
     cut = {
         "fct_ast": until(bank.POSITIONS, 4, bank.MONTHS[0]) + [EARLY_BIRD],
-        "fct_ope": until(bank.OPERATIONS, 13, bank.MONTHS[0]),
+        "fct_ope": until(ODD, 13, bank.MONTHS[0]),
         "fct_mvt": until(bank.MOVEMENTS, 4, bank.MONTHS[0]),
         "fct_ptf": until(bank.BALANCES, 2, bank.MONTHS[0]),
         "fct_xrt": until(bank.rates(), 2, bank.MONTHS[0]),
@@ -44,7 +50,7 @@ def january(spark):
 def february(spark):
     moved = [r[:7] + ("BAL",) + r[8:] if r[0] == "P1" else r for r in bank.ROWS["ptf"]] + [NEWCOMER]
     late = bank.position("P1", bank.MONTHS[0], "CHF", "CASH", "55")
-    changed = {"ptf": moved, "fct_ast": [*bank.POSITIONS, EARLY_BIRD, late]}
+    changed = {"ptf": moved, "fct_ast": [*bank.POSITIONS, EARLY_BIRD, late], "fct_ope": ODD}
     return lambda name: bank.raw(spark, name, changed.get(name))
 
 
@@ -69,9 +75,39 @@ def test_every_check_reports(spark, state):
     _, first, second = state
     assert len(first) == len(second) == 609
     failed = {(r["table_name"], r["column_name"], r["check"]): r["failures"] for r in second if r["status"] == "fail"}
-    assert failed == {}
+    assert failed == {("stg_fct_ope", "cd_deb_crd", "accepted_values"): 2}
     early = {(r["table_name"], r["column_name"], r["check"]): r["failures"] for r in first if r["status"] == "fail"}
-    assert early == {("stg_fct_ast", "cd_ptf", "relationships"): 1}
+    assert early == {
+        ("stg_fct_ast", "cd_ptf", "relationships"): 1,
+        ("stg_fct_ope", "cd_deb_crd", "accepted_values"): 1,
+    }
+
+
+def test_row_rules_are_counted_as_rows_are_written(spark, state):
+    root, _, second = state
+    recounted = run_checks([c for c in declared_checks() if c.rule is not None and c.table in APPENDED],
+                           lambda table: read_mart(spark, root, table)).collect()
+    assert len(recounted) > 100 and set(recounted) <= set(second)
+    runs = [run.attempt for run in finished_runs(spark, root)]
+    counts = [LoadedTable(spark, f"{root}/{ROW_COUNTS}").read([run]).where("violations > 0").collect() for run in runs]
+    assert [[(r["name"].split()[:2], r["violations"]) for r in part] for part in counts] == [[(["stg_fct_ope", "cd_deb_crd"], 1)]] * 2
+    names = [c.name for c in declared_checks()]
+    assert len(set(names)) == len(names)
+
+
+def test_counts_of_loads_add_up(spark, tmp_path):
+    run = Pipeline(spark, january(spark), str(tmp_path), FIRST, JANUARY)
+    grown, dimension = [next(c.name for c in run.checks if c.table == t and c.rule) for t in ("stg_fct_ast", "stg_cli")]
+    other = next(c.name for c in run.checks if c.table == "int_fct_ast" and c.rule)
+    store = LoadedTable(spark, f"{tmp_path}/{ROW_COUNTS}")
+    run.violations = {grown: 4, other: 1, dimension: 5}
+    assert run.counted() == run.violations  # a first run, or one that starts anew
+    for load, rows in {"a": [(grown, 2), (dimension, 9), (other, 6)], "b": [(grown, 3)]}.items():
+        store.write(load, spark.createDataFrame(rows, "name string, violations bigint"))
+    run.earlier = ["a", "b"]
+    assert run.counted() == {grown: 9, dimension: 5}  # load b was not counted for the other rule, so it is scanned for
+    run.earlier = ["a", "b", "uncounted"]
+    assert run.counted() == {dimension: 5}
 
 
 def test_converted_amounts(spark, state):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vaultspan.operators import quality as q
 from vaultspan.plans.checks import declared_checks
+from vaultspan.sources.files import LoadedTable
 
 
 def test_declared_checks():
@@ -112,3 +113,23 @@ def test_tolerance_of_a_declared_check(spark):
     load = lambda name: rows
     count = lambda **more: q.run_checks([q.converted("t", "a", "b", "r", **more)], load).first()["failures"]
     assert count() == 1 and count(tolerance=0.05) == 1 and count(tolerance=0.2) == 0
+
+
+def test_rules_counted_by_the_writing_job(spark, tmp_path):
+    checks = [
+        q.required("t", "a"), q.between("t", "a", low=0), q.accepted("t", "b", ("x", "y")), q.unique("t", "b"),
+        q.required("empty", "a"),
+    ]
+    rows = spark.createDataFrame([(1, "x"), (None, "y"), (-3, "z"), (-4, "x")], "a int, b string")
+    store, seen = LoadedTable(spark, f"{tmp_path}/t"), q.Observed([c for c in checks if c.table == "t"])
+    stored = store.write("one", rows, ["b"], watch=seen.watch)
+    nothing = q.Observed([c for c in checks if c.table == "empty"])
+    empty = LoadedTable(spark, f"{tmp_path}/empty").write("one", rows.where("a > 9"), ["a"], watch=nothing.watch)
+    assert sorted(stored.collect(), key=str) == sorted(rows.collect(), key=str)
+    counted = seen.violations() | nothing.violations()
+    assert list(counted.values()) == [1, 2, 1, 0]
+
+    summary = q.run_checks(checks, {"t": stored, "empty": empty}.__getitem__)
+    taken = q.run_checks(checks, {"t": stored.select("b")}.__getitem__, counted)  # neither a nor the empty table is read
+    assert sorted(taken.collect()) == sorted(summary.collect())
+    assert q.Observed([checks[3]]).violations() == {}

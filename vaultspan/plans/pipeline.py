@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 from uuid import uuid4
@@ -15,7 +15,7 @@ from vaultspan.functions import stamp
 from vaultspan.operators.asof import AsOfIndex
 from vaultspan.operators.calendar import Calendar, month_end_calendar
 from vaultspan.operators.incremental import upsert
-from vaultspan.operators.quality import run_checks
+from vaultspan.operators.quality import Observed, run_checks
 from vaultspan.operators.scd2 import roll_open_versions
 from vaultspan.plans import intermediate, marts
 from vaultspan.plans.checks import declared_checks
@@ -26,6 +26,7 @@ from vaultspan.sources.schemas import DIMENSIONS, FACTS, RATES
 from vaultspan.types import assert_same_columns
 
 RUN_LOG = "run_log"
+ROW_COUNTS = "check_row_counts"
 
 # The date a fact is filed under.
 FACT_DAY = {"fct_ast": "dt_fct", "fct_ptf": "dt_fct", "fct_ope": "dt_cta", "fct_mvt": "dt_cta"}
@@ -127,6 +128,8 @@ class Pipeline:
         self.times = [(r.attempt, r.run_ts) for r in before]
         self.earlier = [] if settings.full_refresh else _since_refresh(before)
         self.tables: dict[str, DataFrame] = {}
+        self.checks = declared_checks()
+        self.violations: dict[str, int] = {}
 
     def stored(self, name: str) -> LoadedTable:
         return LoadedTable(self.spark, f"{self.root}/{name}")
@@ -141,9 +144,16 @@ class Pipeline:
 
     def keep(self, name: str, rows: DataFrame, by: list[str | Column] | None = None) -> DataFrame:
         """Store this run's version of a table."""
-        self.tables[name] = self.stored(name).write(self.attempt, rows, by or ())
+        self.tables[name] = self._write(name, rows, by or ())
         return self.tables[name]
 
+    def _write(self, name: str, rows: DataFrame, by: Sequence[str | Column]) -> DataFrame:
+        """Write this run's rows of a table; the same job counts what breaks its row rules."""
+        observed = Observed([c for c in self.checks if c.table == name])
+        part = self.stored(name).write(self.attempt, rows, by, watch=observed.watch)
+        self.violations |= observed.violations()
+        return part
+
     def append(self, name: str, rows: DataFrame, day: str) -> DataFrame:
         """Store this run's part of an append-only table; returns that part.
 
@@ -152,7 +162,7 @@ class Pipeline:
         held = self.appended(name)
         if held is not None:
             assert_same_columns(held, rows, name)
-        part = self.stored(name).write(self.attempt, rows, [F.trunc(day, "MM")])
+        part = self._write(name, rows, [F.trunc(day, "MM")])
         self.tables[name] = self.stored(name).read([*self.earlier, self.attempt])
         return part
 
@@ -251,8 +261,32 @@ class Pipeline:
         for name, rows in built.items():
             self.keep(name, rows, marts.layout(name))
 
+    def counted(self) -> dict[str, int]:
+        """Violations of row rules by check, as counted when the rows were written.
+
+        The counts of each attempt are stored. Those of a table that only grows are added up, so
+        its earlier loads are not read again. A rule that some load was not counted for is left out.
+        """
+        store = self.stored(ROW_COUNTS)
+        held = set(store.loads()) if self.earlier else set()
+        attempts = [a for a in self.earlier if a in held]
+        earlier: dict[str, int] = {}
+        if attempts and len(attempts) == len(self.earlier):
+            sums = store.read(attempts).groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.sum("violations").alias("violations"))
+            # a row per declared check
+            earlier = {r["name"]: r["violations"] for r in sums.where(F.col("n") == len(attempts)).collect()}
+        grows = {c.name for c in self.checks if c.table in APPENDED} if self.earlier else set()
+        return {
+            name: found + (earlier[name] if name in grows else 0)
+            for name, found in self.violations.items()
+            if name not in grows or name in earlier
+        }
+
     def check(self) -> DataFrame:
-        return self.keep("check_summary", run_checks(declared_checks(), self.tables.__getitem__))
+        counted = self.counted()
+        own = self.spark.createDataFrame(list(self.violations.items()), "name string, violations bigint")
+        self.stored(ROW_COUNTS).write(self.attempt, own.coalesce(1))
+        return self.keep("check_summary", run_checks(self.checks, self.tables.__getitem__, counted))
 
     def finish(self) -> None:
         """Log the attempt; from now on it counts."""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,10 +73,19 @@ class LoadedTable:
         return self.spark.read.schema(schema).parquet(*folders)
 
     def write(
-        self, load: str, rows: DataFrame, by: Sequence[str | Column] = (), split: str | None = None
+        self,
+        load: str,
+        rows: DataFrame,
+        by: Sequence[str | Column] = (),
+        split: str | None = None,
+        watch: Callable[[DataFrame], DataFrame] | None = None,
     ) -> DataFrame:
-        """Write one load, clustered on ``by`` if given, in a folder per value of ``split``; read it back."""
-        writer = (clustered(rows, by) if by else rows).write.mode("overwrite")
+        """Write one load, clustered on ``by`` if given, in a folder per value of ``split``; read it back.
+
+        ``watch`` may observe the rows as they are written; it must hand them on unchanged.
+        """
+        laid = clustered(rows, by) if by else rows
+        writer = (watch(laid) if watch else laid).write.mode("overwrite")
         (writer.partitionBy(split) if split else writer).parquet(self._folder(load))
         return self.read([load], rows.schema if split else None)
 
