@@ -583,6 +583,28 @@ def test_columns_with_clashing_names_stay(spark, awkward):
         assert rows.count() == 11
 
 
+def test_equal_rows_of_the_sharding_order_are_cut_into_ranges(spark, monkeypatch):
+    kept, store = {}, sharding.Scratch.store
+    monkeypatch.setattr(sharding.Scratch, "store", lambda self, rows, name: kept.setdefault(name, store(self, rows, name)))
+    rows = 24_000
+    id_ = F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id"))
+    text = F.when(F.col("id") % 3 == 0, F.lit("the same")).otherwise(F.concat(F.lit("text "), F.col("id")))
+    setting = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in setting}
+    try:
+        for name, value in setting.items():
+            spark.conf.set(name, value)
+        found = sharding.shard_rows(spark.range(rows).select(id_.alias("doc_id"), text.alias("text")), shards=16)
+        per_range = [r["count"] for r in kept["ranged"].groupBy(F.shiftright("_slot", 33)).count().collect()]
+        slots = found.groupBy("shard").agg(F.min("slot").alias("least"), F.max("slot").alias("most"), F.count_distinct("slot").alias("n"))
+        slots = slots.select("least", "most", "n").distinct().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(per_range) == 8 and max(per_range) < 2 * rows / 8
+    assert slots == [(0, rows // 16 - 1, rows // 16)]
+
+
 def test_shards_equal_a_permutation_in_plain_python(spark, documents):
     """Row numbers by id and text, permuted by the inverse computation at every place."""
     placed = sharding.shard_rows(documents, shards=16).select("doc_id", "shard", "slot", "row_number").collect()

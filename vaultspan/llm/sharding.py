@@ -11,7 +11,8 @@ back (cycle walking). Everything is DataFrame and SQL functions.
 
 Defined results: null text has size 1 (its line end) and the checksum 0 of the empty
 text; equal rows, a repeated one included, take adjacent row numbers and so
-different places; null ids come first in the order; an empty table gives an empty
+different places, and are cut into ranges by their place in the input, so that a third of
+all rows may be equal; null ids come first in the order; an empty table gives an empty
 result; other columns are never read.
 """
 
@@ -96,8 +97,12 @@ def shard_rows(
         (F.octet_length(text) + F.lit(1)).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("text_hash"),
+        # stored with the row, so a repeated task cannot give another place
+        F.monotonically_increasing_id().alias("input_place"),
     )
-    lined = numbered(scratch, measured, ["id", "text_crc32", "size", "text_hash"], "row_number")
+    # the range split samples its input: from the narrow copy, not from the texts once more
+    narrow = scratch.store(measured, "measured")
+    lined = numbered(scratch, narrow, ["id", "text_crc32", "size", "text_hash", "input_place"], "row_number")
     rows = lined.count()
     if rows == 0:
         place = F.lit(0).cast("long")
