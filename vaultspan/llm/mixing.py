@@ -16,8 +16,8 @@ The order of a source is cut into ranges, so a hot source is worked on by many
 tasks; only sums per source and range are joined back.
 
 Defined results: null and blank texts have size 0, are taken 0 times and have no
-position; repeated rows stand in the order one after another, each on its own; a
-null id orders as the empty text; an empty table gives an empty result; columns other
+position; repeated rows stand in the order one after another, each on its own, and are
+cut into ranges by their place in the input; a null id orders as the empty text; an empty table gives an empty result; columns other
 than the three named ones are never read.
 """
 
@@ -89,9 +89,11 @@ def mix(
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         (F.lit(0) if row_column is None else docs[row_column]).cast("long").alias("row"),
     ).withColumn("key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("")))))
-    order = [F.asc_nulls_first("source"), F.asc("key"), F.asc_nulls_first("id"), F.asc("size"), F.asc("row")]
+    # rows equal in all else are cut by their place in the input; the ranges are sampled from the narrow copy, so words are counted once
+    narrow = scratch.store(measured.withColumn("place", F.monotonically_increasing_id()), "measured")
+    order = [F.asc_nulls_first("source"), F.asc("key"), F.asc_nulls_first("id"), F.asc("size"), F.asc("row"), F.asc("place")]
     ranged = scratch.store(
-        measured.repartitionByRange(*order).withColumn("part", F.spark_partition_id()),
+        narrow.repartitionByRange(*order).withColumn("part", F.spark_partition_id()),
         "ranged",
     )
     # a row per source and range that it reaches into: at most ranges + sources
