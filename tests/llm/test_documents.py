@@ -448,6 +448,28 @@ def test_many_sources_are_shared_out_by_many_tasks(spark):
     assert per_source and all("_part" in line for line in per_source)
 
 
+def test_equal_rows_of_a_source_are_cut_into_ranges(spark, monkeypatch):
+    kept = stored_tables(monkeypatch, mixing.Scratch)
+    rows = 12_000
+    same = F.col("id") % 3 == 0
+    docs = spark.range(rows).select(
+        F.when(~same, F.col("id")).alias("doc_id"), F.when(same, "two words").otherwise(F.concat(F.lit("w "), F.col("id"))).alias("text"),
+        F.when(same, "a").otherwise("b").alias("source"),
+    )
+    setting = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in setting}
+    try:
+        for name, value in setting.items():
+            spark.conf.set(name, value)
+        check_mix(docs)
+        ranged = next(t for t in kept if {"part", "key"} <= set(t.columns))
+        per_range = [r["count"] for r in ranged.groupBy("part").count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(per_range) == 8 and max(per_range) < 2 * rows / 8
+
+
 def test_positions_follow_the_integral_of_the_schedule(documents):
     """Up to every position a source has been asked for as many words as lie before it."""
     rows = mixing.mix(documents).collect()
@@ -583,9 +605,20 @@ def test_columns_with_clashing_names_stay(spark, awkward):
         assert rows.count() == 11
 
 
+def stored_tables(monkeypatch, scratch):
+    """A list that receives every table an operator stores from now on."""
+    kept, store = [], scratch.store
+
+    def noted(self, rows, name):
+        kept.append(store(self, rows, name))
+        return kept[-1]
+
+    monkeypatch.setattr(scratch, "store", noted)
+    return kept
+
+
 def test_equal_rows_of_the_sharding_order_are_cut_into_ranges(spark, monkeypatch):
-    kept, store = {}, sharding.Scratch.store
-    monkeypatch.setattr(sharding.Scratch, "store", lambda self, rows, name: kept.setdefault(name, store(self, rows, name)))
+    kept = stored_tables(monkeypatch, sharding.Scratch)
     rows = 24_000
     id_ = F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id"))
     text = F.when(F.col("id") % 3 == 0, F.lit("the same")).otherwise(F.concat(F.lit("text "), F.col("id")))
@@ -595,7 +628,7 @@ def test_equal_rows_of_the_sharding_order_are_cut_into_ranges(spark, monkeypatch
         for name, value in setting.items():
             spark.conf.set(name, value)
         found = sharding.shard_rows(spark.range(rows).select(id_.alias("doc_id"), text.alias("text")), shards=16)
-        per_range = [r["count"] for r in kept["ranged"].groupBy(F.shiftright("_slot", 33)).count().collect()]
+        per_range = [r["count"] for r in next(t for t in kept if "_slot" in t.columns).groupBy(F.shiftright("_slot", 33)).count().collect()]
         slots = found.groupBy("shard").agg(F.min("slot").alias("least"), F.max("slot").alias("most"), F.count_distinct("slot").alias("n"))
         slots = slots.select("least", "most", "n").distinct().collect()
     finally:
