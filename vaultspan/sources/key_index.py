@@ -88,6 +88,10 @@ class KeyIndex:
         picked = rows.select(load, "rows", "least", "greatest", "highest_id", "blocks").collect()
         return sorted((LoadSummary(**row.asDict()) for row in picked), key=lambda s: s.load)
 
+    def loads(self) -> list[str]:
+        """The loads that are indexed, in order."""
+        return self._summaries.loads()
+
     def highest_id(self, loads: Sequence[str]) -> int:
         return max((s.highest_id for s in self.summaries(loads)), default=0)
 
