@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from vaultspan.functions import exact_product, stamp
 
 TOLERANCE = 0.01
+UNIQUE, RELATIONSHIPS = "unique", "relationships"
 
 
 # Row rules: a condition that is true on a violating row.
@@ -152,7 +153,7 @@ def required(table: str, column: str) -> Check:
 
 
 def unique(table: str, column: str) -> Check:
-    return Check(table, column, "unique", count=lambda df, _: _tally(duplicate_values(df, column), F.count(F.lit(1))))
+    return Check(table, column, UNIQUE, count=lambda df, _: _tally(duplicate_values(df, column), F.count(F.lit(1))))
 
 
 def accepted(table: str, column: str, values: Sequence[str]) -> Check:
@@ -163,7 +164,7 @@ def references(table: str, column: str, parent: str, parent_column: str) -> Chec
     def count(df: DataFrame, load: Callable[[str], DataFrame]) -> DataFrame:
         return _tally(unknown_values(df, column, load(parent), parent_column), F.sum("n_records"))
 
-    return Check(table, column, "relationships", count=count, args=(parent, parent_column))
+    return Check(table, column, RELATIONSHIPS, count=count, args=(parent, parent_column))
 
 
 def between(table: str, column: str, low: float | None = None, high: float | None = None, strictly: bool = False) -> Check:
@@ -227,11 +228,19 @@ def _row_rules(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 
 def _uniqueness(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All ``unique`` checks of a table in one scan: values are counted together with the check they belong to."""
-    values = [F.struct(F.lit(i).alias("_check"), F.col(c.column).cast("string").alias("_value")) for i, c in enumerate(checks)]
-    tagged = df.select(F.explode(F.array(*values)).alias("v")).select("v.*").filter(F.col("_value").isNotNull())
-    repeated = tagged.groupBy("_check", "_value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    return _counted(repeated, checks, [F.col("_check") == i for i in range(len(checks))])
+    """All ``unique`` checks of a table in one scan."""
+    repeated = counted_values(df, checks).filter(F.col("n") > 1)
+    return _counted(repeated, checks, [F.col("name") == c.name for c in checks])
+
+
+def counted_values(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Name of the check, value as text and its number of rows ``n``, for the columns of all checks, in one scan.
+
+    Values are counted together with the check they belong to, before they are shuffled. NULLs do not count.
+    """
+    values = [F.struct(F.lit(c.name).alias("name"), F.col(c.column).cast("string").alias("value")) for c in checks]
+    tagged = df.select(F.explode(F.array(*values)).alias("v")).select("v.*").filter(F.col("value").isNotNull())
+    return tagged.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _counted(df: DataFrame, checks: Sequence[Check], broken: Sequence[Column]) -> DataFrame:
@@ -259,11 +268,11 @@ def run_checks(
 ) -> DataFrame:
     """One row per check: table, column, kind, number of violations, status.
 
-    ``counted`` holds violations of row rules by the name of the check, where the writing of the
-    table counted them; a table is not scanned for those.
+    ``counted`` holds violations by the name of the check, where they are known already; a table
+    is not scanned for those.
     """
     counted = counted or {}
-    results, known = [], [c for c in checks if c.rule is not None and c.name in counted]
+    results, known = [], [c for c in checks if c.name in counted]
     if known:
         results.append(_known(SparkSession.active(), known, counted))
     for table in dict.fromkeys(c.table for c in checks):
@@ -274,7 +283,7 @@ def run_checks(
         row_rules = [c for c in mine if c.rule is not None]
         if row_rules:
             results.append(_row_rules(df, row_rules))
-        keys = [c for c in mine if c.kind == "unique"]
+        keys = [c for c in mine if c.kind == UNIQUE]
         if keys:
             results.append(_uniqueness(df, keys))
         for check in mine:

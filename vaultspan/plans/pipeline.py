@@ -18,6 +18,7 @@ from vaultspan.operators.incremental import upsert
 from vaultspan.operators.quality import Observed, run_checks
 from vaultspan.operators.scd2 import roll_open_versions
 from vaultspan.plans import intermediate, marts
+from vaultspan.plans.check_state import CheckState, Growing
 from vaultspan.plans.checks import declared_checks
 from vaultspan.plans.point_in_time import MonthlyTable, changed_codes, maintained, months_showing, touched_months
 from vaultspan.plans.staging import Run, StagedFact, stage_upsert
@@ -130,6 +131,12 @@ class Pipeline:
         self.tables: dict[str, DataFrame] = {}
         self.checks = declared_checks()
         self.violations: dict[str, int] = {}
+        self.parts: dict[str, DataFrame] = {}
+        self.growing = {
+            f"{layer}_{name}": Growing.at(spark, f"{root}/{layer}_{name}", table.key, table.id_column if layer == "stg" else None)
+            for name, table in FACTS.items()
+            for layer in ("stg", "int")
+        }
 
     def stored(self, name: str) -> LoadedTable:
         return LoadedTable(self.spark, f"{self.root}/{name}")
@@ -155,14 +162,15 @@ class Pipeline:
         return part
 
     def append(self, name: str, rows: DataFrame, day: str) -> DataFrame:
-        """Store this run's part of an append-only table; returns that part.
+        """Store and index this run's part of an append-only table; returns that part.
 
         Columns that differ from those stored before are refused.
         """
         held = self.appended(name)
         if held is not None:
             assert_same_columns(held, rows, name)
-        part = self._write(name, rows, [F.trunc(day, "MM")])
+        part = self.parts[name] = self._write(name, rows, [F.trunc(day, "MM")])
+        self.growing[name].index.add(self.attempt, part)
         self.tables[name] = self.stored(name).read([*self.earlier, self.attempt])
         return part
 
@@ -179,7 +187,6 @@ class Pipeline:
             staged = StagedFact(self.spark, f"{self.root}/{table.staged}", table)
             rows = staged.fresh(self.extract(name), self.run, self.earlier)
             fresh[name] = self.append(table.staged, rows, FACT_DAY[name])
-            staged.index.add(self.attempt, fresh[name])
         return fresh
 
     def roll(self, name: str) -> tuple[date | None, Callable[[date | None], DataFrame]]:
@@ -283,7 +290,8 @@ class Pipeline:
         }
 
     def check(self) -> DataFrame:
-        counted = self.counted()
+        state = CheckState(self.spark, self.root, self.checks, self.growing)
+        counted = self.counted() | state.carry(self.attempt, self.earlier, self.parts, self.tables.__getitem__)
         own = self.spark.createDataFrame(list(self.violations.items()), "name string, violations bigint")
         self.stored(ROW_COUNTS).write(self.attempt, own.coalesce(1))
         return self.keep("check_summary", run_checks(self.checks, self.tables.__getitem__, counted))

@@ -53,9 +53,12 @@ def _is_set(bitmap: Column, bit: Column) -> Column:
 
 
 class KeyIndex:
-    """Summaries and filters of the loads of one table, in ``<path>_keys`` and ``<path>_key_summaries``."""
+    """Summaries and filters of the loads of one table, in ``<path>_keys`` and ``<path>_key_summaries``.
 
-    def __init__(self, spark: SparkSession, path: str, key: str, id_column: str) -> None:
+    A table without an ``id_column`` has 0 as highest id.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, id_column: str | None) -> None:
         self.spark, self.key, self.id_column = spark, key, id_column
         self._filters = LoadedTable(spark, f"{path}_keys")
         self._summaries = LoadedTable(spark, f"{path}_key_summaries")
@@ -63,8 +66,9 @@ class KeyIndex:
     def add(self, load: str, part: DataFrame) -> None:
         """Index the rows of a load, which should be read from its files: only key and id are needed."""
         key = F.col(self.key)
+        ids = F.lit(0) if self.id_column is None else F.col(self.id_column)
         found = part.agg(
-            F.count(key).alias("rows"), F.min(key).alias("least"), F.max(key).alias("greatest"), F.max(self.id_column).cast("long").alias("highest_id")
+            F.count(key).alias("rows"), F.min(key).alias("least"), F.max(key).alias("greatest"), F.max(ids).cast("long").alias("highest_id")
         ).first()
         blocks = -(-found["rows"] // _KEYS_PER_BLOCK)
         summary = self.spark.range(1).select(
