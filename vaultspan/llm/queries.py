@@ -26,6 +26,7 @@ from vaultspan.llm import (
     tree_forest,
     warc_bundles,
 )
+from vaultspan.llm.oracles import oracle_sql as oracle_sql
 from vaultspan.llm.scratch import Scratch
 
 LONG_WORD = 7
@@ -198,7 +199,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         return run
 
     return {query.__name__: shipping(query) for query in _QUERIES}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}

@@ -116,9 +116,9 @@ def shingles(words: Words, documents: int, size: int) -> tuple[np.ndarray, np.nd
     value = np.zeros(total, dtype=U64)
     first = np.cumsum(counts) - counts
     left = (first + counts)[words.document] - np.arange(total)  # words from here to the document's end
-    for k in range(size):
+    for k in range(min(size, total)):  # a chunk can hold fewer words than a shingle
         shifted = np.zeros(total, dtype=U64)
-        shifted[: total - k] = words.hash[k:] if k else words.hash
+        shifted[: total - k] = words.hash[k:]
         value += np.where(left > k, shifted * _COMBINE[k], U64(0))
     here = np.arange(total) - first[words.document]
     keep = (left >= size) | ((here == 0) & (counts[words.document] < size))
