@@ -34,8 +34,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _row() -> Column:
-    """Tells documents apart, also those that share an id; rows equal in both are one document."""
-    return F.xxhash64("doc_id", "text")
+    """Tells the documents of one id apart, so the key is (doc_id, this); rows equal in both are one document."""
+    return F.xxhash64("text")
+
+
+def _keyed(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Documents joined with rows that carry their key; a null id is an id like any other."""
+    other = rows.withColumnsRenamed({"doc_id": "_id", "_row": "_other"})
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_other"))
+    return docs.dropDuplicates(["doc_id", "_row"]).join(other, same)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,10 +52,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     named = parity_join.jaccard_components(
         docs.select("doc_id", "text", "_row"), row_column="_row", group_column="_group"
     ).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    alone = named.where("n_links = 0").select("_row")
+    alone = named.where("n_links = 0").select("doc_id", "_row")
     # several rows can carry the id that names the group, and several groups can have that name
-    first = named.where("n_links > 0").groupBy("_group").agg(F.min("_row").alias("_row")).select("_row")
-    return docs.join(alone.union(first).distinct(), "_row").dropDuplicates(["_row"]).select(*COLUMNS)
+    first = named.where("n_links > 0").groupBy("_group").agg(F.min(F.struct("doc_id", "_row")).alias("f")).select("f.*")
+    return _keyed(docs, alone.union(first).distinct()).select(*COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,8 +75,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows in training order, one per pass; a pass that is cut short counts as a whole one."""
     ship(spark)
     docs = docs.select(*COLUMNS).withColumn("_row", _row())
-    passes = mixing.mix(docs, row_column="_row").select("_row", F.explode("positions").alias("_position"))
-    joined = docs.dropDuplicates(["_row"]).join(passes, "_row")
+    passes = mixing.mix(docs, row_column="_row").select("doc_id", "_row", F.explode("positions").alias("_position"))
+    joined = _keyed(docs, passes)
     return joined.repartitionByRange("_position").sortWithinPartitions("_position").select(*COLUMNS)
 
 
