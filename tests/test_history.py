@@ -6,8 +6,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from vaultspan.operators.calendar import Calendar, month_end_calendar
-from vaultspan.operators.scd2 import at_date, history_from_changelog, on_calendar, snapshot
+from vaultspan.operators.scd2 import Versions, at_date, history_from_changelog, on_calendar, snapshot
 from vaultspan.operators.ytd import with_ytd_start
+from vaultspan.plans import registry
 
 START = datetime(2024, 1, 1)
 
@@ -122,3 +123,27 @@ def test_ytd_start(spark):
     got = {(r["k"], r["dt_fct"].month): (r[3], r[4], r[5]) for r in with_ytd_start(daily, ["k"], "aum", calendar(spark)).collect()}
     assert got["a", 1] == (100, 0.0, 0) and got["a", 2] == (100, 10.0, 10)
     assert got["b", 2] == (None, 0.0, 50) and got[None, 2] == (None, 0.0, 9)
+
+
+def test_versions_met_without_their_dates(spark):
+    """Versions that were not laid out give the rows of the table laid out, also twice, without a key, date or version."""
+    old, change, again = date(2020, 1, 1), datetime(2024, 2, 10, 9), datetime(2024, 2, 10, 12)
+    rows = [("a", "v1", old, START, change), ("a", "v2", old, change, again), ("a", "v3", old, again, None),
+            ("b", "w1", date(2024, 2, 15), START, None), ("b", "w2", date(2024, 2, 15), START, None),
+            ("d", "x", None, START, None), (None, "y", old, START, None)]
+    days = [date(2024, 1, 31), date(2024, 2, 10), date(2024, 2, 29), date(2024, 3, 15), date(2025, 1, 1), None]
+    facts = spark.createDataFrame([(k, d, i) for i, d in enumerate(days) for k in ("a", "b", "c", "d", None)],
+                                  "k string, dt_fct date, n int")
+    table, bare = on_calendar(versions(spark, rows), calendar(spark), "dt_cre"), Versions(versions(spark, rows), calendar(spark), "dt_cre")
+    for how in ("inner", "left"):
+        laid_out = at_date(facts, table, "k", ["v"], how)
+        met = at_date(facts, bare, "k", ["v"], how)
+        assert met.columns == laid_out.columns
+        assert sorted(map(str, met.collect())) == sorted(map(str, laid_out.collect()))
+
+
+def test_marts_shuffle_no_row_per_date(spark):
+    """The dates of the calendar do not multiply the portfolios and clients below a mart's joins."""
+    for name in ("mart_aum_ytd", "mart_client_exposure", "mart_portfolio_performance", "mart_ptf_detail", "mart_rm_performance"):
+        plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "valid_from" in plan and "explode(sequence(trunc(_begin" not in plan
