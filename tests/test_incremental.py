@@ -4,11 +4,14 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from vaultspan.operators import surrogate
 from vaultspan.operators.incremental import insert_only, newer_than_target, unseen, upsert, with_stable_ids
 from vaultspan.operators.surrogate import highest_id, number_rows
 from vaultspan.plans.staging import Run, stage_new_rows, stage_upsert
 from vaultspan.sources.schemas import DIMENSIONS, FACTS
+from vaultspan.session import stored
 from vaultspan.types import SchemaDrift
 
 import bank
@@ -43,6 +46,19 @@ def test_range_numbering(spark):
     assert {r["k"]: int(r["id"]) for r in ranged.collect()} == expected
 
 
+def test_derived_columns_do_not_travel(spark, monkeypatch):
+    rows = [(i % 7, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "g int, n int").repartition(3)
+    kept = []
+    monkeypatch.setattr(surrogate, "stored", lambda rows, name: kept.append(rows) or stored(rows, name))
+    derived = {"p": F.expr("if(g = 6, null, concat('P', g))"), "k": F.expr("concat('key ', n)")}
+    got = number_rows(df, ["p", "k"], "id", 2, derived)
+    assert kept[0].columns == ["g", "n", "_slot"]
+    plain = number_rows(df.withColumns(derived), ["p", "k"], "id", 2)
+    assert got.columns == ["g", "n", "p", "k", "id"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.select(*got.columns).collect()))
+
+
 def test_range_numbering_of_nothing(spark):
     assert number_rows(keyed(spark, "A").limit(0), ["k"], "id", 3).count() == 0
     assert highest_id(keyed(spark, "A").limit(0).selectExpr("1 as id"), "id") == 0
