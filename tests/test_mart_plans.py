@@ -6,9 +6,13 @@ import re
 from collections import Counter
 from datetime import date, datetime
 
+from pyspark.sql import functions as F
+
 from vaultspan.operators.calendar import Calendar, month_end_calendar
 from vaultspan.operators.scd2 import Versions, on_calendar
-from vaultspan.plans import marts, registry
+from vaultspan.operators import surrogate
+from vaultspan.plans import intermediate, marts, registry
+from vaultspan.session import stored
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -68,3 +72,33 @@ def test_each_fact_is_staged_once_for_its_checks(spark, monkeypatch):
     monkeypatch.setattr(registry, "stage_new_rows", counting)
     registry.queries()["dq_summary"](spark, FOLDER)
     assert staged == {name: 1 for name in registry.FACTS}
+
+
+def test_facts_are_numbered_undecorated_and_not_dealt_by_portfolio(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(surrogate, "stored", lambda rows, name: kept.setdefault(len(kept), rows) and stored(rows, name))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("stg_fct_ast", "stg_fct_mvt", "int_fct_ast", "int_fct_mvt", "int_fct_ope"):
+            plan = registry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+            assert not re.findall(r"Exchange hashpartitioning\(cd_ptf", plan), name
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(kept) == 5 and not [c for rows in kept.values() for c in rows.columns if c.startswith(("cd_", "mt_"))]
+
+
+def test_owners_brought_along_equal_the_join(spark):
+    """Codes that repeat, are missing or null on either side."""
+    portfolios = spark.createDataFrame(
+        [("P1", "C1", "EUR"), ("P2", "C2", "USD"), ("P2", "C2", "USD"), ("P2", None, "CHF"), (None, "C9", "EUR"), ("P4", "C4", None)],
+        "cd_ptf string, cd_cli string, cd_ccy string",
+    )
+    facts = spark.createDataFrame([(i, p) for i, p in enumerate(["P1", "P2", "P3", None, "P4"])], "n int, cd_ptf string")
+    owners = intermediate.owners(portfolios).withColumnRenamed("cd_ptf", "_ptf")
+    brought = facts.join(owners, F.col("cd_ptf") == F.col("_ptf"), "left").drop("_ptf")
+    columns = ["n", "cd_ptf", "cd_cli", "cd_ccy_ptf"]
+    got, want = (intermediate._owned(f, portfolios).select(*columns).collect() for f in (brought, facts))
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 5
