@@ -172,6 +172,10 @@ class BytePairCodec:
                 self._young, self._old = {}, young
         return b"".join(found)
 
+    def forget(self) -> None:
+        """Drop what was learned from texts; the vocabulary and its entries' parts stay."""
+        self._fits, self._young, self._old = {}, {}, {}
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, array("I", ids)))
 
@@ -193,14 +197,17 @@ def _mapped(spark: SparkSession, ranks: bytes, pattern: str, column: int, name:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(shared.value, pattern)
-        for batch in batches:
-            # a few texts at a time, so that the ids of a batch of long texts need not be held at once
-            for row in range(0, batch.num_rows, 256):
-                part = batch.slice(row, 256)
-                rest = [part.column(i) for i in range(part.num_columns) if i != column]
-                names = [part.schema.names[i] for i in range(part.num_columns) if i != column]
-                new = work(own, part.column(column))
-                yield pa.record_batch(rest + [pa.array(x, t) for x, t in zip(new, kind)], names=names + list(name))
+        try:
+            for batch in batches:
+                # a few texts at a time, so that the ids of a batch of long texts need not be held at once
+                for row in range(0, batch.num_rows, 256):
+                    part = batch.slice(row, 256)
+                    rest = [part.column(i) for i in range(part.num_columns) if i != column]
+                    names = [part.schema.names[i] for i in range(part.num_columns) if i != column]
+                    new = work(own, part.column(column))
+                    yield pa.record_batch(rest + [pa.array(x, t) for x, t in zip(new, kind)], names=names + list(name))
+        finally:
+            own.forget()  # a worker outlives its task and would hold this through every later stage
 
     return run
 

@@ -30,6 +30,7 @@ from vaultspan.llm.scratch import Scratch, unused
 from vaultspan.llm.words import U64, Words, chunks
 
 FACTORS = 8
+CHUNK = 512 << 10  # a word has five terms, so a chunk takes some fifty times its bytes
 LEAST_RATIO = 10.0
 _PREFIXES = (4, 5, 6, 7)
 _SEPARATED = np.arange(256, dtype=np.uint8)
@@ -98,7 +99,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(term, documents of label 1 that hold it, of label 0), combined within a chunk."""
     for batch in batches:
         labels = batch.column(2).to_numpy(zero_copy_only=False)
-        for row, offsets, data in chunks(batch.column(1)):
+        for row, offsets, data in chunks(batch.column(1), CHUNK):
             document, term = _by_document(offsets, data)
             one = labels[row : row + len(offsets) - 1][document] == 1
             value, spot = np.unique(term, return_inverse=True)
@@ -111,7 +112,7 @@ def _chosen_terms(chosen: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, offsets, data in chunks(batch.column(1)):
+            for row, offsets, data in chunks(batch.column(1), CHUNK):
                 documents = len(offsets) - 1
                 document, term = _by_document(offsets, data)
                 held = np.isin(term, chosen)
@@ -239,7 +240,7 @@ def score(docs: DataFrame, machine: Machine, text_column: str = "text", column:
         own = shared.value
         for batch in batches:
             kept = batch.num_columns - 1
-            for row, offsets, data in chunks(batch.column(kept)):
+            for row, offsets, data in chunks(batch.column(kept), CHUNK):
                 documents = len(offsets) - 1
                 document, term = terms_of(offsets, data)
                 place = np.searchsorted(own.terms, term)
