@@ -118,6 +118,55 @@ def test_jaccard_join_of_many_near_copies_with_blocks(spark, monkeypatch):
     assert joined(docs) == brute_components(rows)
 
 
+def test_a_common_passage_makes_no_candidate_group(spark, monkeypatch):
+    """Near copies that share a passage with all others are compared with each other, not with all."""
+    passage = [f"p{i}" for i in range(50)]
+    rows = []
+    for k in range(40):
+        own = [f"w{k}x{i}" for i in range(150)]
+        rows += [(2 * k, " ".join(own + passage)), (2 * k + 1, " ".join([*own[:60], f"c{k}", *own[61:], *passage]))]
+    groups, real = [], parity_join.components
+
+    def watched(scratch, links):
+        found = real(scratch, links)
+        groups.append(found.groupBy("label").count().agg(F.max("count")).first()[0])
+        return found
+
+    monkeypatch.setattr(parity_join, "components", watched)
+    assert joined(spark.createDataFrame(rows, "doc_id long, text string")) == brute_components(rows)
+    candidates, linked = groups  # the largest of each
+    assert candidates < 10 and linked == 2
+
+
+def test_packed_entries_of_a_document_lie_in_the_buckets_of_its_band(spark, monkeypatch):
+    monkeypatch.setattr(parity_join, "BUCKET_ENTRIES", 200)
+    draw = np.random.default_rng(6)
+    texts = [" ".join(f"a{k}" for k in draw.integers(0, 10_000, size)) for size in (3, 8, 8, 40, 300, 700, 700)]
+    sizes = spark.createDataFrame([(n,) for n in (1, 4, 4, 36, 296, 696, 696)], "n long")
+    first, dealt = parity_join._dealt(sizes)
+    at = parity_join.band_of(np.array([4, 36, 296, 696]))
+    assert dealt[at].tolist() == [1, 1, 1, 3] and dealt[at[-1] + 1] == 3 and dealt.sum() < 20
+    run = parity_join._packed_entries(5, first, dealt)
+    (rows, *more) = run([pa.record_batch([pa.array(texts)], names=["text"])])
+    table = pa.Table.from_batches([rows, *more]).to_pylist()
+    unpacked = np.concatenate([parity_join._unpack(*[r[c] for c in rows.schema.names[1:]]) for r in table])
+    buckets = np.repeat([r["bucket"] for r in table], [len(r["high"]) // 2 for r in table])
+    band = unpacked["band"].astype(int) % parity_join.MEMBER_KEYS
+    assert ((buckets >= first[band]) & (buckets < first[band] + dealt[band])).all()
+    document, members = parity_join.shingles(parity_join.Words(*_flat(texts)), len(texts), 5)
+    counted, classes = parity_join.class_hash(document, members, len(texts))
+    want = [
+        (int(classes[d]), int(k) & (1 << 48) - 1, int(b), int(n))
+        for owner, key, bands, need in parity_join.entries(document, members, counted) for d, k, b, n in zip(owner, key, bands, need)
+    ]
+    assert sorted((int(e["cls"]), int(e["key"]), int(e["band"]), int(e["need"])) for e in unpacked) == sorted(want)
+
+
+def _flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    data = [t.encode() for t in texts]
+    return np.cumsum([0, *map(len, data)]), np.frombuffer(b"".join(data), dtype=np.uint8)
+
+
 def test_jaccard_join_edge_cases(awkward, nothing):
     assert joined(awkward) == brute_components(texts_of(awkward))
     assert joined(nothing) == collections.Counter()

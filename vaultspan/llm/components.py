@@ -1,13 +1,13 @@
 """Connected components of a graph of links, by large-star and small-star steps.
 
 Kiveris et al., "Connected Components in MapReduce and Beyond" (2014). Each step
-is a minimum per node and a join back to the links; no task holds a component
+is a minimum over each node's links, which are shuffled once for it; no task holds a component
 and nothing is gathered on the driver but two numbers per round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultspan.llm.scratch import Scratch
@@ -19,10 +19,10 @@ def _both_ways(links: DataFrame) -> DataFrame:
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Tie every larger neighbour of a node to the smallest of its neighbourhood."""
-    both = _both_ways(links)
-    least = both.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("u", "least").alias("least"))
+    least = F.least("u", F.min("v").over(Window.partitionBy("u")))
     return (
-        both.join(least, "u")
+        _both_ways(links)
+        .withColumn("least", least)
         .where("v > u")
         .select(F.col("v").alias("u"), F.col("least").alias("v"))
         .where("u <> v")
@@ -33,11 +33,10 @@ def _large_star(links: DataFrame) -> DataFrame:
 def _small_star(links: DataFrame) -> DataFrame:
     """Tie a node and its smaller neighbours to the smallest of them."""
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("least"))
-    joined = down.join(least, "u")
+    least = F.min("v").over(Window.partitionBy("u"))
     return (
-        joined.select(F.col("v").alias("u"), F.col("least").alias("v"))
-        .union(least.select("u", F.col("least").alias("v")))
+        down.withColumn("least", least)
+        .select(F.explode(F.array("u", "v")).alias("u"), F.col("least").alias("v"))
         .where("u <> v")
         .distinct()
     )

@@ -13,7 +13,11 @@ non-empty place (pigeonhole), and equal places are found by an equality join.
   document that shares fewer (a common passage makes it share a few) is dropped
   before anything is compared. A document with too many empty places to have such
   a bound is also entered under each of its members, an exact way for the rest.
-* Documents that share places form candidate groups. Inside a group, cut into
+* Of the places a document shares, it meets others under all but its commonest
+  ``need - 1``, where ``need`` is the bound. Two documents that share that many meet
+  under a rarer one too (prefix filter on one order of all keys), and a line that many
+  documents have in common does not tie them together.
+* Documents that share places so form candidate groups. Inside a group, cut into
   blocks, dense bit sketches are compared by Hamming distance, again a lower bound
   of the symmetric difference, and what passes is verified on the sets. Only link
   counts and a spanning forest of the links leave a block, never all its pairs.
@@ -35,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultspan.llm.components import components
@@ -132,7 +136,7 @@ def entries(document: np.ndarray, members: np.ndarray, sizes: np.ndarray) -> Ite
             chosen = short[document]
             owner = document[chosen]
             key = mix(members[chosen] ^ (_BIT_SEED + bands[owner].astype(U64)))
-            yield owner, key, bands[owner] + MEMBER_KEYS, np.ones(len(owner), dtype=np.int64)
+            yield owner, key, bands[owner] + MEMBER_KEYS, -(-8 * sizes[owner] // 10)  # of the union, so of each set
 
 
 def _summaries(words: int):
@@ -150,9 +154,23 @@ def _summaries(words: int):
     return run
 
 
-def _packed_entries(words: int, buckets: int):
-    """Entries of every distinct set of a chunk, packed by bucket: keys of 48 bits and 16-bit references."""
-    names = ["bucket", "low", "high", "ref", "cls", "band", "need"]
+def _dealt(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """First bucket and number of buckets of each band, none where no document enters; a bucket has a bounded number of entries.
+
+    Documents meet in their band only, so a band has buckets of its own: a document's entries lie in few of them
+    and share what is written once for them all.
+    """
+    band = F.size(F.filter(F.lit(LOWS.tolist()), lambda low: low <= F.col("n"))) - 1
+    members = np.zeros(len(LOWS) + 1, dtype=np.int64)
+    for row in classes.groupBy(band.alias("band")).agg(F.sum("n").alias("n")).collect():  # a row per band
+        members[row["band"] : row["band"] + 2] += row["n"]  # a document may enter the next band too
+    buckets = -(-members // (3 * BUCKET_ENTRIES))
+    return np.cumsum(buckets) - buckets, buckets
+
+
+def _packed_entries(words: int, begin: np.ndarray, dealt: np.ndarray):
+    """Entries of every distinct set of a chunk, packed by bucket: keys of 48 bits, and the number of keys of each set."""
+    names = ["bucket", "low", "high", "count", "cls", "band", "need"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,30 +183,24 @@ def _packed_entries(words: int, buckets: int):
                 fresh[first] = True
                 kept = fresh[document]
                 for owner, key, band, need in entries(document[kept], members[kept], np.where(fresh, sizes, 0)):
-                    bucket = ((key >> U64(32)) % U64(buckets)).astype(np.int64)
-                    order = np.argsort(bucket, kind="stable")
-                    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1)) if buckets < len(order) else None
-                    used = np.unique(bucket)
+                    at = band % MEMBER_KEYS
+                    bucket = begin[at] + ((key >> U64(32)) % dealt[at].astype(U64)).astype(np.int64)
+                    order = np.argsort(bucket, kind="stable")  # sets come in order, and stay so within a bucket
+                    owner, key, bucket = owner[order], key[order], bucket[order]
+                    fresh_owner = np.ones(len(owner), dtype=bool)
+                    fresh_owner[1:] = (owner[1:] != owner[:-1]) | (bucket[1:] != bucket[:-1])
+                    head = np.flatnonzero(fresh_owner)
+                    count = np.diff(np.append(head, len(owner)))
+                    low, high = (key & U64(0xFFFFFFFF)).astype(np.uint32), ((key >> U64(32)) & U64(0xFFFF)).astype(np.uint16)
+                    held = classes[owner[head]], band[order[head]].astype(np.uint8), need[order[head]].astype(np.int32)
+                    used, cuts = np.unique(bucket, return_index=True)
+                    cuts = np.append(cuts, len(bucket)).tolist()
+                    heads = np.searchsorted(head, cuts).tolist()
                     rows = []
-                    for b in used.tolist():
-                        lo, hi = (cuts[b], cuts[b + 1]) if cuts is not None else np.searchsorted(bucket[order], [b, b + 1])
-                        take = order[lo:hi]
-                        who, ref = np.unique(owner[take], return_inverse=True)
-                        of = take[np.searchsorted(owner[take], who)] if (np.diff(owner[take]) >= 0).all() else None
-                        if of is None:
-                            _, at = np.unique(owner[take], return_index=True)
-                            of = take[at]
-                        rows.append(
-                            (
-                                b,
-                                (key[take] & U64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
-                                ((key[take] >> U64(32)) & U64(0xFFFF)).astype(np.uint16).tobytes(),
-                                ref.astype(np.uint16).tobytes(),
-                                classes[who].tobytes(),
-                                band[of].astype(np.uint8).tobytes(),
-                                need[of].astype(np.int32).tobytes(),
-                            )
-                        )
+                    for i, b in enumerate(used.tolist()):
+                        keys, sets = slice(cuts[i], cuts[i + 1]), slice(heads[i], heads[i + 1])
+                        columns = low[keys], high[keys], count[sets].astype(np.int32), *(c[sets] for c in held)
+                        rows.append((b, *(c.tobytes() for c in columns)))
                     columns = list(zip(*rows))
                     yield pa.record_batch(
                         [pa.array(columns[0], pa.int32())] + [pa.array(c, pa.binary()) for c in columns[1:]], names=names
@@ -200,8 +212,9 @@ def _packed_entries(words: int, buckets: int):
 _ENTRY = np.dtype([("key", "<u8"), ("cls", "<u8"), ("band", "u1"), ("need", "<i4"), ("known", "?"), ("told", "?")])
 
 
-def _unpack(low: bytes, high: bytes, ref: bytes, cls: bytes, band: bytes, need: bytes) -> np.ndarray:
-    ref = np.frombuffer(ref, np.uint16)
+def _unpack(low: bytes, high: bytes, count: bytes, cls: bytes, band: bytes, need: bytes) -> np.ndarray:
+    count = np.frombuffer(count, np.int32)
+    ref = np.repeat(np.arange(len(count)), count)
     out = np.zeros(len(ref), dtype=_ENTRY)
     out["key"] = np.frombuffer(low, np.uint32).astype(U64) | (np.frombuffer(high, np.uint16).astype(U64) << U64(32))
     out["cls"] = np.frombuffer(cls, U64)[ref]
@@ -294,6 +307,18 @@ def _fetched(hashed: DataFrame, wanted: DataFrame) -> DataFrame:
     return hashed.join(wanted, hashed["id"].eqNullSafe(wanted["id"]) & (hashed["th"] == wanted["th"])).select("text", "cls")
 
 
+def _rarest(shared: DataFrame) -> DataFrame:
+    """(key, cls, band): the keys under which a class meets others, all but its ``need - 1`` commonest.
+
+    Keys have one order, by the number of rows that hold them. A class with fewer than ``need`` shared keys
+    meets nothing. A key and class that come twice are one.
+    """
+    held = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    commonest = Window.partitionBy("cls", "band").orderBy(F.desc("held"), F.desc("key"))
+    ranked = shared.withColumn("held", held).withColumn("place", F.dense_rank().over(commonest))
+    return ranked.where("place >= need").select("key", "cls", "band")
+
+
 def _bits(members: list[np.ndarray], width: int) -> np.ndarray:
     """Dense bit sketches: every member flips one of ``width`` bits."""
     sizes = np.array([len(m) for m in members])
@@ -403,21 +428,18 @@ def jaccard_components(
         ),
         "classes",
     )
-    total = classes.agg(F.sum("n")).first()[0] or 0
-    buckets = max(1, -(-int(total) // (2 * BUCKET_ENTRIES)))
-
+    begin, dealt = _dealt(classes)
     packed = source.select("text").mapInArrow(
-        _packed_entries(words, buckets),
-        "bucket int, low binary, high binary, ref binary, cls binary, band binary, need binary",
+        _packed_entries(words, begin, dealt),
+        "bucket int, low binary, high binary, count binary, cls binary, band binary, need binary",
     )
     shared = scratch.store(
-        packed.repartition(max(buckets, 1), "bucket")
+        packed.repartition(max(1, int(dealt.sum())), "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_shared_keys, "key long, cls long, band int, need int"),
         "shared",
     )
-    able = shared.groupBy("cls", "band").agg(F.count(F.lit(1)).alias("keys"), F.max("need").alias("need")).where("keys >= need")
-    meeting = scratch.store(shared.join(able.select("cls", "band"), ["cls", "band"]).select("key", "cls", "band"), "meeting")
+    meeting = scratch.store(_rarest(shared), "meeting")
     scratch.drop(shared)
     hubs = meeting.groupBy("key").agg(F.min("cls").alias("hub"), F.max("cls").alias("top")).where("hub < top")
     node = lambda c: F.xxhash64("band", c)
@@ -445,9 +467,7 @@ def jaccard_components(
     if wanted.count() <= BROADCAST_ROWS:  # 24 bytes a row; beyond that the join shuffles
         wanted = F.broadcast(wanted)
     fetched = _fetched(source.withColumn("th", F.xxhash64("text")), wanted)
-    members = scratch.store(
-        fetched.mapInArrow(_members(words), "cls long, members binary").dropDuplicates(["cls"]), "members"
-    )
+    members = fetched.mapInArrow(_members(words), "cls long, members binary").dropDuplicates(["cls"])
 
     placed = candidates.join(blocks, ["band", "grp"]).withColumn("block", F.expr("int(pmod(xxhash64(cls), blocks))"))
     pairs = placed.select(
