@@ -102,3 +102,68 @@ def test_owners_brought_along_equal_the_join(spark):
     columns = ["n", "cd_ptf", "cd_cli", "cd_ccy_ptf"]
     got, want = (intermediate._owned(f, portfolios).select(*columns).collect() for f in (brought, facts))
     assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 5
+
+
+def _exchanges(df) -> list[tuple[str, str]]:
+    """(columns, how they are dealt) of every shuffle of the plan."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    return re.findall(r"\) Exchange[^\n]*\nInput \[\d+\]: \[(.*)\]\nArguments: (.*)", text)
+
+
+def _planned(spark, name: str):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.maxMetadataStringLength": "10000"}
+    before = {key: spark.conf.get(key) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        df = registry.queries()[name](spark, FOLDER)
+        return _exchanges(df)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_exposure_shuffles_no_position_with_attributes_of_its_day(spark):
+    found = _planned(spark, "mart_client_exposure")
+    lines = [columns for columns, how in found if "l_orderkey" in how]
+    assert len(lines) == 2  # for the sums and for the positions
+    for columns, how in found:
+        assert not ("cd_ast" in columns and ("lb_ptf" in columns or "lb_cli" in columns)), how
+
+
+def test_exposure_with_names_looked_up_before(spark):
+    """Instrument codes that repeat or are unknown, portfolios of one client, a missing day."""
+    day = date(2024, 1, 31)
+    positions = spark.createDataFrame(
+        [(f"P{i % 3}", f"C{i % 3 // 2}", day if i % 5 else None, f"I{i % 4}", f"A{i}", "EUR", 1.0, 10.0 * i, 10.0 * i) for i in range(12)],
+        "cd_ptf string, cd_cli string, dt_fct date, cd_ins string, cd_ast string, cd_ccy string, xrt_rate_pos double, "
+        "mt_ast double, mt_ast_ref double",
+    )
+    span = Calendar.of(month_end_calendar(spark, date(2024, 1, 1), date(2024, 3, 15)))
+
+    def held(key, columns, values):
+        shape = f"{key} string, {', '.join(f'{c} string' for c in columns)}, dt_cre date, valid_from timestamp, valid_to timestamp"
+        rows = [(v, *(f"{c} {v}" for c in columns), date(2020, 1, 1), datetime(2024, 1, 1), None) for v in values]
+        return Versions(spark.createDataFrame(rows, shape), span, "dt_cre")
+
+    cli = held("cd_cli", ["lb_cli", "cd_cli_cat", "lb_cli_cat", "cd_cty_dom", "lb_cty_dom", "cd_cty_nat"], ["C0", "C1"])
+    pairs = [f"{side}_{n}" for n in ("mng", "mng_grp", "mng_ext", "agn", "ent", "buu", "prf") for side in ("cd", "lb")]
+    ptf = held("cd_ptf", ["lb_ptf", "lb_ptf_alt", *pairs], ["P0", "P1"])
+    ins = spark.createDataFrame(
+        [("I0", "a", "g", "group"), ("I1", "b", "g", "group"), ("I1", "c", "h", "other"), (None, "d", "g", "group")],
+        "cd_ins string, lb_ins string, cd_ins_grp string, lb_ins_grp string",
+    )
+    got = marts.mart_client_exposure(positions, cli, ptf, ins).collect()
+    named = marts.with_instrument_names(positions, ins)
+    assert sorted(map(str, got)) == sorted(map(str, marts.mart_client_exposure(positions, cli, ptf, ins, named).collect()))
+    rows = positions.collect()
+    total = {}
+    for r in rows:
+        total[r["dt_fct"], r["cd_cli"]] = total.get((r["dt_fct"], r["cd_cli"]), 0) + r["mt_ast_ref"]
+    names = {"I0": ["a"], "I1": ["b", "c"]}
+    want = [
+        (r["cd_ast"], n, f"lb_ptf {r['cd_ptf']}" if r["dt_fct"] and r["cd_ptf"] != "P2" else None, round(r["mt_ast_ref"] / total[r["dt_fct"], r["cd_cli"]], 9))
+        for r in rows for n in names.get(r["cd_ins"], [None])
+    ]
+    assert sorted(map(str, want)) == sorted(str((g["cd_ast"], g["asset_name"], g["lb_ptf"], round(g["weight_pct"], 9))) for g in got)
