@@ -132,6 +132,11 @@ def test_exposure_shuffles_no_position_with_attributes_of_its_day(spark):
         assert not ("cd_ast" in columns and ("lb_ptf" in columns or "lb_cli" in columns)), how
 
 
+def test_checks_of_marts_read_the_staged_facts(spark):
+    found = _planned(spark, "dq_summary")
+    assert found and not [how for _, how in found if "l_orderkey" in how or "o_orderkey" in how]
+
+
 def test_exposure_with_names_looked_up_before(spark):
     """Instrument codes that repeat or are unknown, portfolios of one client, a missing day."""
     day = date(2024, 1, 31)
